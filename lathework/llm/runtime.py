@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once a context: they need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lathework_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    with zipfile.ZipFile(archive := f"{tempfile.mkdtemp(prefix='lathework-')}/lathework.zip", "w") as z:
+        for f in [top / "__init__.py", *(top / "llm").glob("*.py")]:
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(archive)
+    sc._lathework_shipped = True
+
+
 def prepare(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes, unless the session already does."""
+    """Ship the package and bound Arrow batches by bytes, unless the session already does."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(str(spark.conf.get(key, "2147483647")).rstrip("bB") or 0) > ARROW_BATCH_BYTES:
         spark.conf.set(key, str(ARROW_BATCH_BYTES))
