@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lathework.llm.langid import identify_language
+from lathework.llm.neardup import near_duplicates
 from lathework.llm.quality import score_quality
 from lathework.llm.sharding import shard_documents
 
@@ -27,11 +28,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_language_id": op4_language_id,
         "op5_sharding": op5_sharding,
         "op8_quality": op8_quality,
+        "op10_minhash": op10_minhash,
     }
 
 
