@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lathework.llm.decontam import contamination
 from lathework.llm.langid import identify_language
 from lathework.llm.neardup import near_duplicates
 from lathework.llm.quality import score_quality
@@ -24,6 +25,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents")).drop("group_key")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -36,6 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_language_id": op4_language_id,
         "op5_sharding": op5_sharding,
+        "op7_decontamination": op7_decontamination,
         "op8_quality": op8_quality,
         "op10_minhash": op10_minhash,
     }
