@@ -10,6 +10,7 @@ from lathework.llm.decontam import contamination
 from lathework.llm.langid import identify_language
 from lathework.llm.neardup import near_duplicates
 from lathework.llm.quality import score_quality
+from lathework.llm.repeats import remove_repeats
 from lathework.llm.sharding import shard_documents
 
 
@@ -17,6 +18,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(read(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_language_id": op4_language_id,
         "op5_sharding": op5_sharding,
         "op7_decontamination": op7_decontamination,

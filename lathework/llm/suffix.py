@@ -17,11 +17,10 @@ def pack(text: np.ndarray) -> tuple[np.ndarray, int]:
     return key, 7
 
 
-def suffix_array(key: np.ndarray, depth: int, limit: int | None = None) -> np.ndarray:
+def suffix_array(key: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in order, from the order ``key`` by their first ``depth`` symbols.
 
-    Each round doubles the depth and sorts again only the groups that are still equal; equal suffixes stand by
-    position. Rounds end when no group is left or, if given, when ``limit`` symbols are sorted.
+    Each round doubles the depth and sorts again only the groups that are still equal, until none is left.
     """
     n = len(key)
     order = np.argsort(key, kind="stable")
@@ -33,7 +32,7 @@ def suffix_array(key: np.ndarray, depth: int, limit: int | None = None) -> np.nd
     rank[order] = group
     size = np.diff(np.append(np.flatnonzero(new), n))
     open_ = np.flatnonzero(np.repeat(size > 1, size))
-    while len(open_) and (limit is None or depth < limit):
+    while len(open_):
         s = order[open_]
         nxt = s + depth
         second = np.where(nxt < n, rank[np.minimum(nxt, n - 1)] + 1, 0)
