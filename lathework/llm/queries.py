@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lathework.llm.decontam import contamination
 from lathework.llm.langid import identify_language
 from lathework.llm.neardup import near_duplicates
+from lathework.llm.nearest import nearest
 from lathework.llm.quality import score_quality
 from lathework.llm.repeats import remove_repeats
 from lathework.llm.sharding import shard_documents
@@ -38,6 +39,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), percent=85)
 
@@ -49,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_sharding": op5_sharding,
         "op7_decontamination": op7_decontamination,
         "op8_quality": op8_quality,
+        "op9_nearest": op9_nearest,
         "op10_minhash": op10_minhash,
     }
 
