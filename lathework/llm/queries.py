@@ -10,6 +10,7 @@ from lathework.llm.decontam import contamination
 from lathework.llm.langid import identify_language
 from lathework.llm.neardup import near_duplicates
 from lathework.llm.nearest import nearest
+from lathework.llm.ngrams import score_language_model
 from lathework.llm.quality import score_quality
 from lathework.llm.repeats import remove_repeats
 from lathework.llm.sharding import shard_documents
@@ -31,6 +32,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents")).drop("group_key")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_language_model(read(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -52,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_language_id": op4_language_id,
         "op5_sharding": op5_sharding,
+        "op6_lm_scoring": op6_lm_scoring,
         "op7_decontamination": op7_decontamination,
         "op8_quality": op8_quality,
         "op9_nearest": op9_nearest,

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import mmap
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import numpy as np
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of one Arrow batch handed to a Python worker; long texts shrink the rows of a batch, never the text.
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -65,3 +68,30 @@ def drop_table(spark: SparkSession, path: str) -> None:
     """Remove a table of ``new_path`` that nothing reads any more."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def put_file(folder: str, name: str, data: bytes) -> None:
+    """Write a file of a shared folder from any task: under a name of its own first, so a repeated task does no harm."""
+    fs, path = pyarrow.fs.FileSystem.from_uri(folder)
+    fs.create_dir(path)
+    mine = f"{path}/.{name}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(mine) as f:
+        f.write(data)
+    fs.move(mine, f"{path}/{name}")
+
+
+def map_file(folder: str, name: str) -> np.ndarray:
+    """Bytes of a shared file, memory-mapped; from a store that can't be mapped, by a local copy that has no name.
+
+    No file and an empty one give no bytes.
+    """
+    fs, path = pyarrow.fs.FileSystem.from_uri(f"{folder}/{name}")
+    if not fs.get_file_info(path).size:
+        return np.zeros(0, np.uint8)
+    if isinstance(fs, pyarrow.fs.LocalFileSystem):
+        return np.memmap(path, np.uint8, "r")
+    with tempfile.TemporaryFile() as copy, fs.open_input_stream(path) as f:
+        while part := f.read(1 << 20):
+            copy.write(part)
+        copy.flush()
+        return np.frombuffer(mmap.mmap(copy.fileno(), 0, access=mmap.ACCESS_READ), np.uint8)
