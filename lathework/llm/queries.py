@@ -11,6 +11,7 @@ from lathework.llm.langid import identify_language
 from lathework.llm.neardup import near_duplicates
 from lathework.llm.nearest import nearest
 from lathework.llm.ngrams import score_language_model
+from lathework.llm.pieces import piece_digests
 from lathework.llm.quality import score_quality
 from lathework.llm.repeats import remove_repeats
 from lathework.llm.sharding import shard_documents
@@ -20,6 +21,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(read(spark, sf_dir, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
 
@@ -54,6 +59,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_sentencepiece": op2_sentencepiece,
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_language_id": op4_language_id,
         "op5_sharding": op5_sharding,
