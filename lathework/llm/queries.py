@@ -15,12 +15,17 @@ from lathework.llm.pieces import piece_digests
 from lathework.llm.quality import score_quality
 from lathework.llm.repeats import remove_repeats
 from lathework.llm.sharding import shard_documents
+from lathework.llm.wrappers import extract_text
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(read(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extraction": op1_html_extraction,
         "op2_sentencepiece": op2_sentencepiece,
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_language_id": op4_language_id,
