@@ -119,9 +119,6 @@ class Shard:
         return out
 
 
-SCHEMA = "doc_id long, text string, n_words long, hits binary, items array<string>"
-
-
 def _pass(part):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = part.value
@@ -139,8 +136,8 @@ def _pass(part):
                         both = np.concatenate([np.frombuffer(x, np.int32).reshape(-1, 3) for x in (old[k], hits[k])])
                         hits[k] = np.unique(both, axis=0).tobytes()
                         items[k] = sorted({*had[k], *items[k]})
-                cols = [batch.column(0), batch.column(1), pa.array(n[at : at + batch.num_rows]), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text", "n_words", "hits", "items"])
+                cols = [batch.column(0), batch.column(1), pa.array(n[at : at + batch.num_rows]), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())), batch.column(5)]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text", "n_words", "hits", "items", "carried"])
                 at += batch.num_rows
 
         for batch in batches:
@@ -159,14 +156,15 @@ def _pass(part):
     return run
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_passages(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Hit words of each document: those inside an occurrence of a window of the benchmark (item_id, text).
 
     Words are runs of digits, a-z after lower-casing A-Z, and non-ASCII characters. A window is WINDOW words in a row
     of an item, or all of a shorter item. Documents stay in their partitions: each worker indexes a shard of them, the
     words that can take part in a window, and searches it. The benchmark is taken in parts of PASS_BYTES, a pass over
-    the documents for each, so what is broadcast is bounded. Returns ``doc_id, text, n_words, hits, items``: hits are
-    int32 triples (word, first byte, end byte) in order, items the sorted ids as strings.
+    the documents for each, so what is broadcast is bounded. Returns ``doc_id, text, n_words, hits, items, carried``: hits
+    are int32 triples (word, first byte, end byte) in order, items the sorted ids as strings, and carried holds the
+    columns named in ``carry``.
 
     Null and empty texts have no words; null or wordless items have no window; equal items are each named. Without a
     benchmark nothing is hit. Repeated rows are each marked; other columns are ignored.
@@ -176,11 +174,12 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     items = benchmark.select(F.col("item_id").cast("string").alias("id"), "text").where("id is not null and text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, -(-total // PASS_BYTES))
-    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("array<string>").alias("items"))
+    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("array<string>").alias("items"), F.struct(id_col, *carry).alias("carried"))
+    schema = out.schema
     for k in range(passes):
         own = items.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == k).toPandas()
         part = windows(own["id"].tolist(), [t.encode() for t in own["text"]])
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(part)), SCHEMA)
+        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(part)), schema)
     return out
 
 
@@ -210,10 +209,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 d = b"".join([*kept, d[at:]])
             out.append(d.decode())
         text = pa.array([None if keep is None else o for o, keep in zip(out, batch.column(1).to_pylist(), strict=True)], pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column(0), text, batch.column(3)], ["doc_id", "text", "n_items"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), text, *batch.columns[3:]], ["doc_id", "text", "n_items", "carried"])
 
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
-    """``doc_id, text, n_items``: texts without their runs of hit words, from the first word's start to the last's end."""
-    found = find_passages(docs, benchmark, **names).select("doc_id", "text", "hits", F.size("items").alias("n_items"))
-    return found.mapInArrow(_cut, "doc_id long, text string, n_items int")
+    """``doc_id, text, n_items, carried``: texts without their runs of hit words, from the first's start to the last's end."""
+    found = find_passages(docs, benchmark, **names).select("doc_id", "text", "hits", F.size("items").alias("n_items"), "carried")
+    return found.mapInArrow(_cut, found.drop("hits").schema)

@@ -82,7 +82,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if parts:
             x = np.concatenate(parts)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, N_FEATURES, dtype=np.int32)), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), flat], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), flat], ["doc_id", "th", "x"])
 
 
 @dataclass
@@ -143,15 +143,15 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
 
     Every labelled row outside the held-out fifth counts; only sums by class, of a size fixed by the number of
     features, reach the driver. Texts are read once: their statistics are staged in the shared folder. Returns
-    ``doc_id, held_out, score, predicted``.
+    ``doc_id, held_out, score, predicted, th``; the last is a hash of the text.
 
     Null and empty texts have the statistics of no bytes and are scored alike. Labels other than 0 and 1 and labels
     without a document are ignored; without labels every score is 0.5. Repeated rows are each scored; other columns
     are ignored.
     """
     prepare(docs.sparkSession)
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    measured = stage_table(plain.mapInArrow(_measure, "doc_id long, x array<float>"), "statistics")
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
+    measured = stage_table(plain.mapInArrow(_measure, "doc_id long, th long, x array<float>"), "statistics")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
     known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("y"))
     train = measured.where(~held).join(known, "doc_id").select("x", "y")
@@ -164,8 +164,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES).astype(float)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(x))], ["doc_id", "score"])
+            x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES).astype(float)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.scores(x))], ["doc_id", "th", "score"])
 
-    scored = measured.mapInArrow(score, "doc_id long, score double")
-    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+    scored = measured.mapInArrow(score, "doc_id long, th long, score double")
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"), "th")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lathework.llm import vec
 from lathework.llm.runtime import prepare, stage_table
@@ -210,24 +211,27 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_spans.append(k)
             sha.append(hashlib.sha256(rest).hexdigest())
             kept.append(rest)
-        cols = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())]
-        yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        whole = [k.decode("utf-8", "ignore") for k in kept]
+        cols = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha, pa.string()), pa.array(whole, pa.string()), batch.column(3)]
+        yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "carried"])
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 400, part_bytes: int = PART_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), width: int = 400, part_bytes: int = PART_BYTES) -> DataFrame:
     """Remove every byte of the texts that lies in a ``width``-byte string which starts at another place too.
 
     Windows are dealt to shards by their anchor, a gram that depends on the window alone. Where all strings around an
     anchor are the same, their count decides; the others, one of each kind, come under suffix arrays by shard, and an
     anchor with many kinds is spread over parts that are searched in each other by halving. Returns ``doc_id, n_bytes,
-    n_removed, n_spans, kept_sha256, kept`` (remaining bytes); strings are judged on the input.
+    n_removed, n_spans, kept_sha256, kept_text, carried``: the digest is that of the remaining bytes, their text leaves
+    out characters that were cut in two, and ``carried`` holds the columns named in ``carry``. Strings are judged on the
+    input.
 
     Null texts are empty; texts shorter than ``width`` stay whole. Repeated rows repeat each other and so lose all
     their windows. A removed string may begin or end inside a character. Other columns are ignored.
     """
     prepare(docs.sparkSession)
     least = -(1 << 63)
-    plain = docs.select(F.col(id_col).cast("long").alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    plain = docs.select(F.col(id_col).cast("long").alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"), F.struct(id_col, *carry).alias("carried"))
     some = plain.where(F.octet_length("text") >= width).select("doc_id", "th", "text")
     found = stage_table(some.mapInArrow(_anchor_rows(width), "doc_id long, th long, s int, len int, fp long, rh long"), "anchors")
     twice = stage_table(found.groupBy("fp").agg(F.count("*").alias("k")).where("k > 1").select("fp"), "shared")
@@ -250,5 +254,6 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     whole = kinds.where("c > 1").select("fp", "rh", F.lit(None).cast("array<int>").alias("runs"))
     gone = stage_table(whole.unionByName(runs), "runs")
     spans = shared.join(gone, ["fp", "rh"]).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "len", "runs")).alias("spans"))
-    out = plain.join(spans, ["doc_id", "th"], "left").select("own", "text", "spans")
-    return out.mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = plain.join(spans, ["doc_id", "th"], "left").select("own", "text", "spans", "carried")
+    schema = T.StructType([T.StructField(n, t) for n, t in (("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()), ("kept_text", T.StringType()), ("carried", out.schema["carried"].dataType))])
+    return out.mapInArrow(_remove, schema)
