@@ -1,4 +1,4 @@
-"""Every query of the library with its SQL twin."""
+"""Every query of the library with its SQL twin, over the driver's tables."""
 
 from __future__ import annotations
 
@@ -7,18 +7,495 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lathework.functions import geometry as G
+from lathework.functions import ids, text
+from lathework.functions import timebase as T
+from lathework.operators import relational as R
+from lathework.operators import sampling
+from lathework.operators import sequential as S
+from lathework.streaming import streams
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+RATIOS = {"train": 0.8, "val": 0.1, "test": 0.1}
+#: Fixed buckets of durations in milliseconds with their weights.
+BUCKETS = [(0, 2699, 2.0), (2700, 2999, 1.0), (3000, 9999, 5.0), (10000, 99999, 2.0)]
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def chars(s: str) -> str:
+    return "||".join(f"chr({ord(c)})" for c in s)
+
+
+# --- text ---------------------------------------------------------------------------------------------------------
+
+FULL, HALF = quoted(text.FULL_WIDTH), quoted(text.HALF_WIDTH)
+RULE_SQL = {
+    "fullwidth_ascii": f"translate({{}}, {FULL}, {HALF})",
+    "ideographic_space": "replace({}, chr(12288), ' ')",
+    "newlines": "replace(replace({}, chr(13)||chr(10), chr(10)), chr(13), chr(10))",
+    "whitespace": "regexp_replace({}, '[ \\t]+', ' ', 'g')",
+    "punctuation_spacing": f"regexp_replace(regexp_replace({{}}, '[ \\t]+([{text.CLOSING}])', '\\1', 'g'), '([{text.OPENING}])[ \\t]+', '\\1', 'g')",
+    "strip_lines": f"array_to_string(list_filter(list_transform(string_split({{}}, chr(10)), lambda x: trim(x, {chars(text.BLANKS)})), lambda x: x <> ''), chr(10))",
+}
+#: A text with everything that the rules change, made from plain prose on both sides alike.
+MESSY = "concat(replace(replace(text, 'e', 'Ａ　'), ', ', ' ，  '), chr(13), chr(10), '  （ ', lang, '\t\t） ')"
+
+
+def messy() -> F.Column:
+    return F.concat(F.replace(F.replace("text", F.lit("e"), F.lit("Ａ　")), F.lit(", "), F.lit(" ，  ")), F.lit("\r\n  （ "), F.col("lang"), F.lit("\t\t） "))
+
+
+def nested(rules: tuple[str, ...], inner: str) -> str:
+    for r in rules:
+        inner = RULE_SQL[r].format(inner)
+    return inner
+
+
+def script_sql(column: str) -> str:
+    return "case " + " ".join(f"when regexp_matches({column}, {quoted(text.script_class(n))}) then '{n}'" for n in text.SCRIPTS) + " else 'Other' end"
+
+
+@query("select sha256(text) as sha256, min(doc_id) as representative_id, count(*) as n_items, 'exact-' || substr(sha256(text), 1, 16) as cluster_id from documents group by text")
 def exact_dedup_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("representative"), F.count("*").alias("members"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))
+    return R.exact_clusters(docs, "sha", "doc_id")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"exact_dedup_documents": exact_dedup_documents}
+@query("select doc_id, min(doc_id) over (partition by text) as representative_id, count(*) over (partition by text) as n_items from documents")
+def exact_cluster_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))
+    return R.cluster_members(docs, R.exact_clusters(docs, "sha", "doc_id"), "sha").select("doc_id", "representative_id", "n_items")
 
 
-def oracle_sql() -> dict[str, str]:
-    return {"exact_dedup_documents": "select sha256(text) as sha, min(doc_id) as representative, count(*) as members from documents group by 1"}
+@query("select count(*) as n, count(distinct text) as n_distinct, count(*) - count(distinct doc_id) as repeated_ids from documents")
+def dedup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))
+    return docs.agg(F.count("*").alias("n"), F.countDistinct("sha").alias("n_distinct"), (F.count("*") - F.countDistinct("doc_id")).alias("repeated_ids"))
+
+
+@query(f"select doc_id, sha256({nested(text.rules_of(), MESSY)}) as sha, length({nested(text.rules_of(), MESSY)}) as n from documents")
+def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = text.normalize(messy())
+    return read(spark, sf_dir, "documents").select("doc_id", F.sha2(c, 256).alias("sha"), F.char_length(c).cast("long").alias("n"))
+
+
+@query(
+    " union all ".join(
+        f"select '{r}' as rule, count(*) as hits from documents where {nested(text.rules_of()[: i + 1], MESSY)} <> {nested(text.rules_of()[:i], MESSY)} having count(*) > 0" for i, r in enumerate(text.rules_of())
+    )
+)
+def normalize_rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = read(spark, sf_dir, "documents").select(F.explode(text.applied_rules(messy())).alias("rule"))
+    return hits.groupBy("rule").agg(F.count("*").alias("hits"))
+
+
+ODD_TEXT = "case doc_id % 6 when 0 then 'あ' || text when 1 then '12 ' when 2 then text when 3 then '漢' || text when 4 then '한' else 'ع 1' end"
+
+
+@query(f"select doc_id, {script_sql(ODD_TEXT)} as script from documents")
+def detect_script(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("t", F.expr(ODD_TEXT))
+    return docs.select("doc_id", text.detect_script(F.col("t")).alias("script"))
+
+
+@query("select lang as value, 'lang' as field, count(*) as n from documents group by lang union all select source, 'source', count(*) from documents group by source union all select cast(length(text) - length(replace(text, chr(10), '')) + 1 as varchar), 'lines', count(*) from documents group by 1")
+def field_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("lines", text.line_count(F.col("text")))
+    return R.frequencies(docs, ["lang", "source", "lines"])
+
+
+@query(
+    f"with l as (select doc_id, unnest(string_split(text, chr(10))) as line from documents), s as (select doc_id, trim(line, {chars(text.BLANKS)}) as line from l) select doc_id, count(*) as n, min(line) as first from s where line <> '' and line not like '#%' group by doc_id"
+)
+def corpus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lathework.sources.readers import corpus
+
+    lines = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("value"))
+    line = F.btrim("value", F.lit(text.BLANKS))
+    return corpus(lines.withColumn("value", F.concat_ws("\0", line, "doc_id"))).select(F.split("line", "\0").alias("p")).where(F.col("p")[0] != "").groupBy(F.col("p")[1].cast("long").alias("doc_id")).agg(F.count("*").alias("n"), F.min(F.col("p")[0]).alias("first"))
+
+
+# --- ids ----------------------------------------------------------------------------------------------------------
+
+
+@query("""select o_orderkey, sha256('{"config_sha256":"c","native_frame_index":' || o_custkey || ',"pts":' || o_orderkey || ',"seed":42,"style_seed":7,"text_normalized":"' || o_orderpriority || '","video_sha256":"' || o_orderstatus || '"}') as sample_id from orders""")
+def canonical_json_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = ids.sample_id(F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_custkey"), F.col("o_orderkey"), F.lit(7), F.lit("c"), F.lit(42))
+    return read(spark, sf_dir, "orders").select("o_orderkey", own.alias("sample_id"))
+
+
+@query("""select event_id, sha256('{"end_time_ms":' || (event_id + 1500) || ',"seed":1,"start_time_ms":' || event_id || ',"text_normalized":"' || event_type || '"}') as content_id from events""")
+def event_content_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = ids.event_id(F.col("event_type"), F.col("event_id"), F.col("event_id") + 1500, F.lit(1))
+    return read(spark, sf_dir, "events").select("event_id", own.alias("content_id"))
+
+
+DHASH = "list_reduce(list_prepend(0::bigint, list_transform(list_filter(range(64), lambda i: i%8<7), lambda i: case when embedding[i+2]>embedding[i+1] then 1::bigint else 0::bigint end)), lambda x, b: x*2+b)"
+
+
+@query(f"select vec_id, {DHASH} as hash from embeddings")
+def dhash_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "embeddings").select("vec_id", ids.difference_hash(F.col("embedding")).alias("hash"))
+
+
+@query(f"with h as (select vec_id, {DHASH} as hash from embeddings) select a.vec_id as a, b.vec_id as b, cast(bit_count(xor(a.hash, b.hash)) as int) as distance from h a join h b on a.vec_id < b.vec_id and bit_count(xor(a.hash, b.hash)) <= 10")
+def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = read(spark, sf_dir, "embeddings").select("vec_id", ids.difference_hash(F.col("embedding")).alias("hash"))
+    return R.hamming_pairs(own, "vec_id", "hash", 10)
+
+
+@query()
+def near_clusters_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = read(spark, sf_dir, "embeddings").select(F.lpad(F.col("vec_id").cast("string"), 12, "0").alias("id"), ids.difference_hash(F.col("embedding")).alias("hash"))
+    return S.near_clusters(own, 14)
+
+
+# --- quality ------------------------------------------------------------------------------------------------------
+
+RULES = {
+    "quantity": "l_quantity between 1 and 45",
+    "discount": "l_discount <= 0.08",
+    "tax": "l_tax > 0",
+    "price": "l_extendedprice / l_quantity < 1500",
+    "flag": "l_returnflag in ('A', 'N') or l_linestatus = 'F'",
+}
+
+
+@query(" union all ".join(f"select l_orderkey as id, '{n}' as rule from lineitem where not ({r})" for n, r in RULES.items()))
+def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.violations(read(spark, sf_dir, "lineitem"), "l_orderkey", {n: F.expr(r) for n, r in RULES.items()})
+
+
+GATE = {
+    "license": "s % 7 = 0",
+    "download": "s % 5 = 0",
+    "derivative": "s % 11 = 3",
+    "training": "s % 3 = 0",
+    "not yet valid": "s > 17",
+    "expired": "s < 2",
+}
+
+
+@query(f"with d as (select doc_id, cast(substr(source, 4) as int) as s from documents) select doc_id, array_to_string(list_filter([{', '.join(f'case when {r} then {quoted(n)} end' for n, r in GATE.items())}], lambda x: x is not null), '; ') as reasons, not ({' or '.join(GATE.values())}) as authorized from d")
+def authorization_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("s", F.substring("source", 4, 9).cast("int"))
+    why = R.reasons({n: F.expr(r) for n, r in GATE.items()})
+    return docs.select("doc_id", F.array_join(why, "; ").alias("reasons"), (F.size(why) == 0).alias("authorized"))
+
+
+@query("select doc_id, text_id from (select doc_id, sha256(text) as text_id, row_number() over (partition by text order by doc_id) as n from documents) where n > 1")
+def registry_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("text_id"))
+    return R.duplicates(docs, "text_id", "doc_id")
+
+
+@query("select event_id, try_cast(props->>'$.k' as int) as k, 'no number' as error_type from events where coalesce(try_cast(props->>'$.k' as int), 0) < 50")
+def failures_deadletter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.try_to_number(F.get_json_object("props", "$.k"), F.lit("999999")).cast("int")
+    return read(spark, sf_dir, "events").select("event_id", k.alias("k")).where(F.coalesce("k", F.lit(0)) < 50).withColumn("error_type", F.lit("no number"))
+
+
+@query("select event_id, coalesce((props->>'$.k')::int, -1) as k from events")
+def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").select("event_id", F.coalesce(F.from_json("props", "k int")["k"], F.lit(-1)).alias("k"))
+
+
+# --- ledgers and unions -------------------------------------------------------------------------------------------
+
+
+@query("select doc_id, lang from documents where doc_id not in (select doc_id from labels)")
+def ledger_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.not_in(read(spark, sf_dir, "documents").select("doc_id", "lang"), read(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query("select doc_id, lang as state from documents where doc_id not in (select doc_id from labels) union all select doc_id, 'q' || quality from labels")
+def ledger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = read(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("state"))
+    fresh = read(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("q"), "quality").alias("state"))
+    return R.upsert(ledger, fresh, ["doc_id"])
+
+
+@query("select 'doc:' || doc_id as id, sha256(text) as sha from documents union all select 'page:' || page_id, sha256(html) from pages")
+def item_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(F.concat(F.lit("doc:"), "doc_id").alias("id"), F.sha2("text", 256).alias("sha"))
+    pages = read(spark, sf_dir, "pages").select(F.concat(F.lit("page:"), "page_id").alias("id"), F.sha2("html", 256).alias("sha"))
+    return docs.unionByName(pages)
+
+
+# --- splits -------------------------------------------------------------------------------------------------------
+
+BUCKET = "('0x'||substr(sha256(cast(doc_id as varchar)),1,8))::bigint"
+EDGES = [int(0.8 * 2**32), int(0.9 * 2**32)]
+SPLIT_SQL = f"case when {BUCKET} < {EDGES[0]} then 'train' when {BUCKET} < {EDGES[1]} then 'val' else 'test' end"
+
+
+def with_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return docs.withColumn("split", R.hash_split(ids.bucket32(F.col("doc_id").cast("string")), RATIOS))
+
+
+@query(f"select doc_id, {SPLIT_SQL} as split from documents")
+def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_split(spark, sf_dir).select("doc_id", "split")
+
+
+SHARES_SQL = f"""with d as (select {SPLIT_SQL} as split, lang, source from documents), t as (select split, count(*) as total from d group by split),
+n as (select split, 'lang' as dimension, lang as value, count(*) as n from d group by all union all select split, 'source', source, count(*) from d group by all)
+select split, dimension, value, n, total, round(n / total, 9) as share from n join t using (split)"""
+
+
+@query(SHARES_SQL)
+def group_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.group_shares(with_split(spark, sf_dir), "split", ["lang", "source"]).withColumn("share", F.round("share", 9))
+
+
+@query(f"select split, dimension, value, share from ({SHARES_SQL}) where share > 0.06")
+def group_limit_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_shares(spark, sf_dir).where("share > 0.06").select("split", "dimension", "value", "share")
+
+
+@query(f"select s.split, count(*) as n, sum(l.quality) as good from (select doc_id, {SPLIT_SQL} as split from documents) s join labels l using (doc_id) group by s.split")
+def split_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read(spark, sf_dir, "labels")
+    return with_split(spark, sf_dir).join(labels, "doc_id").groupBy("split").agg(F.count("*").alias("n"), F.sum("quality").alias("good"))
+
+
+@query()
+def greedy_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.sha2("text", 256).alias("sha"))
+    first = F.min_by(F.struct("lang", "source"), "doc_id")
+    clusters = docs.groupBy("sha").agg(F.count("*").alias("n_items"), first.alias("f"))
+    rows = clusters.select(F.concat(F.lit("exact-"), F.substring("sha", 1, 16)).alias("cluster_id"), "n_items", F.col("f.lang").alias("platform"), F.col("f.source").alias("creator"), F.lit(None).cast("string").alias("video"))
+    return S.greedy_split(rows, S.SplitConfig(RATIOS, 42, {"platform": 0.9, "creator": 0.3}))
+
+
+# --- distributions ------------------------------------------------------------------------------------------------
+
+BUCKET_ROWS = ", ".join(f"({a}, {b}, {w})" for a, b, w in BUCKETS)
+
+
+@query(f"""with b(lo, hi, weight) as (values {BUCKET_ROWS}), v as (select cast(floor(value * 100) as bigint) as ms from events),
+n as (select lo, hi, count(*) as n from b join v on ms between lo and hi group by all)
+select b.lo, b.hi, coalesce(n, 0) as n, round(coalesce(n, 0) / (select count(*) from v), 9) as actual, round(weight / (select sum(weight) from b), 9) as target from b left join n using (lo, hi)""")
+def duration_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = read(spark, sf_dir, "events").select(F.floor(F.col("value") * 100).alias("ms"))
+    buckets = spark.createDataFrame(BUCKETS, "lo int, hi int, weight double")
+    return R.bucket_histogram(values, "ms", buckets).select("lo", "hi", "n", F.round("actual", 9).alias("actual"), F.round("target", 9).alias("target"))
+
+
+@query("select lang, count(*) as n, min(n_chars) as min_chars, max(n_chars) as max_chars, round(avg(n_chars), 6) as mean_chars, round(stddev_pop(n_chars), 6) as std_chars, count(distinct source) as sources, sum(case when n_chars < 500 then 1 else 0 end) as short from documents group by lang")
+def sample_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("n_chars")
+    return read(spark, sf_dir, "documents").groupBy("lang").agg(
+        F.count("*").alias("n"), F.min(n).alias("min_chars"), F.max(n).alias("max_chars"), F.round(F.avg(n), 6).alias("mean_chars"),
+        F.round(F.stddev_pop(n), 6).alias("std_chars"), F.countDistinct("source").alias("sources"), F.count_if(n < 500).alias("short"),
+    )
+
+
+@query("select p_size || 'x' || (p_partkey % 64 + 1) as size, (p_size // gcd(p_size, p_partkey % 64 + 1)) || ':' || ((p_partkey % 64 + 1) // gcd(p_size, p_partkey % 64 + 1)) as aspect, count(*) as n from part group by 1, 2")
+def frame_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, h = F.col("p_size").cast("long"), F.col("p_partkey") % 64 + 1
+    return read(spark, sf_dir, "part").groupBy(T.size_label(w, h).alias("size"), T.aspect_label(w, h).alias("aspect")).agg(F.count("*").alias("n"))
+
+
+@query("select l_returnflag, l_linestatus, sum(l_quantity) as quantity, round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue, count(*) as n from lineitem where l_shipdate <= timestamp '1998-09-02' group by all")
+def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "lineitem").where(F.col("l_shipdate") <= F.lit("1998-09-02").cast("timestamp_ntz"))
+    revenue = F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2)
+    return rows.groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("quantity"), revenue.alias("revenue"), F.count("*").alias("n"))
+
+
+# --- ordered sequences --------------------------------------------------------------------------------------------
+
+
+@query("select user_id, bool_and(coalesce(value >= p, true)) as monotone from (select user_id, value, lag(value) over (partition by user_id order by ts, event_id) as p from events) group by user_id")
+def pts_monotonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.non_decreasing(read(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "value")
+
+
+@query("""with p as (select distinct user_id, cast(floor(epoch(ts) / 3600) as bigint) as h from events), m as (select *, case when h - lag(h) over (partition by user_id order by h) - 1 > 6 then 1 else 0 end as new from p),
+r as (select *, sum(new) over (partition by user_id order by h) as run from m) select user_id, min(h) as start, max(h) + 1 as "end" from r group by user_id, run having max(h) + 1 - min(h) >= 3""")
+def islands_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = read(spark, sf_dir, "events").select("user_id", F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600).alias("h"))
+    return R.islands(hours, "user_id", "h", 6, 3)
+
+
+@query("select user_id, event_id, epoch_us(ts) // 1000 as start_ms, epoch_us(n) // 1000 - epoch_us(ts) // 1000 as duration_ms from (select *, lead(ts) over (partition by user_id order by ts) as n from events where event_type = 'click') where epoch_us(n) // 1000 > epoch_us(ts) // 1000")
+def scene_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cuts = read(spark, sf_dir, "events").where("event_type = 'click'").select("user_id", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("start_ms"))
+    return R.intervals(cuts, "user_id", "start_ms").select("user_id", "event_id", "start_ms", (F.col("next") - F.col("start_ms")).alias("duration_ms"))
+
+
+@query("""with o as (select o_orderkey, o_custkey as k, (o_orderkey * 7919) % 2592000 as t from orders), e as (select user_id as k, event_id, cast(floor(epoch(ts)) as bigint) - 1704067200 as t from events)
+select o_orderkey, (select event_id from e where e.k = o.k and e.t >= o.t order by e.t, event_id limit 1) as event_id from o""")
+def asof_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), (F.col("o_orderkey") * 7919 % 2592000).alias("t"))
+    right = read(spark, sf_dir, "events").select(F.col("user_id").alias("k"), "event_id", (F.unix_timestamp(F.col("ts").cast("timestamp")) - 1704067200).alias("t"))
+    return R.asof_forward(left, right, "k", "t", "event_id").select("o_orderkey", "event_id")
+
+
+@query("select c_custkey, unnest(case when n <= 5 then range(n) else list_distinct(list_transform(range(5), lambda i: cast(round_even(i * (n - 1) / 4.0, 0) as bigint))) end) as pick from (select c_custkey, c_custkey % 23 as n from customer)")
+def even_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "customer").select("c_custkey", F.explode(T.even_picks(F.col("c_custkey") % 23, 5)).alias("pick"))
+
+
+@query("select l_orderkey, l_linenumber, l_orderkey * 10 + cast(round_even(l_linenumber * l_partkey / 6.0, 0) as bigint) as t7, l_orderkey * 10 + l_partkey // 2 as t1 from lineitem")
+def representative_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start, d = F.col("l_orderkey") * 10, F.col("l_partkey")
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", T.representative_time(start, d, 7, F.col("l_linenumber")).alias("t7"), T.representative_time(start, d, 1, F.lit(0)).alias("t1"))
+
+
+@query("with f as (select c_custkey, row_number() over (order by c_custkey) - 1 as pos from customer where c_custkey <= 97) select o_orderkey, c_custkey from orders join f on o_orderkey % (select count(*) from f) = pos")
+def round_robin_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = read(spark, sf_dir, "customer").where("c_custkey <= 97")
+    n = frames.count()
+    pos = frames.withColumn("pos", F.row_number().over(R.W.orderBy("c_custkey")) - 1).select("c_custkey", "pos")
+    return R.round_robin(read(spark, sf_dir, "orders").select("o_orderkey"), F.col("o_orderkey"), pos, "pos", n)
+
+
+@query("select l_orderkey, l_linenumber, cast(round_even(l_orderkey * 1000 / 3000.0::double, 0) as bigint) as ms, cast(round_even(l_partkey * 15360 / 1000.0::double, 0) as bigint) as pts from lineitem")
+def ticks_ms_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = F.lit(1)
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", T.ticks_to_ms(F.col("l_orderkey"), one, F.lit(3000)).alias("ms"), T.ms_to_pts(F.col("l_partkey"), one, F.lit(15360)).alias("pts"))
+
+
+@query("""select event_id, round(case when i > 0 and t < i then greatest(0, t / i) when o > 0 and t > 1000 - o then greatest(0, (1000 - t) / o) else 1 end, 9) as factor
+from (select event_id, event_id % 1100 as t, event_id % 7 * 50 as i, event_id % 5 * 60 as o from events)""")
+def fade_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    return read(spark, sf_dir, "events").select("event_id", F.round(T.fade_factor(e % 1100, F.lit(0), F.lit(1000), e % 7 * 50, e % 5 * 60), 9).alias("factor"))
+
+
+@query("""select event_id, greatest(0, event_id * 3 - d // 2) as start_time_ms, greatest(0, event_id * 3 - d // 2) + d as end_time_ms, cast(round_even(greatest(0, event_id * 3 - d // 2) * 15360 / 1000.0::double, 0) as bigint) as start_pts,
+greatest(cast(round_even(d / 1000.0::double * r, 0) as bigint), 1) as duration_frames, greatest(0, event_id - greatest(cast(round_even(d / 1000.0::double * r, 0) as bigint), 1) // 2) as start_frame
+from (select event_id, event_id % 4000 + 300 as d, case when event_id % 3 = 0 then 30.0::double else 24.0::double end as r from events)""")
+def event_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    own = T.event_timing(e % 4000 + 300, e * 3, e, F.when(e % 3 == 0, 0.0).otherwise(24.0), F.lit(1), F.lit(15360))
+    return read(spark, sf_dir, "events").select("event_id", own.alias("t")).select("event_id", *(f"t.{c}" for c in ("start_time_ms", "end_time_ms", "start_pts", "duration_frames", "start_frame")))
+
+
+@query("with r as (select user_id, event_id, epoch_us(ts) // 1000 as now, row_number() over (partition by user_id order by ts, event_id) as i from events) select event_id, max(now - i * 60000) over (partition by user_id order by i) + i * 60000 as slot from r")
+def rate_limit_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "events").select("user_id", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("now"))
+    return R.rate_slots(rows, "user_id", ["now", "event_id"], "now", 60000).select("event_id", "slot")
+
+
+# --- boxes --------------------------------------------------------------------------------------------------------
+
+BOX = "(select vec_id, round(least(abs(embedding[1]) * 3, 0.9)::double, 6) as x0, round(least(abs(embedding[2]) * 4, 0.9)::double, 6) as y0, round(least(abs(embedding[3]), 0.3)::double, 6) as w, round(least(abs(embedding[4]), 0.3)::double, 6) as h from embeddings)"
+BOXES = f"(select vec_id, x0, y0, x0 + w as x1, y0 + h as y1 from {BOX})"
+CORNER_SQL = "(((x0 + x1) / 2 <= 0.25 or (x0 + x1) / 2 >= 0.75) and ((y0 + y1) / 2 <= 0.25 or (y0 + y1) / 2 >= 0.75) and (x1 - x0) * (y1 - y0) <= 0.06)"
+ROLE_SQL = f"case when (y0 + y1) / 2 >= 0.55 then 'subtitle' when {CORNER_SQL} then 'watermark' else 'scene_text' end"
+
+
+def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lambda i, k, most: F.round(F.least(F.abs(F.get("embedding", i)) * F.lit(k).cast("float"), F.lit(most).cast("double")).cast("double"), 6)
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", at(0, 3, 0.9).alias("x0"), at(1, 4, 0.9).alias("y0"), at(2, 1, 0.3).alias("w"), at(3, 1, 0.3).alias("h"))
+    return rows.select("vec_id", "x0", "y0", (F.col("x0") + F.col("w")).alias("x1"), (F.col("y0") + F.col("h")).alias("y1"))
+
+
+def sides(prefix: str = "") -> G.Box:
+    return tuple(F.col(prefix + c) for c in ("x0", "y0", "x1", "y1"))
+
+
+@query(f"select vec_id, {ROLE_SQL} as role from {BOXES}")
+def box_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boxes(spark, sf_dir).select("vec_id", G.geometric_role(sides()).alias("role"))
+
+
+@query(f"select vec_id, ({ROLE_SQL} in ('subtitle', 'watermark') and greatest(x0, 0.34) < least(x1, 0.66) and greatest(y0, 0.61) < least(y1, 0.91)) as rejected from {BOXES}")
+def text_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = G.widened(tuple(F.lit(x) for x in (0.35, 0.62, 0.65, 0.9)), 0.01)
+    bad = G.geometric_role(sides()).isin("subtitle", "watermark") & G.intersects(sides(), target)
+    return boxes(spark, sf_dir).select("vec_id", bad.alias("rejected"))
+
+
+@query(f"""with b as (select *, vec_id // 50 as frame from {BOXES}), p as (select a.vec_id as a, b.vec_id as b, greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) as i,
+(a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) as s from b a join b on a.frame = b.frame and a.vec_id < b.vec_id) select a, b, round(i / (s - i), 6) as iou from p where i > 0 and i / (s - i) >= 0.2""")
+def box_iou_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = boxes(spark, sf_dir).withColumn("frame", F.floor(F.col("vec_id") / 50))
+    names = ("vec_id", "x0", "y0", "x1", "y1")
+    left, right = (own.select("frame", *(F.col(c).alias(side + c) for c in names)) for side in ("a_", "b_"))
+    value = G.iou(sides("a_"), sides("b_"))
+    pairs = left.join(right, "frame").where(F.col("a_vec_id") < F.col("b_vec_id")).withColumn("iou", value).where("iou >= 0.2 and iou > 0")
+    return pairs.select(F.col("a_vec_id").alias("a"), F.col("b_vec_id").alias("b"), F.round("iou", 6).alias("iou"))
+
+
+@query("""select p_partkey, x0, y0, x0 + w as x1, y0 + h as y1 from (select p_partkey, w, h, (a - w) // 2 as x0, (b - h) // 2 as y0 from
+(select p_partkey, a, b, case when a * 9 > 16 * b then cast(round_even(b * 16 / 9.0::double, 0) as bigint) else a end as w, case when a * 9 > 16 * b then b else cast(round_even(a * 9 / 16.0::double, 0) as bigint) end as h
+from (select p_partkey, p_partkey % 500 + 320 as a, p_size * 10 + 200 as b from part)))""")
+def crop_rects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = G.center_crop(F.col("p_partkey") % 500 + 320, (F.col("p_size") * 10 + 200).cast("long"), F.lit(16), F.lit(9))
+    return read(spark, sf_dir, "part").select("p_partkey", own.alias("c")).select("p_partkey", "c.x0", "c.y0", "c.x1", "c.y1")
+
+
+@query("with n as (select user_id, event_type, count(*) as n, min(event_id) as f from events group by all) select user_id, event_type from (select *, row_number() over (partition by user_id order by n desc, f) as r from n) where r = 1")
+def majority_role(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.majority(read(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id")
+
+
+@query("select user_id, round(count(distinct event_type) / 5, 9) as persistence, round(stddev_pop(value), 4) as std, round(avg(value), 4) as mean from events group by user_id having stddev_pop(value) <= 60")
+def track_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = read(spark, sf_dir, "events").groupBy("user_id").agg((F.countDistinct("event_type") / 5).alias("p"), F.stddev_pop("value").alias("s"), F.avg("value").alias("m"))
+    return own.where("s <= 60").select("user_id", F.round("p", 9).alias("persistence"), F.round("s", 4).alias("std"), F.round("m", 4).alias("mean"))
+
+
+@query()
+def box_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = boxes(spark, sf_dir).withColumn("video", (F.col("vec_id") % 7).cast("string")).withColumn("frame", F.floor(F.col("vec_id") / 70)).withColumnRenamed("vec_id", "box")
+    return S.tracks(own, 0.3).select("video", "frame", "box", "track")
+
+
+# --- sampling and windows -----------------------------------------------------------------------------------------
+
+
+@query("""with u as (select event_id, ('0x'||substr(sha256('7:' || event_id),1,8))::bigint / 4294967296.0::double as u from events) select event_id, case when u * 10 <= 2 then 'short' when u * 10 <= 7 then 'middle' else 'long' end as choice from u""")
+def weighted_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = sampling.hash_uniform(F.lit("7"), F.col("event_id").cast("string"))
+    return read(spark, sf_dir, "events").select("event_id", R.weighted_choice(u, [("short", 2.0), ("middle", 5.0), ("long", 3.0)]).alias("choice"))
+
+
+@query()
+def seeded_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = [r.text for r in read(spark, sf_dir, "benchmark").where("text is not null").orderBy("item_id").limit(1000).collect()]
+    return sampling.draw_samples(spark, 5000, 42, lines)
+
+
+@query("select time_bucket(interval 1 hour, ts) as start, event_type, count(*) as n, round(sum(value), 6) as total from events group by 1, 2")
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streams.windowed(read(spark, sf_dir, "events")).withColumn("total", F.round("total", 6))
+
+
+@query("""with m as (select user_id, ts, case when ts >= lag(ts) over (partition by user_id order by ts) + interval 30 minutes then 1 else 0 end as new from events),
+r as (select *, sum(new) over (partition by user_id order by ts) as run from m) select user_id, min(ts) as start, count(*) as n from r group by user_id, run""")
+def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streams.sessions(read(spark, sf_dir, "events"))
