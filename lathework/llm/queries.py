@@ -77,5 +77,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: A-Z in lower case, and nothing else.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION = rf"""
+with d as (select doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select cast(item_id as varchar) as item, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+s as (select item, w, least(len(w), 8) as n, unnest(range(greatest(len(w) - 7, 1))) as i from b where len(w) > 0),
+windows as (select distinct item, n, array_to_string(w[i + 1 : i + n], ' ') as k from s),
+sizes as (select distinct n from windows),
+p as (select doc_id, w, n, unnest(range(len(w) - n + 1)) as i from d, sizes where len(w) >= n),
+hits as (select doc_id, item, i, p.n from p join windows on p.n = windows.n and k = array_to_string(w[i + 1 : i + p.n], ' ')),
+places as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from hits) group by doc_id),
+names as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from hits) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_items, 0) >= 2 as contaminated
+from d left join places using (doc_id) left join names using (doc_id)"""
+
+NEAR = rf"""
+with recursive d as (select doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+g as (select doc_id, w, unnest(range(greatest(len(w) - 4, 1))) as i from d where len(w) > 0),
+s as (select distinct doc_id, hash(w[i + 1 : i + 5]) as x, w[i + 1 : i + 5] as k from g),
+n as (select doc_id, count(*) as n from s group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b on a.x = b.x and a.k = b.k and a.doc_id <> b.doc_id group by all),
+links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * common >= 85 * (x.n + y.n - common)),
+reach as (select doc_id as a, doc_id as b from d union select r.a, l.b from reach r join links l on l.a = r.b)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, r.c as component_id, d.doc_id = r.c as kept from d left join n using (doc_id) join (select a, min(b) as c from reach group by a) r on r.a = d.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_decontamination": DECONTAMINATION, "op10_minhash": NEAR}
