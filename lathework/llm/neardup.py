@@ -16,8 +16,12 @@ from lathework.llm.runtime import prepare, stage_table
 
 #: Bands of ROWS minima each. A pair of similarity 0.85 shares no band with chance (1 - 0.85**5)**32, about 7e-9.
 BANDS, ROWS = 32, 5
-#: Pairs whose signatures agree less than the threshold less this are not looked at again: 5 standard deviations.
-SLACK = 5 * (0.85 * 0.15 / (BANDS * ROWS)) ** 0.5
+#: Pairs whose signatures agree less than the threshold by this many standard deviations are not verified.
+DEVIATIONS = 4
+#: Bins of the fine signature, one byte each: the smallest hash of a bin.
+BINS_LOG = 9
+#: Waves of comparison after the first stars: the likeliest pair of each member in its block, then every pair.
+WAVES = (False, True)
 #: Members of a bucket that one task compares with as many others; partners of a document that one task verifies.
 CELL, PARTNERS = 384, 96
 
@@ -48,17 +52,27 @@ def minima(x: np.ndarray) -> np.ndarray:
     return out
 
 
+def fine_signature(x: np.ndarray) -> bytes:
+    """A byte of the smallest hash in each bin, 0 in empty ones; ``x`` is sorted and its leading bits name the bin."""
+    out = np.zeros(1 << BINS_LOG, np.uint8)
+    bins = (x >> np.uint64(64 - BINS_LOG)).astype(np.int64)
+    first = np.flatnonzero(np.append(True, bins[1:] != bins[:-1])[: len(x)])
+    out[bins[first]] = ((x[first] >> np.uint64(8)) % np.uint64(255)).astype(np.uint8) + np.uint8(1)
+    return out.tobytes()
+
+
 def _sketch(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs = vec.texts(batch.column(1))
             if not docs:
                 continue
-            n, h1, h2, signature, bands = [], [], [], [], []
+            n, h1, h2, signature, fine, bands = [], [], [], [], [], []
             for x in sets_of(docs, width):
                 n.append(len(x))
                 h1.append(np.bitwise_xor.reduce(vec.mix(x + vec.MIX_1)) if len(x) else np.uint64(0))
                 h2.append(vec.mix(x ^ vec.MIX_2).sum(dtype=np.uint64))
+                fine.append(fine_signature(x))
                 m = minima(x)
                 signature.append(((m * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes())
                 wide = m.reshape(BANDS, ROWS).astype(np.uint64)
@@ -67,8 +81,8 @@ def _sketch(width: int):
                     key = vec.mix(key * np.uint64(vec.BASE_A) + wide[:, k])
                 bands.append(key.view(np.int64))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, len(n) * BANDS + 1, BANDS, dtype=np.int32)), pa.array(np.concatenate(bands)))
-            cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(h1, np.uint64).view(np.int64)), pa.array(np.array(h2, np.uint64).view(np.int64)), pa.array(signature, pa.binary()), flat]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "h1", "h2", "sig", "bands"])
+            cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(h1, np.uint64).view(np.int64)), pa.array(np.array(h2, np.uint64).view(np.int64)), pa.array(signature, pa.binary()), pa.array(fine, pa.binary()), flat]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "h1", "h2", "sig", "fine", "bands"])
 
     return run
 
@@ -84,23 +98,38 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_agreement(batch.column(2), batch.column(3)))], ["a", "b", "e"])
 
 
-def _cells(least: float, ratio: float):
-    """Pairs of different components within a cell whose signatures and sizes allow a link; cells arrive in order."""
+def likeness(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Estimated similarity by signatures; bins that are empty on both sides don't count."""
+    full = (many > 0) | (one > 0)
+    return ((many == one) & full).sum(1) / np.maximum(full.sum(1), 1)
+
+
+def _cells(least: float, ratio: float, every: bool):
+    """Pairs of different components within a cell whose signatures and sizes allow a link; cells arrive in order.
+
+    Unless ``every`` pair is asked for, each member outside the cell's largest component gives its likeliest pair.
+    """
 
-    def pairs(key: tuple, held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(key: tuple, held: list[tuple]) -> pa.RecordBatch:
         block, rep, comp, n = (np.array([h[k] for h in held], np.int64) for k in range(4))
         sig = np.frombuffer(b"".join(h[4] for h in held), np.uint8).reshape(len(held), -1)
+        kinds, inverse, count = np.unique(comp, return_inverse=True, return_counts=True)
+        small = inverse != count.argmax()
         left, right = np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2])
-        a, b = [], []
-        for i in left:
-            to = right[comp[right] != comp[i]]
-            if key[1] == key[2]:
-                to = to[rep[to] > rep[i]]
+        out: list[tuple[int, int, float]] = []
+        for i in np.flatnonzero(small):
+            to = right if block[i] == key[1] else left
+            to = to[comp[to] != comp[i]]
+            if every:  # a pair of two small members is met from both sides
+                to = to[~small[to] | (rep[to] > rep[i])]
             to = to[np.minimum(n[to], n[i]) >= ratio * np.maximum(n[to], n[i]) - 1e-9]
-            to = to[(sig[to] == sig[i]).mean(1) >= least]
-            a.append(np.full(len(to), rep[i]))
-            b.append(rep[to])
-        return np.concatenate(a or [np.zeros(0, np.int64)]), np.concatenate(b or [np.zeros(0, np.int64)])
+            e = likeness(sig[i], sig[to]) if every else (sig[to] == sig[i]).mean(1)
+            to, e = to[e >= least], e[e >= least]
+            if len(to) and not every:
+                best = np.lexsort((rep[to], -e))[:1]
+                to, e = to[best], e[best]
+            out += [(int(rep[i]), int(rep[k]), float(x)) for k, x in zip(to, e, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64())], ["b", "a", "e"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -108,13 +137,11 @@ def _cells(least: float, ratio: float):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[:3] != now:
                     if len(held) > 1:
-                        a, b = pairs(now, held)
-                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                        yield pairs(now, held)
                     now, held = row[:3], []
                 held.append(row[3:])
         if len(held) > 1:
-            a, b = pairs(now, held)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            yield pairs(now, held)
 
     return run
 
@@ -159,7 +186,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Equal sets are one class from the start. Classes that share a band meet in its bucket: each is first verified
     against the one of the buckets' smallest members that its signature likes best; then the members of a bucket that
     are not in one component yet are compared in blocks by signature, and what may be similar is verified on full
-    sets. No bucket is capped, and no pair inside a component is looked at. Returns ``doc_id, n_shingles,
+    sets: the likeliest pair of each member first, as that joins most of them, at last every pair. No bucket is
+    capped, and no pair inside a component is looked at. Returns ``doc_id, n_shingles,
     component_id, kept``, a row for each row of ``docs``; the kept document of a group has its smallest id.
 
     Null texts and texts without words have no shingles, are kept and linked with nothing. Rows of one id count as
@@ -167,19 +195,21 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     prepare(docs.sparkSession)
     share = Fraction(percent, 100)
-    slack = float(share) - 5 * (float(share) * (1 - float(share)) / (BANDS * ROWS)) ** 0.5
+    slack = float(share) - DEVIATIONS * (float(share) * (1 - float(share)) / (BANDS * ROWS)) ** 0.5
+    sharp = float(share) - DEVIATIONS * (float(share) * (1 - float(share)) / (1 << BINS_LOG)) ** 0.5
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = stage_table(plain.mapInArrow(_sketch(width), "doc_id long, n long, h1 long, h2 long, sig binary, bands array<long>"), "sketches")
+    sketch = stage_table(plain.mapInArrow(_sketch(width), "doc_id long, n long, h1 long, h2 long, sig binary, fine binary, bands array<long>"), "sketches")
     some = sketch.where("n > 0 and doc_id is not null")
     classes = stage_table(some.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = some.join(classes.select(F.col("rep").alias("doc_id"), "h1", "h2", "n"), ["doc_id", "h1", "h2", "n"]).dropDuplicates(["doc_id", "h1"])
-    reps = stage_table(reps.select(F.col("doc_id").alias("rep"), "n", "sig", "bands"), "classes")
+    key = ["doc_id", "h1", "h2", "n"]
+    reps = some.select(*key, "bands").join(classes.select(F.col("rep").alias("doc_id"), "h1", "h2", "n"), key).dropDuplicates(key)
 
-    keyed = reps.select("rep", F.explode("bands").alias("key"))
+    keyed = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("c"), F.max("rep").alias("z"), F.count("*").alias("k")).where("c <> z").drop("z")
     members = stage_table(keyed.join(stage_table(shared, "buckets"), "key"), "members")
 
-    known = reps.select("rep", "n", "sig")
+    known = some.select(F.col("doc_id").alias("rep"), "n", "sig")
+    finely = some.select(F.col("doc_id").alias("rep"), "n", F.col("fine").alias("sig"))
 
     def sized(pairs: DataFrame) -> DataFrame:
         """Joins the sizes and signatures of both sides."""
@@ -193,17 +223,23 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     best = liked.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a")).select("a", "b")
     links = stage_table(confirmed(stage_table(best, "pairs"), plain, width, share), "links")
 
-    comp = components(links)
-    placed = members.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).select("key", "rep", "k", "comp")
-    placed = stage_table(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("c"), F.max("comp").alias("z")).where("c <> z").select("key")
     parts = F.ceil(F.col("k") / CELL).cast("int")
-    blocked = placed.join(stage_table(mixed, "mixed"), "key").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
-    cells = blocked.join(known, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp", "n", "sig")
-    rest = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cells(slack, percent / 100), "a long, b long").distinct()
-    more = stage_table(confirmed(stage_table(rest, "pairs"), plain, width, share), "links")
-    comp = components(links.unionByName(more)).withColumnRenamed("node", "rep")
+    for every in WAVES:
+        comp = components(links).withColumnRenamed("node", "rep")
+        placed = members.join(comp, "rep", "left").select("key", "rep", "k", F.coalesce("component", "rep").alias("comp"))
+        placed = stage_table(placed, "placed")
+        mixed = placed.groupBy("key").agg(F.min("comp").alias("c"), F.max("comp").alias("z")).where("c <> z").select("key")
+        blocked = placed.join(stage_table(mixed, "mixed"), "key").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
+        cells = blocked.join(finely if every else known, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        cells = cells.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp", "n", "sig")
+        likely = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cells(sharp if every else slack, percent / 100, every), "b long, a long, e double")
+        if every:
+            likely = likely.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
+        else:
+            likely = likely.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a"))
+        more = stage_table(confirmed(stage_table(likely.select("a", "b"), "pairs"), plain, width, share), "links")
+        links = links.unionByName(more)
+    comp = components(links).withColumnRenamed("node", "rep")
 
     out = sketch.select("doc_id", "n", "h1", "h2").join(classes, ["h1", "h2", "n"], "left").join(comp, "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
