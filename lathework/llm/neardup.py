@@ -80,6 +80,7 @@ def _sketch(width: int):
                 for k in range(ROWS):
                     key = vec.mix(key * np.uint64(vec.BASE_A) + wide[:, k])
                 bands.append(key.view(np.int64))
+                fine[-1] += key.tobytes()
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, len(n) * BANDS + 1, BANDS, dtype=np.int32)), pa.array(np.concatenate(bands)))
             cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(h1, np.uint64).view(np.int64)), pa.array(np.array(h2, np.uint64).view(np.int64)), pa.array(signature, pa.binary()), pa.array(fine, pa.binary()), flat]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "h1", "h2", "sig", "fine", "bands"])
@@ -108,11 +109,14 @@ def _cells(least: float, ratio: float, every: bool):
     """Pairs of different components within a cell whose signatures and sizes allow a link; cells arrive in order.
 
     Unless ``every`` pair is asked for, each member outside the cell's largest component gives its likeliest pair.
+    A pair that meets in several buckets is given in that of its first common band only.
     """
 
     def pairs(key: tuple, held: list[tuple]) -> pa.RecordBatch:
         block, rep, comp, n = (np.array([h[k] for h in held], np.int64) for k in range(4))
         sig = np.frombuffer(b"".join(h[4] for h in held), np.uint8).reshape(len(held), -1)
+        if every:
+            sig, bands = sig[:, : 1 << BINS_LOG], np.ascontiguousarray(sig[:, 1 << BINS_LOG :]).view(np.int64)
         kinds, inverse, count = np.unique(comp, return_inverse=True, return_counts=True)
         small = inverse != count.argmax()
         left, right = np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2])
@@ -125,7 +129,10 @@ def _cells(least: float, ratio: float, every: bool):
             to = to[np.minimum(n[to], n[i]) >= ratio * np.maximum(n[to], n[i]) - 1e-9]
             e = likeness(sig[i], sig[to]) if every else (sig[to] == sig[i]).mean(1)
             to, e = to[e >= least], e[e >= least]
-            if len(to) and not every:
+            if every and len(to):
+                here = bands[i][(bands[to] == bands[i]).argmax(1)] == key[0]
+                to, e = to[here], e[here]
+            elif len(to):
                 best = np.lexsort((rep[to], -e))[:1]
                 to, e = to[best], e[best]
             out += [(int(rep[i]), int(rep[k]), float(x)) for k, x in zip(to, e, strict=True)]
@@ -230,7 +237,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         placed = stage_table(placed, "placed")
         mixed = placed.groupBy("key").agg(F.min("comp").alias("c"), F.max("comp").alias("z")).where("c <> z").select("key")
         blocked = placed.join(stage_table(mixed, "mixed"), "key").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
-        cells = blocked.join(finely if every else known, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        cells = blocked.join(finely if every else known, "rep")
+        cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)) if every else F.col("block"))
         cells = cells.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp", "n", "sig")
         likely = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cells(sharp if every else slack, percent / 100, every), "b long, a long, e double")
         if every:
