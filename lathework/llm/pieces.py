@@ -16,8 +16,12 @@ from lathework.llm.runtime import prepare, stage_table
 
 #: A public vocabulary; any other model file of the same format may be given.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Characters of a document from which it is scanned in chunks, of one chunk, and words whose pieces a worker keeps.
-GIANT, CHUNK, KEPT_WORDS = 1 << 16, 1 << 14, 200_000
+#: Characters of a document from which it is scanned in chunks, and of one chunk.
+GIANT, CHUNK = 1 << 20, 1 << 16
+#: Bytes of text that a worker encodes at once, of a word that is searched together with others, and words of one search.
+BLOCK_BYTES, SHORT_WORD, TOGETHER = 4 << 20, 48, 1 << 15
+#: Bits of the table that finds a piece by its hash.
+TABLE_BITS = 20
 NONE = -1e30
 #: Fixed values of the format: the sign of a blank, kinds of pieces, and how much an unknown character lies under the least score.
 BLANK, NORMAL, UNKNOWN, CONTROL, USER, BYTE, PENALTY = "▁", 1, 2, 3, 4, 6, 10.0
@@ -48,11 +52,10 @@ def _fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:
             at += n
 
 
-class Vocabulary(dict):
-    """Pieces with their scores. As a dict it gives the ids of a word, as int32 bytes, and keeps them for a while."""
+class Vocabulary:
+    """Pieces with their scores. Texts are bytes in which a blank stands for its sign."""
 
     def __init__(self, model: bytes):
-        super().__init__()
         self.piece: dict[str, tuple[int, float]] = {}
         self.bytes: dict[int, int] = {}
         self.plain: list[bytes] = []
@@ -75,14 +78,126 @@ class Vocabulary(dict):
         if len(self.bytes) < 256:
             raise ValueError("the model has no byte pieces")
         # a word ends before a blank that follows another character, and at a line feed, if no piece reaches across
-        across = [p for p in self.piece if re.search(f"[^{BLANK}]{BLANK}", p) or "\n" in p[1:] or "\n" in p[:-1]]
-        self.words = re.compile(f"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+" if not across else "(?s:.+)").findall
+        self.apart = not any(re.search(f"[^{BLANK}]{BLANK}", p) or "\n" in p[1:] or "\n" in p[:-1] for p in self.piece)
+        self._index()
+
+    def _index(self) -> None:
+        """Tables from the hash of a piece's bytes, last byte first, to its place, id and score."""
+        plain = [p.replace(BLANK, " ").encode() for p in self.piece]
+        self.widest = max(map(len, plain), default=1)
+        self.power = np.array([pow(vec.BASE_A, k, 1 << 64) for k in range(self.widest)], np.uint64)
+        self.key = np.zeros(len(plain) + 1, np.uint64)
+        for i, p in enumerate(plain):
+            own = np.frombuffer(p, np.uint8)[::-1].astype(np.uint64) + np.uint64(1)
+            self.key[i] = (own * self.power[: len(p)]).sum(dtype=np.uint64)
+        self.id = np.array([k for k, _ in self.piece.values()] + [-1], np.int32)
+        self.score = np.array([x for _, x in self.piece.values()] + [NONE])
+        self.first = np.full(1 << TABLE_BITS, len(plain), np.int32)
+        self.second: dict[int, list[int]] = {}
+        self.crowded = np.zeros(1 << TABLE_BITS, bool)
+        for i, at in enumerate(self._place(self.key[:-1]).tolist()):
+            if self.first[at] == len(plain):
+                self.first[at] = i
+            else:
+                self.crowded[at] = True
+                self.second.setdefault(at, []).append(i)
+        self.of_byte = np.array([self.bytes[k] for k in range(256)], np.int32)
+
+    @staticmethod
+    def _place(h: np.ndarray) -> np.ndarray:
+        return (h * vec.MIX_1 >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Place of the piece with each hash; the last place, without id, for none."""
+        at = self._place(h)
+        got = self.first[at]
+        out = np.where(self.key[got] == h, got, len(self.key) - 1)
+        for i in np.flatnonzero(self.crowded[at] & (self.key[got] != h)):
+            for k in self.second[int(at[i])]:
+                if self.key[k] == h[i]:
+                    out[i] = k
+        return out
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        found = self[word] = self.best(word, 0, len(word))
-        return found
+    def _together(self, text: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many short words, one after another, and their number for each word. ``text`` has a row for each byte
+        position and a column for each word, longest words first."""
+        width, m = text.shape
+        lead = (text & 0xC0) != 0x80
+        score = np.full((width + 1, m), NONE)
+        score[0] = 0.0
+        back, step = np.zeros((width + 1, m), np.int32), np.ones((width + 1, m), np.int8)
+        begin = np.zeros(m, np.int64)
+        for end in range(1, width + 1):
+            n = int(np.searchsorted(-size, -end, "right"))
+            if not n:
+                break
+            begin = np.where(lead[end - 1, :n], end - 1, begin[:n])
+            whole = (size[:n] == end) | (lead[end, :n] if end < width else True)
+            best, own, far = np.full(n, NONE), self.of_byte[text[end - 1, :n]], np.ones(n, np.int8)
+            single = np.zeros(n, bool)
+            h = np.zeros(n, np.uint64)
+            for back_by in range(1, min(end, self.widest) + 1):
+                h = h + (text[end - back_by, :n].astype(np.uint64) + np.uint64(1)) * self.power[back_by - 1]
+                got = self._find(h)
+                ok = np.flatnonzero((self.id[got] >= 0) & whole)
+                if not len(ok):
+                    continue
+                single[ok] |= begin[ok] == end - back_by
+                total = score[end - back_by, ok] + self.score[got[ok]]
+                good = (total >= best[ok]) & (score[end - back_by, ok] > NONE)
+                ok, total = ok[good], total[good]
+                best[ok], own[ok], far[ok] = total, self.id[got[ok]], back_by
+            odd = np.flatnonzero(whole & ~single)
+            total = score[begin[odd], odd] + self.unknown
+            odd, total = odd[total > best[odd]], total[total > best[odd]]
+            best[odd], own[odd], far[odd] = total, self.of_byte[text[end - 1, odd]], 1
+            score[end, :n], back[end, :n], step[end, :n] = np.where(whole, best, NONE), own, far
+        at, count = size.copy(), np.zeros(m, np.int64)
+        found = np.zeros((m, width), np.int32)
+        while len(go := np.flatnonzero(at > 0)):
+            found[go, count[go]] = back[at[go], go]
+            at[go] -= step[at[go], go]
+            count[go] += 1
+        lo = np.concatenate(([0], np.cumsum(count)))
+        return found[np.repeat(np.arange(m), count), np.repeat(lo[:-1] + count - 1, count) - np.arange(lo[-1])], count
+
+    def encode(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts in a row, and where each text's begin. Each distinct word is searched once."""
+        buf = np.frombuffer(b"".join(b" " + d.replace(BLANK.encode(), b" ") for d in docs if d), np.uint8)
+        size = np.array([len(d) - 2 * d.count(BLANK.encode()) + 1 if d else 0 for d in docs], np.int64)
+        at = np.concatenate(([0], np.cumsum(size)))
+        if not len(buf):
+            return np.zeros(0, np.int32), np.zeros(len(docs) + 1, np.int64)
+        cut = np.zeros(len(buf), bool)
+        if self.apart:
+            blank, line = buf == 32, buf == 10
+            cut[1:] = blank[1:] & ~blank[:-1] | line[1:] | line[:-1]
+        cut[at[:-1][size > 0]] = True
+        first = np.flatnonzero(cut)
+        last = np.append(first[1:], len(buf))
+        _, one, which = np.unique(vec.spans(vec.prefix(buf), first, last), return_index=True, return_inverse=True)
+        word, length = first[one], (last - first)[one]
+        order = np.argsort(-length, kind="stable")
+        ids, count = [], np.zeros(len(one), np.int64)
+        long = int(np.searchsorted(-length[order], -SHORT_WORD))
+        for k in order[:long].tolist():
+            text = bytes(buf[word[k] : word[k] + length[k]]).decode().replace(" ", BLANK)
+            ids.append(np.frombuffer(self.best(text, 0, len(text)), "<i4"))
+            count[k] = len(ids[-1])
+        for i in range(long, len(order), TOGETHER):
+            own = order[i : i + TOGETHER]
+            width = int(length[own[0]])
+            text = buf[np.minimum(word[own] + np.arange(width)[:, None], len(buf) - 1)]
+            found, n = self._together(text, length[own])
+            ids.append(found)
+            count[own] = n
+        lo = np.zeros(len(one), np.int64)
+        lo[order] = np.concatenate(([0], np.cumsum(count[order])[:-1]))
+        flat = np.concatenate(ids)
+        n = count[which]
+        to = np.concatenate(([0], np.cumsum(n)))
+        out = flat[np.repeat(lo[which] - to[:-1], n) + np.arange(to[-1])]
+        return out, np.append(to, to[-1])[np.searchsorted(first, at)]
 
     def links(self, text: str, start: int, most: int) -> Iterator[tuple[int, int | None, float]]:
         """End, id and score of the pieces at ``start``; an unknown character has no id."""
@@ -112,9 +227,6 @@ class Vocabulary(dict):
             last = start
         return np.array(out[::-1], "<i4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.words(marked(text)))) if text else b""
-
     def decode(self, ids: bytes) -> bytes:
         """Text of the ids, with the blank that encoding puts in front."""
         return b"".join(map(self.plain.__getitem__, np.frombuffer(ids, "<i4").tolist()))
@@ -162,9 +274,12 @@ def _small(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(model.value)
         for batch in batches:
-            ids = [v.encode(t or "") for t in batch.column(2).to_pylist()]
-            zero = pa.array(np.zeros(len(ids), np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), zero, pa.array(ids, pa.binary())], ["doc_id", "th", "chunk", "ids"])
+            docs = vec.texts(batch.column(2))
+            for i, j in vec.blocks(docs, BLOCK_BYTES):
+                flat, at = v.encode(docs[i:j])
+                ids = [flat[a:z].tobytes() for a, z in zip(at, at[1:], strict=False)]
+                own = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(np.zeros(j - i, np.int32)), pa.array(ids, pa.binary())], ["doc_id", "th", "chunk", "ids"])
 
     return run
 
@@ -321,14 +436,17 @@ def _digest_small(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(model.value)
         for batch in batches:
+            docs = vec.texts(batch.column(2))
             n, sha, size, same = [], [], [], []
-            for t in batch.column(2).to_pylist():
-                ids = v.encode(t or "")
-                plain = v.decode(ids)[1:]
-                n.append(len(ids) // 4)
-                sha.append(hashlib.sha256(ids).hexdigest())
-                size.append(len(plain))
-                same.append(plain == (t or "").encode())
+            for i, j in vec.blocks(docs, BLOCK_BYTES):
+                flat, at = v.encode(docs[i:j])
+                for text, a, z in zip(docs[i:j], at, at[1:], strict=False):
+                    ids = flat[a:z].tobytes()
+                    plain = v.decode(ids)[1:]
+                    n.append(len(ids) // 4)
+                    sha.append(hashlib.sha256(ids).hexdigest())
+                    size.append(len(plain))
+                    same.append(plain == text)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(size, pa.int64()), pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids_sha256", "n_bytes", "round_trip"])
 
     return run
