@@ -53,8 +53,8 @@ def final_role(role: Column, switched: Column, b: Box) -> Column:
 
 def center_crop(width: Column, height: Column, target_w: Column, target_h: Column) -> Column:
     """Largest centred rectangle of the target's aspect, as x0, y0, x1, y1 and true width and height."""
-    wide = width * target_h > target_w * height
-    w = F.when(wide, F.rint(height * target_w / target_h.cast("double")).cast("long")).otherwise(width.cast("long"))
-    h = F.when(wide, height.cast("long")).otherwise(F.rint(width * target_h / target_w.cast("double")).cast("long"))
+    wide, one = width * target_h > target_w * height, F.lit(1).cast("long")
+    w = F.when(wide, F.greatest(F.rint(height * target_w / target_h.cast("double")).cast("long"), one)).otherwise(width.cast("long"))
+    h = F.when(wide, height.cast("long")).otherwise(F.greatest(F.rint(width * target_h / target_w.cast("double")).cast("long"), one))
     x, y = F.floor((width - w) / 2), F.floor((height - h) / 2)
     return F.struct(x.alias("x0"), y.alias("y0"), (x + w).alias("x1"), (y + h).alias("y1"), w.alias("w"), h.alias("h"))

@@ -15,13 +15,13 @@ def content_id(**fields: Column) -> Column:
     return F.sha2(canonical_json(**fields), 256)
 
 
-def sample_id(text: Column, video: Column, frame: Column, pts: Column, style_seed: Column, config: Column, seed: Column) -> Column:
-    """Id of a sample from the seven fields that determine it."""
-    return content_id(config_sha256=config, native_frame_index=frame, pts=pts, seed=seed, style_seed=style_seed, text_normalized=text, video_sha256=video)
+def sample_id(version: Column, video: Column, frame: Column, pts: Column, crop: Column, event: Column, style_seed: Column) -> Column:
+    """Id of a sample from the seven fields that determine it; no path takes part."""
+    return content_id(crop_xywh=crop, dataset_version=version, event_id=event, native_frame_index=frame, pts=pts, style_seed=style_seed, video_sha256=video)
 
 
-def event_id(text: Column, start_ms: Column, end_ms: Column, seed: Column) -> Column:
-    return content_id(end_time_ms=end_ms, seed=seed, start_time_ms=start_ms, text_normalized=text)
+def event_id(text: Column, start_ms: Column, seed: Column, style_seed: Column) -> Column:
+    return content_id(seed=seed, start_time_ms=start_ms, style_seed=style_seed, text_raw=text)
 
 
 def hamming(a: Column, b: Column) -> Column:

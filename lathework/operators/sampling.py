@@ -1,12 +1,13 @@
-"""Seeded sampling: draws of Python's generator, a generator for each index, so that rows are independent of partitions."""
+"""Seeded sampling: draws of Python's generator, one generator for each index, so that rows don't depend on partitions."""
 
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +15,12 @@ from lathework.shipping import ship
 
 #: Fixed value: distance of the seeds of neighbouring samples.
 SEED_STEP = 7919
+Range = tuple[float, float]
+Weighted = list[tuple[object, float]]
+WHITE, BLACK = (255, 255, 255, 255), (0, 0, 0, 255)
 
 
-def pick(rng: random.Random, options: list[tuple[object, float]]):
+def pick(rng: random.Random, options: Weighted):
     """Weighted choice: one uniform draw against the running sum."""
     at, acc = rng.uniform(0, sum(w for _, w in options)), 0.0
     for name, w in options:
@@ -27,38 +31,133 @@ def pick(rng: random.Random, options: list[tuple[object, float]]):
 
 
 @dataclass(frozen=True)
-class Plan:
-    """What is drawn for a sample, in this order: duration, lines of text, position."""
-
-    durations: list[tuple[tuple[int, int], float]] = field(default_factory=lambda: [((600, 1200), 0.3), ((1200, 3000), 0.5), ((3000, 6000), 0.2)])
-    two_lines: float = 0.3
-    columns: list[tuple[tuple[float, float], float]] = field(default_factory=lambda: [((0.45, 0.55), 0.8), ((0.2, 0.8), 0.2)])
-    rows: tuple[float, float] = (0.65, 0.88)
+class Style:
+    """Distribution of a text's look; a font may bring a size range of its own."""
+
+    fonts: Weighted = field(default_factory=lambda: [(("sans", (0.025, 0.055)), 1.0)])
+    size: Range = (0.025, 0.05)
+    letter_spacing: Range = (0.0, 2.0)
+    line_spacing: Range = (0.0, 8.0)
+    stroke: Range = (0.0, 0.006)
+    opacity: Range = (0.85, 1.0)
+    align: Weighted = field(default_factory=lambda: [("center", 0.85), ("left", 0.075), ("right", 0.075)])
+    fills: Weighted = field(default_factory=lambda: [(WHITE, 1.0), ((255, 240, 200, 255), 0.25), (BLACK, 0.05)])
+    strokes: Weighted = field(default_factory=lambda: [(BLACK, 1.0)])
+    shadow: float = 0.3
+    shadow_offset: tuple[float, float] = (3.0, 3.0)
+    shadow_blur: Range = (0.0, 2.0)
+    shadows: Weighted = field(default_factory=lambda: [(BLACK, 1.0)])
+    bar: float = 0.3
+    bars: Weighted = field(default_factory=lambda: [((0, 0, 0, 180), 1.0)])
+    bar_shape: tuple[Range, Range, Range] = ((0.005, 0.015), (0.004, 0.01), (0.005, 0.015))
+    rotation: float = 0.15
+    degrees: float = 8.0
 
 
-def draw(index: int, seed: int, corpus: list[str], plan: Plan) -> tuple:
+@dataclass(frozen=True)
+class Plan:
+    """What is drawn for an event, in this order: duration, lines of text, fades; then style and position an attempt."""
+
+    durations: Weighted = field(default_factory=lambda: [((130, 270), 1.0), ((300, 500), 1.5), ((530, 1000), 2.0), ((1030, 2000), 1.5), ((2030, 3000), 0.8), ((3030, 4000), 0.4)])
+    single_line: float = 0.75
+    fade: float = 0.3
+    fades: tuple[Range, Range] = ((0.0, 0.2), (0.0, 0.2))
+    style: Style = field(default_factory=Style)
+    columns: Weighted = field(default_factory=lambda: [((0.45, 0.55), 0.7), ((0.15, 0.85), 0.3)])
+    rows: Range = (0.65, 0.85)
+    attempts: int = 20
+
+
+def draw_style(rng: random.Random, s: Style) -> dict:
+    font, size = pick(rng, s.fonts)
+    dx, dy = (rng.uniform(0.0, s.shadow_offset[0]), rng.uniform(0.0, s.shadow_offset[1])) if rng.random() < s.shadow else (0.0, 0.0)
+    bar = (pick(rng, s.bars), *(rng.uniform(*r) for r in s.bar_shape)) if rng.random() < s.bar else None
+    turn = rng.uniform(-s.degrees, s.degrees) if rng.random() < s.rotation else 0.0
+    numbers = [rng.uniform(*r) for r in (size or s.size, s.letter_spacing, s.line_spacing, s.stroke, s.opacity)]
+    align, fill, stroke, shadow = (pick(rng, o) for o in (s.align, s.fills, s.strokes, s.shadows or s.strokes))
+    names = ("font_size", "letter_spacing", "line_spacing", "stroke_width", "opacity")
+    return dict(zip(names, numbers, strict=True)) | {
+        "font": font, "align": align, "fill": fill, "stroke": stroke, "shadow": shadow, "shadow_dx": dx, "shadow_dy": dy, "shadow_blur": rng.uniform(*s.shadow_blur), "bar": bar, "rotation": turn,
+    }
+
+
+def draw_fades(rng: random.Random, duration: int, plan: Plan) -> tuple[int, int]:
+    if rng.random() >= plan.fade:
+        return 0, 0
+    both = [round(duration * rng.uniform(*r)) for r in plan.fades]
+    if sum(both) > duration:
+        scale = duration / sum(both)
+        both = [round(x * scale) for x in both]
+    return both[0], both[1]
+
+
+def draw(index: int, seed: int, corpus: list[str], plan: Plan, fits: Callable[[dict], bool] | None = None) -> dict:
+    """One event. ``fits`` may reject an attempt; when none of them fits, ``attempt`` is null and the row is a failure."""
     own = seed + index * SEED_STEP
     rng = random.Random(own)
     low, high = pick(rng, plan.durations)
     duration = rng.randint(low, high)
-    lines = 2 if rng.random() < plan.two_lines else 1
+    lines = 1 if rng.random() < plan.single_line else 2
     text = "\n".join(rng.choice(corpus) for _ in range(lines))
-    left, right = pick(rng, plan.columns)
-    return index, own, duration, text, rng.uniform(left, right), rng.uniform(*plan.rows)
-
-
-def draw_samples(spark: SparkSession, n: int, seed: int, corpus: list[str], plan: Plan | None = None) -> DataFrame:
-    """``n`` samples, spread over the cluster by index; the corpus is a configured list and goes to the workers."""
+    fade_in, fade_out = draw_fades(rng, duration, plan)
+    event = {"sample_index": index, "sample_seed": own, "duration_ms": duration, "text": text, "fade_in_ms": fade_in, "fade_out_ms": fade_out, "attempt": None}
+    for attempt in range(plan.attempts):
+        style = draw_style(rng, plan.style)
+        left, right = pick(rng, plan.columns)
+        row = event | style | {"x": rng.uniform(left, right), "y": rng.uniform(*plan.rows), "attempt": attempt}
+        if fits is None or fits(row):
+            return row
+    return event
+
+
+SCHEMA = (
+    "sample_index long, sample_seed long, duration_ms long, text string, fade_in_ms long, fade_out_ms long, attempt int, font string, font_size double, letter_spacing double, line_spacing double, "
+    "stroke_width double, opacity double, align string, fill array<int>, stroke array<int>, shadow array<int>, shadow_dx double, shadow_dy double, shadow_blur double, rotation double, x double, y double"
+)
+ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "array<int>": pa.list_(pa.int32())}
+TYPES = {c.split()[0]: ARROW[c.split()[1]] for c in SCHEMA.split(", ")}
+NAMES = list(TYPES)
+
+
+def draw_samples(spark: SparkSession, n: int, seed: int, corpus: list[str], plan: Plan | None = None, fits: Callable[[dict], bool] | None = None) -> DataFrame:
+    """``n`` events, spread over the cluster by index; the corpus is a configured list and goes to the workers."""
     ship(spark)
     plan = plan or Plan()
     if not corpus:
         raise ValueError("the corpus is empty")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame([draw(int(i), seed, corpus, plan) for i in pdf["id"]], columns=["sample_index", "sample_seed", "duration_ms", "text", "x", "y"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [draw(i, seed, corpus, plan, fits) for i in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], t) for n, t in TYPES.items()], NAMES)
+
+    return spark.range(n).mapInArrow(run, SCHEMA)
+
+
+def random_crop(rng: random.Random, width: int, height: int, aspect_w: int, aspect_h: int) -> tuple[int, int, int, int]:
+    """The largest rectangle of an aspect, at a random place along the free side."""
+    target = aspect_w / aspect_h
+    if target >= width / height:
+        w, h = width, max(round(width / target), 1)
+        y = rng.randrange(0, max(height - h + 1, 1))
+        return 0, y, w, y + h
+    w, h = max(round(height * target), 1), height
+    x = rng.randrange(0, max(width - w + 1, 1))
+    return x, 0, x + w, h
+
+
+def crops(frames: DataFrame, targets: list[tuple[int, int, float]], seed: int) -> DataFrame:
+    """Random crops of frames (video, frame, width, height); a video's frames share a generator, in frame order."""
+    ship(frames.sparkSession)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        rng, out = random.Random(seed), []
+        for r in pdf.sort_values("frame").itertuples():
+            w, h, _ = rng.choices(targets, weights=[t[2] for t in targets])[0]
+            out.append((r.video, r.frame, *random_crop(rng, r.width, r.height, w, h)))
+        return pd.DataFrame(out, columns=["video", "frame", "x0", "y0", "x1", "y1"])
 
-    return spark.range(n).mapInPandas(run, "sample_index long, sample_seed long, duration_ms long, text string, x double, y double")
+    return frames.select("video", "frame", "width", "height").groupBy("video").applyInPandas(run, "video string, frame long, x0 long, y0 long, x1 long, y1 long")
 
 
 def hash_uniform(*key: Column) -> Column:

@@ -146,15 +146,16 @@ def corpus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ids ----------------------------------------------------------------------------------------------------------
 
 
-@query("""select o_orderkey, sha256('{"config_sha256":"c","native_frame_index":' || o_custkey || ',"pts":' || o_orderkey || ',"seed":42,"style_seed":7,"text_normalized":"' || o_orderpriority || '","video_sha256":"' || o_orderstatus || '"}') as sample_id from orders""")
+@query("""select o_orderkey, sha256('{"crop_xywh":[0,0,' || o_custkey || ',9],"dataset_version":"v1","event_id":"' || o_orderpriority || '","native_frame_index":' || o_custkey || ',"pts":' || o_orderkey || ',"style_seed":7,"video_sha256":"' || o_orderstatus || '"}') as sample_id from orders""")
 def canonical_json_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = ids.sample_id(F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_custkey"), F.col("o_orderkey"), F.lit(7), F.lit("c"), F.lit(42))
+    crop = F.array(F.lit(0), F.lit(0), F.col("o_custkey"), F.lit(9))
+    own = ids.sample_id(F.lit("v1"), F.col("o_orderstatus"), F.col("o_custkey"), F.col("o_orderkey"), crop, F.col("o_orderpriority"), F.lit(7))
     return read(spark, sf_dir, "orders").select("o_orderkey", own.alias("sample_id"))
 
 
-@query("""select event_id, sha256('{"end_time_ms":' || (event_id + 1500) || ',"seed":1,"start_time_ms":' || event_id || ',"text_normalized":"' || event_type || '"}') as content_id from events""")
+@query("""select event_id, sha256('{"seed":1,"start_time_ms":' || event_id || ',"style_seed":1,"text_raw":"' || event_type || '"}') as content_id from events""")
 def event_content_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = ids.event_id(F.col("event_type"), F.col("event_id"), F.col("event_id") + 1500, F.lit(1))
+    own = ids.event_id(F.col("event_type"), F.col("event_id"), F.lit(1), F.lit(1))
     return read(spark, sf_dir, "events").select("event_id", own.alias("content_id"))
 
 
@@ -490,6 +491,12 @@ def seeded_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.draw_samples(spark, 5000, 42, lines)
 
 
+@query()
+def random_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    videos = read(spark, sf_dir, "part").select(F.col("p_brand").alias("video"), F.col("p_partkey").alias("frame"), (F.col("p_partkey") % 500 + 320).alias("width"), (F.col("p_size") * 10 + 200).cast("long").alias("height"))
+    return sampling.crops(videos, [(16, 9, 2.0), (1, 1, 1.0)], 42)
+
+
 @query("select time_bucket(interval 1 hour, ts) as start, event_type, count(*) as n, round(sum(value), 6) as total from events group by 1, 2")
 def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.windowed(read(spark, sf_dir, "events")).withColumn("total", F.round("total", 6))

@@ -44,9 +44,10 @@ def test_text_helpers(spark):
 
 
 def test_ids(spark):
-    fields = {"text_normalized": "é\"x", "video_sha256": None, "native_frame_index": 3, "pts": 4, "style_seed": 5, "config_sha256": "c", "seed": 6}
+    fields = {"dataset_version": "v1", "video_sha256": None, "native_frame_index": 3, "pts": 4, "style_seed": 5, "crop_xywh": [0, 0, 6, 7], "event_id": "é\"x"}
     want = hashlib.sha256(json.dumps(fields, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
-    own = ids.sample_id(F.lit("é\"x"), F.lit(None).cast("string"), F.lit(3), F.lit(4), F.lit(5), F.lit("c"), F.lit(6))
+    crop = F.array(*map(F.lit, (0, 0, 6, 7)))
+    own = ids.sample_id(F.lit("v1"), F.lit(None).cast("string"), F.lit(3), F.lit(4), crop, F.lit("é\"x"), F.lit(5))
     assert value(spark, own) == want
     assert value(spark, ids.hash_of_hex(F.lit("ffffffffffffffff"))) == -1
     assert value(spark, ids.hamming(F.lit(-1).cast("long"), F.lit(0).cast("long"))) == 64

@@ -79,7 +79,13 @@ def test_near_and_tracks(spark):
 
 def test_sampling(spark):
     got = {r.sample_index: tuple(r) for r in sampling.draw_samples(spark, 20, 5, ["a", "b"]).collect()}
-    assert got == {i: sampling.draw(i, 5, ["a", "b"], sampling.Plan()) for i in range(20)}
+    for i in range(20):
+        want = sampling.draw(i, 5, ["a", "b"], sampling.Plan())
+        assert got[i][:7] == tuple(want[n] for n in sampling.NAMES[:7]) and got[i][-1] == want["y"] and got[i][14] == list(want["fill"])
+    none = sampling.draw_samples(spark, 3, 5, ["a"], fits=lambda row: False).collect()
+    assert {r.attempt for r in none} == {None} and all(r.duration_ms for r in none)
+    x0, y0, x1, y1 = sampling.random_crop(random.Random(1), 640, 360, 1, 1)
+    assert (x1 - x0, y1 - y0) == (360, 360) and 0 <= x0 <= 280 and y0 == 0
     with pytest.raises(ValueError):
         sampling.draw_samples(spark, 1, 1, [])
 
