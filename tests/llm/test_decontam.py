@@ -5,7 +5,9 @@ import random
 import re
 
 import numpy as np
+import pytest
 
+from lathework.llm import decontam
 from lathework.llm.decontam import contamination, without_passages
 from lathework.llm.fmindex import FMIndex
 from lathework.llm.suffix import common_prefixes, pack, suffix_array
@@ -55,7 +57,9 @@ def brute(docs, items):
     return sorted(out, key=str)
 
 
-def test_contamination(spark):
+@pytest.mark.parametrize("pass_bytes", [1 << 20, 90])
+def test_contamination(spark, monkeypatch, pass_bytes):
+    monkeypatch.setattr(decontam, "PASS_BYTES", pass_bytes)
     rng = random.Random(3)
     say = lambda n: " ".join(rng.choice(["the", "of", "Ab", "é9", "x"]) for _ in range(n))
     items = [(k, say(rng.choice([1, 2, 5, 9, 12]) if k else 1)) for k in range(12)] + [(20, None), (21, ""), (3, "the THE; the of")]
