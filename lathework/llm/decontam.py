@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lathework.llm import vec
 from lathework.llm.fmindex import FMIndex
-from lathework.llm.runtime import prepare
+from lathework.llm.runtime import arrow, prepare
 
 #: Words of a window; bytes of benchmark text searched in one pass; symbols of one shard's index.
 WINDOW, PASS_BYTES, SHARD_SYMBOLS = 8, 16 << 20, 1 << 20
@@ -179,7 +179,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     for k in range(passes):
         own = items.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == k).toPandas()
         part = windows(own["id"].tolist(), [t.encode() for t in own["text"]])
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(part)), schema)
+        out = out.transform(arrow, _pass(spark.sparkContext.broadcast(part)), schema)
     return out
 
 
@@ -215,4 +215,4 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_passages(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     """``doc_id, text, n_items, carried``: texts without their runs of hit words, from the first's start to the last's end."""
     found = find_passages(docs, benchmark, **names).select("doc_id", "text", "hits", F.size("items").alias("n_items"), "carried")
-    return found.mapInArrow(_cut, found.drop("hits").schema)
+    return found.transform(arrow, _cut, found.drop("hits").schema)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathework.llm import vec
-from lathework.llm.runtime import prepare
+from lathework.llm.runtime import arrow, prepare
 
 #: Bytes of context at most; shallower contexts stand where a deeper one was met less than LEAST_SEEN times.
 ORDER, LEAST_SEEN = 3, 48
@@ -149,7 +149,7 @@ def identify_language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     for r in sizes:
         share = F.when(F.col("lang") == r.lang, min(1.0, train_bytes / max(r.b, 1))).otherwise(share)
     chosen = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)).select("lang", "text")
-    counted = chosen.mapInArrow(_count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
+    counted = chosen.transform(arrow, _count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(counted["lang"]))
     number = {x: i for i, x in enumerate(langs)}
     model = docs.sparkSession.sparkContext.broadcast((langs, counted["lang"].map(number).to_numpy(np.int64), counted["code"].to_numpy(np.int64), counted["n"].to_numpy(np.int64)))
@@ -172,5 +172,5 @@ def identify_language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                 scores += [float(o) if ok else 0.0 for o, ok in zip(odds, letter, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    found = plain.select("doc_id", "text").mapInArrow(predict, "doc_id long, lang_pred string, score double")
+    found = plain.select("doc_id", "text").transform(arrow, predict, "doc_id long, lang_pred string, score double")
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lathework.llm import vec
 from lathework.llm.components import components
-from lathework.llm.runtime import prepare, stage_table
+from lathework.llm.runtime import arrow, prepare, stage_table
 
 #: Bands of ROWS minima each. A pair of similarity 0.85 shares no band with chance (1 - 0.85**5)**32, about 7e-9.
 BANDS, ROWS = 32, 5
@@ -184,7 +184,7 @@ def confirmed(pairs: DataFrame, plain: DataFrame, width: int, share: Fraction) -
     right = sized.select("a", F.pmod(F.xxhash64("b"), parts).alias("chunk"), F.lit(1).alias("role"), F.col("b").alias("doc_id"))
     left = right.select("a", "chunk").distinct().select("a", "chunk", F.lit(0).alias("role"), F.col("a").alias("doc_id"))
     rows = left.unionByName(right).join(plain, "doc_id").select("a", "chunk", "role", "doc_id", "text")
-    return rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "role").mapInArrow(_confirm(width, share), "a long, b long")
+    return rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "role").transform(arrow, _confirm(width, share), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -205,7 +205,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     slack = float(share) - DEVIATIONS * (float(share) * (1 - float(share)) / (BANDS * ROWS)) ** 0.5
     sharp = float(share) - DEVIATIONS * (float(share) * (1 - float(share)) / (1 << BINS_LOG)) ** 0.5
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = stage_table(plain.mapInArrow(_sketch(width), "doc_id long, n long, h1 long, h2 long, sig binary, fine binary, bands array<long>"), "sketches")
+    sketch = stage_table(plain.transform(arrow, _sketch(width), "doc_id long, n long, h1 long, h2 long, sig binary, fine binary, bands array<long>"), "sketches")
     some = sketch.where("n > 0 and doc_id is not null")
     classes = stage_table(some.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "classes")
     key = ["doc_id", "h1", "h2", "n"]
@@ -226,7 +226,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "siga", "sigb")
 
     star = members.where("rep <> c").select(F.col("rep").alias("b"), F.col("c").alias("a")).distinct()
-    liked = sized(star).mapInArrow(_estimate, "a long, b long, e double").where(F.col("e") >= slack)
+    liked = sized(star).transform(arrow, _estimate, "a long, b long, e double").where(F.col("e") >= slack)
     best = liked.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a")).select("a", "b")
     links = stage_table(confirmed(stage_table(best, "pairs"), plain, width, share), "links")
 
@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         cells = blocked.join(finely if every else known, "rep")
         cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)) if every else F.col("block"))
         cells = cells.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp", "n", "sig")
-        likely = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cells(sharp if every else slack, percent / 100, every), "b long, a long, e double")
+        likely = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").transform(arrow, _cells(sharp if every else slack, percent / 100, every), "b long, a long, e double")
         if every:
             likely = likely.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
         else:

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lathework.llm.runtime import prepare, stage_table
+from lathework.llm.runtime import arrow, prepare, stage_table
 
 #: Dimensions of the projection; a search ends when a nearer vector would be projected within what is left with at
 #: most 1 - SURE chance.
 PROJECTED, SURE = 8, 0.99
 #: Vectors of a kd-tree's leaf; least and most of a tree, with SOME_TREES of them in between; queries of one task.
-LEAF, LEAST_TREE, TREE, SOME_TREES, QUERIES = 64, 1 << 12, 1 << 17, 64, 2048
+LEAF, LEAST_TREE, TREE, SOME_TREES, QUERIES = 64, 1 << 12, 1 << 17, 64, 1 << 16
 #: Scores closer than this are compared again in a fixed order of summation.
 TIE = 1e-9
 
@@ -165,6 +165,6 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     tree = F.explode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda i: F.concat_ws(":", F.size("v"), i)))
     right = asked.select(tree.alias("tree"), block.alias("block"), F.lit(1).alias("role"), "vec_id", "v")
     cells = left.unionByName(right).repartition("tree", "block").sortWithinPartitions("tree", "block", "role")
-    found = cells.mapInArrow(_search(k, seed), "query_id long, vec_id long, score double")
+    found = cells.transform(arrow, _search(k, seed), "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

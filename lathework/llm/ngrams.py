@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathework.llm import vec
-from lathework.llm.runtime import map_file, new_path, prepare, put_file
+from lathework.llm.runtime import arrow, map_file, new_path, prepare, put_file
 
 U64 = np.uint64
 #: Stand for the begin and the end of a text; no word's hash is as small but by a chance of 2**-63.
@@ -19,7 +19,7 @@ BEGIN, END = U64(1), U64(2)
 #: Tokens that a task counts at once; bytes of text behind one bucket of the model, and the least number of buckets.
 CHUNK_TOKENS, BUCKET_BYTES, LEAST_BUCKETS = 3 << 20, 16 << 20, 16
 #: Bytes of text that a task scores at once.
-SCORE_BYTES = 4 << 20
+SCORE_BYTES = 2 << 20
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -260,8 +260,8 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     def by_bucket(df: DataFrame) -> DataFrame:
         return df.repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
-    counted = by_bucket(plain.mapInArrow(_count(buckets), SCHEMA)).mapInArrow(_pairs(folder, buckets), SCHEMA)
-    stats = by_bucket(counted).mapInArrow(_words(folder), ", ".join(f"{s} long" for s in STATS))
+    counted = by_bucket(plain.transform(arrow, _count(buckets), SCHEMA)).transform(arrow, _pairs(folder, buckets), SCHEMA)
+    stats = by_bucket(counted).transform(arrow, _words(folder), ", ".join(f"{s} long" for s in STATS))
     r = stats.agg(*(F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in STATS)).first()
     upper, lower = discounts([r.n1, r.n2, r.n3, r.n4]), discounts([r.m1, r.m2, r.m3, r.m4])
     more = r.vocabulary - r.m1 - r.m2
@@ -292,5 +292,5 @@ def score_language_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
                 n, known, base, own = model.score(docs[i:j])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), pa.array(known), pa.array(base), pa.array(own)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    scored = plain.mapInArrow(score, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    scored = plain.transform(arrow, score, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

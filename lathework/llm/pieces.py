@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathework.llm import vec
-from lathework.llm.runtime import prepare, stage_table
+from lathework.llm.runtime import arrow, prepare, stage_table
 
 #: A public vocabulary; any other model file of the same format may be given.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a document from which it is scanned in chunks, and of one chunk.
 GIANT, CHUNK = 1 << 20, 1 << 16
 #: Bytes of text that a worker encodes at once, of a word that is searched together with others, and words of one search.
-BLOCK_BYTES, SHORT_WORD, TOGETHER = 4 << 20, 48, 1 << 15
+BLOCK_BYTES, SHORT_WORD, TOGETHER = 2 << 20, 48, 1 << 14
 #: Bits of the table that finds a piece by its hash.
 TABLE_BITS = 20
 NONE = -1e30
@@ -357,14 +357,14 @@ class Source:
         self.small, self.giant = plain.where(~giant), plain.where(giant)
 
     def in_chunks(self) -> DataFrame:
-        parts = self.giant.dropDuplicates(["doc_id", "th"]).mapInArrow(_chunks(self.longest), "doc_id long, th long, chunk int, size int, part string")
+        parts = self.giant.dropDuplicates(["doc_id", "th"]).transform(arrow, _chunks(self.longest), "doc_id long, th long, chunk int, size int, part string")
         parts = stage_table(parts.repartition("doc_id", "chunk"), "chunks")
-        moved = parts.mapInArrow(_transfers(self.model), "doc_id long, th long, chunk int, m binary")
+        moved = parts.transform(arrow, _transfers(self.model), "doc_id long, th long, chunk int, m binary")
         ordered = moved.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "chunk")
-        border = ordered.mapInArrow(_borders(self.longest), "d long, t long, c int, a int, z int")
+        border = ordered.transform(arrow, _borders(self.longest), "d long, t long, c int, a int, z int")
         same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")) & (F.col("chunk") == F.col("c"))
         both = parts.join(border, same).select("doc_id", "th", "chunk", "size", "part", "a", "z")
-        return both.mapInArrow(_backtrace(self.model), self.schema)
+        return both.transform(arrow, _backtrace(self.model), self.schema)
 
 
 def encode(docs: DataFrame, *, model_file: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -377,7 +377,7 @@ def encode(docs: DataFrame, *, model_file: str = MODEL, id_col: str = "doc_id",
     Null and empty texts have no ids. Equal rows give equal rows, of giant texts once; ``th`` is a hash of the text.
     """
     s = Source(docs, model_file, id_col, text_col)
-    return s.small.mapInArrow(_small(s.model), s.schema).unionByName(s.in_chunks())
+    return s.small.transform(arrow, _small(s.model), s.schema).unionByName(s.in_chunks())
 
 
 def decode(encoded: DataFrame, *, model_file: str = MODEL) -> DataFrame:
@@ -394,7 +394,7 @@ def decode(encoded: DataFrame, *, model_file: str = MODEL) -> DataFrame:
             plain = [p[1:] if c == 0 else p for p, c in zip(plain, batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(plain, pa.binary())], ["doc_id", "th", "chunk", "plain"])
 
-    rows = encoded.mapInArrow(run, "doc_id long, th long, chunk int, plain binary")
+    rows = encoded.transform(arrow, run, "doc_id long, th long, chunk int, plain binary")
     joined = rows.groupBy("doc_id", "th", (F.col("chunk") >= 0).alias("_")).agg(F.array_sort(F.collect_set(F.struct("chunk", "plain"))).alias("p"))
     return joined.select("doc_id", "th", F.try_validate_utf8(F.aggregate("p", F.lit("").cast("binary"), lambda a, x: F.concat(a, x["plain"])).cast("string")).alias("text"))
 
@@ -459,9 +459,9 @@ def piece_digests(docs: DataFrame, *, model_file: str = MODEL, id_col: str = "do
     texts count as empty. Repeated rows are each returned; other columns are ignored.
     """
     s = Source(docs, model_file, id_col, text_col)
-    small = s.small.mapInArrow(_digest_small(s.model), "doc_id long, n_tokens long, ids_sha256 string, n_bytes long, round_trip boolean")
+    small = s.small.transform(arrow, _digest_small(s.model), "doc_id long, n_tokens long, ids_sha256 string, n_bytes long, round_trip boolean")
     ordered = s.in_chunks().repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "chunk")
-    found = ordered.mapInArrow(_digests(s.model), "d long, t long, n_tokens long, ids_sha256 string, n_bytes long, decoded string")
+    found = ordered.transform(arrow, _digests(s.model), "d long, t long, n_tokens long, ids_sha256 string, n_bytes long, decoded string")
     rows = s.giant.select("doc_id", "th", F.sha2("text", 256).alias("own"))
     giant = rows.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
     return small.unionByName(giant.select("doc_id", "n_tokens", "ids_sha256", "n_bytes", (F.col("own") == F.col("decoded")).alias("round_trip")))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathework.llm import vec
-from lathework.llm.runtime import prepare, stage_table
+from lathework.llm.runtime import arrow, prepare, stage_table
 
 #: Each of these gives a share of the bytes.
 KINDS = {
@@ -151,11 +151,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     """
     prepare(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
-    measured = stage_table(plain.mapInArrow(_measure, "doc_id long, th long, x array<float>"), "statistics")
+    measured = stage_table(plain.transform(arrow, _measure, "doc_id long, th long, x array<float>"), "statistics")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
     known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("y"))
     train = measured.where(~held).join(known, "doc_id").select("x", "y")
-    rows = train.mapInArrow(_moments, "y int, i int, v double").groupBy("y", "i").agg(F.sum("v").alias("v")).collect()
+    rows = train.transform(arrow, _moments, "y int, i int, v double").groupBy("y", "i").agg(F.sum("v").alias("v")).collect()
     flat = {c: np.zeros((N_FEATURES + 1) ** 2) for c in (0, 1)}
     for r in rows:
         flat[r.y][r.i] = r.v
@@ -167,5 +167,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
             x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES).astype(float)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.scores(x))], ["doc_id", "th", "score"])
 
-    scored = measured.mapInArrow(score, "doc_id long, th long, score double")
+    scored = measured.transform(arrow, score, "doc_id long, th long, score double")
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"), "th")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lathework.llm import vec
-from lathework.llm.runtime import prepare, stage_table
+from lathework.llm.runtime import arrow, prepare, stage_table
 from lathework.llm.suffix import common_prefixes, pack, suffix_array
 
 #: Bytes under one suffix array, and the smallest part into which the strings of one anchor are split.
@@ -233,7 +233,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     least = -(1 << 63)
     plain = docs.select(F.col(id_col).cast("long").alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"), F.struct(id_col, *carry).alias("carried"))
     some = plain.where(F.octet_length("text") >= width).select("doc_id", "th", "text")
-    found = stage_table(some.mapInArrow(_anchor_rows(width), "doc_id long, th long, s int, len int, fp long, rh long"), "anchors")
+    found = stage_table(some.transform(arrow, _anchor_rows(width), "doc_id long, th long, s int, len int, fp long, rh long"), "anchors")
     twice = stage_table(found.groupBy("fp").agg(F.count("*").alias("k")).where("k > 1").select("fp"), "shared")
     shared = stage_table(found.join(twice, "fp"), "shared")
     kinds = shared.groupBy("fp", "rh").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "s", "len")).alias("one"))
@@ -244,11 +244,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     wanted = kinds.join(mixed.select("fp"), "fp").select("one.doc_id", "one.th", F.struct("fp", "rh", "c", "one.s", "one.len").alias("w"))
     wanted = wanted.groupBy("doc_id", "th").agg(F.collect_list("w").alias("w"))
-    strings = some.dropDuplicates(["doc_id", "th"]).join(wanted, ["doc_id", "th"]).select("text", "w").mapInArrow(_slices, "fp long, rh long, c long, bytes binary")
+    strings = some.dropDuplicates(["doc_id", "th"]).join(wanted, ["doc_id", "th"]).select("text", "w").transform(arrow, _slices, "fp long, rh long, c long, bytes binary")
     strings = strings.join(mixed, "fp").withColumn("part", F.pmod(F.xxhash64("rh"), "parts").cast("int"))
     cells = strings.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cells = cells.select("fp", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rh", "c", "bytes")
-    runs = cells.repartition("fp", "i", "j").sortWithinPartitions("fp", "i", "j").mapInArrow(_search(width), "fp long, rh long, runs array<int>")
+    runs = cells.repartition("fp", "i", "j").sortWithinPartitions("fp", "i", "j").transform(arrow, _search(width), "fp long, rh long, runs array<int>")
     runs = runs.groupBy("fp", "rh").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
     whole = kinds.where("c > 1").select("fp", "rh", F.lit(None).cast("array<int>").alias("runs"))
@@ -256,4 +256,4 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     spans = shared.join(gone, ["fp", "rh"]).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "len", "runs")).alias("spans"))
     out = plain.join(spans, ["doc_id", "th"], "left").select("own", "text", "spans", "carried")
     schema = T.StructType([T.StructField(n, t) for n, t in (("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()), ("kept_text", T.StringType()), ("carried", out.schema["carried"].dataType))])
-    return out.mapInArrow(_remove, schema)
+    return out.transform(arrow, _remove, schema)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import mmap
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +38,22 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_BATCH_BYTES))
 
 
+def arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow``, after which a worker gives its memory back: Spark keeps idle workers for the next tasks."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from lathework.llm import vec
+
+        try:
+            yield from run(batches)
+        finally:
+            vec.forget()
+            pa.default_memory_pool().release_unused()
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return df.mapInArrow(lean, schema)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the driver's JVM ends."""
     path = f"{shared_dir(spark)}/lathework-{uuid.uuid4().hex}/{name}"

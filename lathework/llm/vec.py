@@ -13,7 +13,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that one block holds, unless a single document is longer.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 #: Fixed odd multipliers of the polynomial hashes and of the finaliser.
 BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -43,11 +43,14 @@ class Powers:
 
     def __init__(self, base: int):
         self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.clear()
+
+    def clear(self) -> None:
         self.up = self.down = np.ones(1, U64)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = max(n, 2 * BLOCK_BYTES)
+            n = max(n, BLOCK_BYTES + BLOCK_BYTES // 4)
             self.up, self.down = (np.concatenate(([U64(1)], np.cumprod(np.full(n - 1, b, U64), dtype=U64))) for b in (self.base, self.inverse))
         return self.up, self.down
 
@@ -55,6 +58,12 @@ class Powers:
 _POWERS = {b: Powers(b) for b in (BASE_A, BASE_B)}
 
 
+def forget() -> None:
+    """Gives the tables of powers back."""
+    for p in _POWERS.values():
+        p.clear()
+
+
 def prefix(buf: np.ndarray, base: int = BASE_A) -> np.ndarray:
     """Running sums from which ``spans`` takes the hash of any span."""
     up, _ = _POWERS[base].get(len(buf) + 1)
