@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from lathework.llm.runtime import stage_table
 
 
-def _print_of(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one smaller node, which hangs on none: then that is its component."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.lit(1).alias("up")), F.struct(F.col("b").alias("n"), F.lit(0).alias("up")))).alias("e"))
+    node = ends.groupBy("e.n").agg(F.sum("e.up").alias("up"), F.min("e.up").alias("least"))
+    return not node.where("up > 1 or up = 1 and least = 0").limit(1).count()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -25,20 +27,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """Smallest node that each node of ``links`` (a, b) reaches, as (node, component); nodes are longs.
+def stars(links: DataFrame) -> DataFrame:
+    """Edges (a, b) from each node of ``links`` to its component's smallest node, which has none itself.
 
-    Rounds repeat until the edges stay the same, a number of rounds that grows with the logarithm of the nodes. Each
+    Rounds repeat until the edges are stars, a number of rounds that grows with the logarithm of the nodes. Each
     round's edges are written to the shared folder. Loops and repeated links count once; no links give no rows.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = stage_table(edges, "edges")
-    before = _print_of(edges)
-    while before[0]:
+    while not _settled(edges):
         edges = stage_table(_small_star(_large_star(edges)).distinct(), "edges")
-        now = _print_of(edges)
-        if now == before:
-            break
-        before = now
+    return edges
+
+
+def components(links: DataFrame) -> DataFrame:
+    """Smallest node that each node of ``links`` (a, b) reaches, as (node, component); nodes are longs."""
+    edges = stars(links)
     node = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return node.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

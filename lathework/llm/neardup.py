@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.llm import vec
-from lathework.llm.components import components
+from lathework.llm.components import stars
 from lathework.llm.runtime import arrow, prepare, stage_table
 
 #: Bands of ROWS minima each. A pair of similarity 0.85 shares no band with chance (1 - 0.85**5)**32, about 7e-9.
@@ -228,12 +228,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     star = members.where("rep <> c").select(F.col("rep").alias("b"), F.col("c").alias("a")).distinct()
     liked = sized(star).transform(arrow, _estimate, "a long, b long, e double").where(F.col("e") >= slack)
     best = liked.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a")).select("a", "b")
-    links = stage_table(confirmed(stage_table(best, "pairs"), plain, width, share), "links")
+    edges = stars(confirmed(stage_table(best, "pairs"), plain, width, share))
+
+    def centres() -> DataFrame:
+        """What each document but the centres themselves hangs on."""
+        return edges.select(F.col("a").alias("rep"), F.col("b").alias("component"))
 
     parts = F.ceil(F.col("k") / CELL).cast("int")
     for every in WAVES:
-        comp = components(links).withColumnRenamed("node", "rep")
-        placed = members.join(comp, "rep", "left").select("key", "rep", "k", F.coalesce("component", "rep").alias("comp"))
+        placed = members.join(centres(), "rep", "left").select("key", "rep", "k", F.coalesce("component", "rep").alias("comp"))
         placed = stage_table(placed, "placed")
         mixed = placed.groupBy("key").agg(F.min("comp").alias("c"), F.max("comp").alias("z")).where("c <> z").select("key")
         blocked = placed.join(stage_table(mixed, "mixed"), "key").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
@@ -245,10 +248,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             likely = likely.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
         else:
             likely = likely.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a"))
-        more = stage_table(confirmed(stage_table(likely.select("a", "b"), "pairs"), plain, width, share), "links")
-        links = links.unionByName(more)
-    comp = components(links).withColumnRenamed("node", "rep")
+        more = confirmed(stage_table(likely.select("a", "b"), "pairs"), plain, width, share)
+        edges = stars(edges.unionByName(more))
 
-    out = sketch.select("doc_id", "n", "h1", "h2").join(classes, ["h1", "h2", "n"], "left").join(comp, "rep", "left")
+    out = sketch.select("doc_id", "n", "h1", "h2").join(classes, ["h1", "h2", "n"], "left").join(centres(), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
