@@ -21,10 +21,12 @@ LARGE_PART = 8 << 20
 
 
 def anchors(docs: list[bytes], width: int) -> tuple[np.ndarray, ...]:
-    """Runs of neighbouring windows that share an anchor: document, first byte, length of the run's bytes, two hashes.
+    """Runs of neighbouring windows that share an anchor: document, first byte, length of the run's bytes, of one unit, number
+    of units, two hashes.
 
     The anchor of a window is the one of its grams with the smallest hash, the leftmost of several; equal windows have
     equal anchors at equal places wherever they stand, so a window can only repeat among runs of the same anchor hash.
+    In text of a short period one run follows another with the same bytes; they are one row of so many units.
     """
     gram = max(1, width // 8)
     span = width - gram + 1
@@ -32,7 +34,7 @@ def anchors(docs: list[bytes], width: int) -> tuple[np.ndarray, ...]:
     n = len(b.buf)
     starts = n - width + 1
     if starts <= 0:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 5 + (np.zeros(0, np.uint64),) * 2
     run = vec.prefix(b.buf)
     _, down = vec._POWERS[vec.BASE_A].get(n + 1)
     h = vec.mix((run[gram:] - run[: n - gram + 1]) * down[: n - gram + 1] + np.uint64(gram))
@@ -57,7 +59,12 @@ def anchors(docs: list[bytes], width: int) -> tuple[np.ndarray, ...]:
     first, last = first[use], last[use]
     doc = np.searchsorted(b.first, first, "right") - 1
     other = vec.spans(vec.prefix(b.buf, vec.BASE_B), first, last + width, vec.BASE_B)
-    return doc, first - b.first[doc], last - first + width, h[at[first]], other
+    fp = h[at[first]]
+    again = (doc[1:] == doc[:-1]) & (fp[1:] == fp[:-1]) & (other[1:] == other[:-1]) & (first[1:] == last[:-1] + 1)
+    lead = np.flatnonzero(np.append(True, ~again)[: len(doc)])
+    stop = np.append(lead[1:], len(doc))[: len(lead)] - 1
+    own = doc[lead]
+    return own, first[lead] - b.first[own], last[stop] - first[lead] + width, last[lead] - first[lead] + width, stop - lead + 1, fp[lead], other[lead]
 
 
 def _anchor_rows(width: int):
@@ -65,10 +72,10 @@ def _anchor_rows(width: int):
         for batch in batches:
             docs = vec.texts(batch.column(2))
             for i, j in vec.blocks(docs):
-                doc, at, size, fp, rh = anchors(docs[i:j], width)
+                doc, *places, fp, rh = anchors(docs[i:j], width)
                 own = pa.array(doc + i)
-                cols = [batch.column(0).take(own), batch.column(1).take(own), pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(fp.view(np.int64)), pa.array(rh.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "th", "s", "len", "fp", "rh"])
+                cols = [batch.column(0).take(own), batch.column(1).take(own), *(pa.array(p.astype(np.int32)) for p in places), pa.array(fp.view(np.int64)), pa.array(rh.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "th", "s", "len", "unit", "units", "fp", "rh"])
 
     return run
 
@@ -233,10 +240,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     least = -(1 << 63)
     plain = docs.select(F.col(id_col).cast("long").alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"), F.struct(id_col, *carry).alias("carried"))
     some = plain.where(F.octet_length("text") >= width).select("doc_id", "th", "text")
-    found = stage_table(some.transform(arrow, _anchor_rows(width), "doc_id long, th long, s int, len int, fp long, rh long"), "anchors")
-    twice = stage_table(found.groupBy("fp").agg(F.count("*").alias("k")).where("k > 1").select("fp"), "shared")
+    found = stage_table(some.transform(arrow, _anchor_rows(width), "doc_id long, th long, s int, len int, unit int, units int, fp long, rh long"), "anchors")
+    twice = stage_table(found.groupBy("fp").agg(F.sum("units").alias("k")).where("k > 1").select("fp"), "shared")
     shared = stage_table(found.join(twice, "fp"), "shared")
-    kinds = shared.groupBy("fp", "rh").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "s", "len")).alias("one"))
+    kinds = shared.groupBy("fp", "rh").agg(F.sum("units").alias("c"), F.min(F.struct("doc_id", "th", "s", F.col("unit").alias("len"))).alias("one"))
     kinds = stage_table(kinds, "kinds")
     mixed = kinds.groupBy("fp").agg(F.count("*").alias("k"), F.min("c").alias("c"), F.sum("one.len").alias("total")).where("k > 1 and c = 1")
     part = F.greatest(F.lit(part_bytes), F.least(F.lit(LARGE_PART), F.col("total") / SOME_PARTS))

@@ -33,6 +33,7 @@ def test_against_brute_force(spark, part_bytes):
         for _ in range(rng.choice([0, 0, 1, 3])):
             t[rng.randrange(len(t))] = rng.choice("xyz")
         rows.append((k, "".join(t) + rng.choice(["", base[0][5:60], "q" * 70])))
+    rows += [(210, "ab" * 100 + "tail of its own"), (211, "line of text\n" * 30), (212, "x" + "line of text\n" * 9), (213, "once " + "p" * 43)]
     rows += [(200, None), (201, ""), (202, "short"), (5, rows[5][1]), (None, rows[6][1]), (None, "no copy of this text stands anywhere else, so it is kept"), (203, "w" * 41), (7, "other text for the same id " * 3)]
     d = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, len int")
     got = sorted((tuple(r)[:5] for r in remove_repeats(d, width=40, part_bytes=part_bytes).collect()), key=str)
