@@ -16,7 +16,7 @@ from lathework.llm.runtime import arrow, prepare, stage_table
 from lathework.llm.suffix import common_prefixes, pack, suffix_array
 
 #: Bytes under one suffix array, and the smallest part into which the strings of one anchor are split.
-SHARD_BYTES, PART_BYTES, SOME_PARTS = 2 << 20, 128 << 10, 8
+SHARD_BYTES, PART_BYTES, SOME_PARTS = 768 << 10, 128 << 10, 8
 LARGE_PART = 8 << 20
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lathework.shipping import ship
 
 #: Bytes of one Arrow batch handed to a Python worker; long texts shrink the rows of a batch, never the text.
-ARROW_BATCH_BYTES = 8 << 20
+ARROW_BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
