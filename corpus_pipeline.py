@@ -14,6 +14,8 @@ from lathework.llm.runtime import stage_table
 
 #: Items of which a document may hold windows; with more it goes as a whole.
 MOST_ITEMS = 1
+#: Words in a row that are cut out where they stand at several places: over 50.
+REPEATED_WORDS = 51
 OTHERS = ("lang", "source")
 
 
@@ -36,8 +38,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand at several places are cut out; a document keeps its row even if nothing is left."""
-    return _documents(remove_repeats(docs, carry=OTHERS), "kept_text")
+    """Passages of REPEATED_WORDS words or of 400 bytes that stand at several places are cut out; a document keeps its row even if nothing is left."""
+    return _documents(remove_repeats(docs, carry=OTHERS, words=REPEATED_WORDS), "kept_text")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ from lathework.llm.suffix import common_prefixes, pack, suffix_array
 #: Bytes under one suffix array, and the smallest part into which the strings of one anchor are split.
 SHARD_BYTES, PART_BYTES, SOME_PARTS = 768 << 10, 128 << 10, 8
 LARGE_PART = 8 << 20
+#: Bytes of words: digits, letters and all of non-ASCII characters.
+WORD = vec.table(lambda b: 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80)
 
 
 def anchors(docs: list[bytes], width: int) -> tuple[np.ndarray, ...]:
@@ -38,14 +41,7 @@ def anchors(docs: list[bytes], width: int) -> tuple[np.ndarray, ...]:
     run = vec.prefix(b.buf)
     _, down = vec._POWERS[vec.BASE_A].get(n + 1)
     h = vec.mix((run[gram:] - run[: n - gram + 1]) * down[: n - gram + 1] + np.uint64(gram))
-    v = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
-    rows = -(-len(v) // span) + 1
-    grid = np.full(rows * span, np.uint64(0xFFFFFFFFFFFFFFFF))
-    grid[: len(v)] = v
-    grid = grid.reshape(rows, span)
-    ahead = np.minimum.accumulate(grid, 1).ravel()
-    behind = np.minimum.accumulate(grid[:, ::-1], 1)[:, ::-1].ravel()
-    at = (np.minimum(behind[:starts], ahead[span - 1 : span - 1 + starts]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    at = _smallest(h, span, starts)
     edge = np.zeros(n + 1, np.int8)  # +1 where a document's windows begin, -1 after its last
     long = np.flatnonzero(b.size >= width)
     edge[b.first[long]] += 1
@@ -60,19 +56,64 @@ def anchors(docs: list[bytes], width: int) -> tuple[np.ndarray, ...]:
     doc = np.searchsorted(b.first, first, "right") - 1
     other = vec.spans(vec.prefix(b.buf, vec.BASE_B), first, last + width, vec.BASE_B)
     fp = h[at[first]]
-    again = (doc[1:] == doc[:-1]) & (fp[1:] == fp[:-1]) & (other[1:] == other[:-1]) & (first[1:] == last[:-1] + 1)
-    lead = np.flatnonzero(np.append(True, ~again)[: len(doc)])
-    stop = np.append(lead[1:], len(doc))[: len(lead)] - 1
+    lead, stop = _units(doc, first, last, fp, other)
     own = doc[lead]
     return own, first[lead] - b.first[own], last[stop] - first[lead] + width, last[lead] - first[lead] + width, stop - lead + 1, fp[lead], other[lead]
 
 
-def _anchor_rows(width: int):
+def word_anchors(docs: list[bytes], words: int) -> tuple[np.ndarray, ...]:
+    """As ``anchors``, but of windows of so many words, from the first one's start to the last one's end."""
+    gram = max(1, words // 4)
+    b = vec.Block(docs, lower=False)
+    b.words(WORD)
+    starts = len(b.start) - words + 1
+    if starts <= 0:
+        return (np.zeros(0, np.int64),) * 5 + (np.zeros(0, np.uint64),) * 2
+    h = vec.spans(vec.prefix(b.buf), b.start[: len(b.start) - gram + 1], b.end[gram - 1 :])
+    at = _smallest(h, words - gram + 1, starts)
+    inside = b.doc[:starts] == b.doc[words - 1 :]
+    first = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (inside[1:] != inside[:-1]) | (b.doc[1:starts] != b.doc[: starts - 1])))
+    last = np.append(first[1:], starts) - 1
+    use = inside[first]
+    first, last = first[use], last[use]
+    doc, end = b.doc[first], b.end[last + words - 1]
+    other = vec.spans(vec.prefix(b.buf, vec.BASE_B), b.start[first], end, vec.BASE_B)
+    fp = h[at[first]]
+    lead, stop = _units(doc, first, last, fp, other)
+    own, s = doc[lead], b.start[first[lead]]
+    return own, s - b.first[own], end[stop] - s, end[lead] - s, stop - lead + 1, fp[lead], other[lead]
+
+
+def _smallest(h: np.ndarray, span: int, starts: int) -> np.ndarray:
+    """For each window of ``span`` grams the one with the smallest hash, the leftmost of several."""
+    v = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
+    rows = -(-len(v) // span) + 1
+    grid = np.full(rows * span, np.uint64(0xFFFFFFFFFFFFFFFF))
+    grid[: len(v)] = v
+    grid = grid.reshape(rows, span)
+    ahead = np.minimum.accumulate(grid, 1).ravel()
+    behind = np.minimum.accumulate(grid[:, ::-1], 1)[:, ::-1].ravel()
+    return (np.minimum(behind[:starts], ahead[span - 1 : span - 1 + starts]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _units(doc: np.ndarray, first: np.ndarray, last: np.ndarray, fp: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last run of each row: neighbouring runs of the same bytes are one."""
+    again = (doc[1:] == doc[:-1]) & (fp[1:] == fp[:-1]) & (other[1:] == other[:-1]) & (first[1:] == last[:-1] + 1)
+    lead = np.flatnonzero(np.append(True, ~again)[: len(doc)])
+    return lead, np.append(lead[1:], len(doc))[: len(lead)] - 1
+
+
+def _anchor_rows(width: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs = vec.texts(batch.column(2))
             for i, j in vec.blocks(docs):
-                doc, *places, fp, rh = anchors(docs[i:j], width)
+                found = [anchors(docs[i:j], width)]
+                if words:
+                    found.append(word_anchors(docs[i:j], words))
+                    for kind, x in enumerate(found):  # the last bit tells windows of bytes from windows of words
+                        found[kind] = (*x[:5], x[5] & ~np.uint64(1) | np.uint64(kind), x[6])
+                doc, *places, fp, rh = (np.concatenate(x) for x in zip(*found, strict=True))
                 own = pa.array(doc + i)
                 cols = [batch.column(0).take(own), batch.column(1).take(own), *(pa.array(p.astype(np.int32)) for p in places), pa.array(fp.view(np.int64)), pa.array(rh.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "th", "s", "len", "unit", "units", "fp", "rh"])
@@ -90,6 +131,24 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.int64()), pa.array([r[3] for r in part], pa.binary())], ["fp", "rh", "c", "bytes"])
 
 
+def _word_windows(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            strings = vec.texts(batch.column(3))
+            for i, j in vec.blocks(strings):
+                b = vec.Block(strings[i:j], lower=False)
+                b.words(WORD)
+                k = np.arange(max(len(b.start) - words + 1, 0))
+                k = k[b.doc[k] == b.doc[k + words - 1]]
+                own, a, z = b.doc[k], b.start[k], b.end[k + words - 1]
+                h1, h2 = (vec.spans(vec.prefix(b.buf, base), a, z, base).view(np.int64) for base in (vec.BASE_A, vec.BASE_B))
+                cols = [batch.column(c).take(pa.array(own + i)) for c in range(3)]
+                cols += [pa.array((x - b.first[own]).astype(np.int32)) for x in (a, z)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(h1), pa.array(h2)], ["fp", "rh", "c", "a", "z", "h1", "h2"])
+
+    return run
+
+
 class Strings:
     """The suffix array of some strings, cut down to the starts of whole windows."""
 
@@ -223,7 +282,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "carried"])
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), width: int = 400, part_bytes: int = PART_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), width: int = 400, words: int = 0, part_bytes: int = PART_BYTES) -> DataFrame:
     """Remove every byte of the texts that lies in a ``width``-byte string which starts at another place too.
 
     Windows are dealt to shards by their anchor, a gram that depends on the window alone. Where all strings around an
@@ -233,14 +292,19 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     out characters that were cut in two, and ``carried`` holds the columns named in ``carry``. Strings are judged on the
     input.
 
+    With ``words``, every byte goes as well that lies in so many words in a row, from the first one's start to the last
+    one's end, which stand at another place too, however short they are. A word is a run of letters, digits and
+    non-ASCII characters. Runs of such windows are dealt by anchors in the same way; where the strings around an anchor
+    differ, the windows of one of each kind are counted by their hashes.
+
     Null texts are empty; texts shorter than ``width`` stay whole. Repeated rows repeat each other and so lose all
     their windows. A removed string may begin or end inside a character. Other columns are ignored.
     """
     prepare(docs.sparkSession)
     least = -(1 << 63)
     plain = docs.select(F.col(id_col).cast("long").alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"), F.struct(id_col, *carry).alias("carried"))
-    some = plain.where(F.octet_length("text") >= width).select("doc_id", "th", "text")
-    found = stage_table(some.transform(arrow, _anchor_rows(width), "doc_id long, th long, s int, len int, unit int, units int, fp long, rh long"), "anchors")
+    some = plain.where(F.octet_length("text") >= (min(width, 2 * words - 1) if words else width)).select("doc_id", "th", "text")
+    found = stage_table(some.transform(arrow, _anchor_rows(width, words), "doc_id long, th long, s int, len int, unit int, units int, fp long, rh long"), "anchors")
     twice = stage_table(found.groupBy("fp").agg(F.sum("units").alias("k")).where("k > 1").select("fp"), "shared")
     shared = stage_table(found.join(twice, "fp"), "shared")
     kinds = shared.groupBy("fp", "rh").agg(F.sum("units").alias("c"), F.min(F.struct("doc_id", "th", "s", F.col("unit").alias("len"))).alias("one"))
@@ -252,6 +316,15 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     wanted = kinds.join(mixed.select("fp"), "fp").select("one.doc_id", "one.th", F.struct("fp", "rh", "c", "one.s", "one.len").alias("w"))
     wanted = wanted.groupBy("doc_id", "th").agg(F.collect_list("w").alias("w"))
     strings = some.dropDuplicates(["doc_id", "th"]).join(wanted, ["doc_id", "th"]).select("text", "w").transform(arrow, _slices, "fp long, rh long, c long, bytes binary")
+    by_words = []
+    if words:
+        strings = stage_table(strings, "strings")
+        windows = strings.where("(fp & 1) = 1").transform(arrow, _word_windows(words), "fp long, rh long, c long, a int, z int, h1 long, h2 long")
+        windows = stage_table(windows, "windows")
+        again = windows.groupBy("h1", "h2").agg(F.count("*").alias("k")).where("k > 1").select("h1", "h2")
+        again = windows.where("c = 1").join(again, ["h1", "h2"]).groupBy("fp", "rh")
+        by_words.append(again.agg(F.flatten(F.collect_list(F.array("a", "z"))).alias("runs")))
+        strings = strings.where("(fp & 1) = 0")
     strings = strings.join(mixed, "fp").withColumn("part", F.pmod(F.xxhash64("rh"), "parts").cast("int"))
     cells = strings.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cells = cells.select("fp", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rh", "c", "bytes")
@@ -259,7 +332,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     runs = runs.groupBy("fp", "rh").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
     whole = kinds.where("c > 1").select("fp", "rh", F.lit(None).cast("array<int>").alias("runs"))
-    gone = stage_table(whole.unionByName(runs), "runs")
+    gone = stage_table(reduce(DataFrame.unionByName, by_words, whole.unionByName(runs)), "runs")
     spans = shared.join(gone, ["fp", "rh"]).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "len", "runs")).alias("spans"))
     out = plain.join(spans, ["doc_id", "th"], "left").select("own", "text", "spans", "carried")
     schema = T.StructType([T.StructField(n, t) for n, t in (("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()), ("kept_text", T.StringType()), ("carried", out.schema["carried"].dataType))])

@@ -46,3 +46,18 @@ def test_stages_in_turn(spark, tmp_path):
         ids[r.doc_id] = ids.get(r.doc_id, b"") + bytes(r.ids)
         assert r.n_tokens == len(np.frombuffer(r.ids, "<i4"))
     assert {k: v.decode(x)[1:].decode() for k, x in ids.items()} == {k: t or "" for k, t in clean.items()}
+
+
+def test_repeats_of_51_words_are_cut(spark):
+    """A passage of over 50 words goes however few bytes it has; one of 50 words under 400 bytes stays."""
+    rng = random.Random(22)
+    word = lambda: "".join(rng.choice("abdeghilmnorst") for _ in range(rng.randint(2, 6)))
+    say = lambda n: " ".join(word() for _ in range(n)).capitalize() + "."
+    passage, brief, short = say(51), " ".join(rng.choice("ab") for _ in range(51)), say(50)
+    assert max(map(len, (passage, brief, short))) < 400
+    rows = [(1, say(60) + passage + say(60)), (2, say(9) + passage), (3, say(30) + brief + "."), (4, brief + ". " + say(30)), (5, say(40) + short), (6, short + say(40))]
+    docs = spark.createDataFrame([(k, t, "en", "s") for k, t in rows], "doc_id long, text string, lang string, source string")
+    left = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, docs, "").collect()}
+    assert left[1] == rows[0][1].replace(passage[:-1], "") and left[2] == rows[1][1].replace(passage[:-1], "")
+    assert brief not in left[3] and brief not in left[4]
+    assert left[5] == rows[4][1] and left[6] == rows[5][1]
