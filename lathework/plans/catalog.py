@@ -487,8 +487,7 @@ def weighted_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def seeded_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = [r.text for r in read(spark, sf_dir, "benchmark").where("text is not null").orderBy("item_id").limit(1000).collect()]
-    return sampling.draw_samples(spark, 5000, 42, lines)
+    return sampling.draw_samples_from(read(spark, sf_dir, "benchmark"), "text", ["item_id"], 5000, 42)
 
 
 @query()

@@ -11,7 +11,7 @@ from lathework.operators import relational as R
 from lathework.operators import sampling
 from lathework.operators import sequential as S
 from lathework.operators import vision as V
-from lathework.plans import runner
+from lathework.plans import catalog, runner
 from lathework.sources import readers, writers
 from lathework.streaming import streams
 
@@ -142,3 +142,14 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_samples_are_drawn_from_all_lines(spark, tmp_path):
+    lines = [f"line {k}\n" if k % 9 == 0 else f"line {k}" for k in range(1500)]
+    items = [(k, t) for k, t in enumerate(lines)] + [(7, None)]
+    spark.createDataFrame(items[::-1], "item_id long, text string").repartition(5).write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.sample_index: tuple(r) for r in catalog.queries()["seeded_samples"](spark, str(tmp_path)).collect()}
+    assert len(got) == 5000
+    for i in range(0, 5000, 7):
+        want = sampling.draw(i, 42, lines, sampling.Plan())
+        assert got[i][:7] == tuple(want[n] for n in sampling.NAMES[:7]) and got[i][-1] == want["y"]
