@@ -31,7 +31,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(read(spark, sf_dir, "documents")).drop("kept_text", "carried")
+    return remove_repeats(read(spark, sf_dir, "documents")).withColumnRenamed("kept_text", "text").drop("carried")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
