@@ -1,4 +1,4 @@
-"""LM scoring: interpolated modified Kneser-Ney bigrams, counted in Spark, kept as sorted hash arrays."""
+"""LM scoring: interpolated modified Kneser-Ney trigrams, counted in Spark, kept as sorted hash arrays."""
 
 from __future__ import annotations
 
@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from lathework.llm import vec
 from lathework.llm.runtime import arrow, map_file, new_path, prepare, put_file
 
-U64 = np.uint64
+U64, U32 = np.uint64, np.uint32
 #: Stand for the begin and the end of a text; no word's hash is as small but by a chance of 2**-63.
 BEGIN, END = U64(1), U64(2)
 #: Tokens that a task counts at once; bytes of text behind one bucket of the model, and the least number of buckets.
-CHUNK_TOKENS, BUCKET_BYTES, LEAST_BUCKETS = 3 << 20, 16 << 20, 16
+CHUNK_TOKENS, BUCKET_BYTES, LEAST_BUCKETS = 2 << 20, 16 << 20, 16
 #: Bytes of text that a task scores at once.
 SCORE_BYTES = 2 << 20
 
@@ -27,28 +27,105 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def pair(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Hash of two words; of a pair's hash and a word, that of the trigram."""
     return vec.mix(h * U64(vec.BASE_A) + w)
 
 
-def tokens(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of the documents in a row with each's predecessor, and where each document's begin."""
+def tokens(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of the documents in a row, and where each document's begin."""
     b = vec.Block(docs)
     b.words(vec.NOT_SPACE)
     at = np.concatenate(([0], np.cumsum(b.count + 1)))
     w = np.full(at[-1], END)
     w[np.arange(len(b.word)) + b.doc] = b.word
-    h = np.concatenate((w[:1], w[:-1]))
-    h[at[:-1]] = BEGIN
-    return h, w, at
+    return w, at
 
 
-def summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Rows of equal keys as one, ordered by the keys from the first on, their values added."""
-    order = np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
-    new = np.append(True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys]))[: len(order)]
-    at = np.flatnonzero(new)
-    return [k[at] for k in keys], [np.add.reduceat(v[order], at) if len(at) else v[:0] for v in values]
+def before(x: np.ndarray, first: np.ndarray, begin) -> np.ndarray:
+    """For each token what stands before it, ``begin`` at the first ones of documents."""
+    out = np.concatenate((x[:1], x[:-1]))
+    out[first] = begin
+    return out
+
+
+def runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the keys, and where in it each distinct one begins."""
+    order = np.argsort(key)
+    key = key[order]
+    return order, np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+
+
+@dataclass
+class Grams:
+    """Distinct n-grams by numbers into their sorted words, in order, with columns of counts."""
+
+    word: np.ndarray
+    places: list[np.ndarray]
+    counts: list[np.ndarray]
+
+    @staticmethod
+    def of(word: np.ndarray, places: list[np.ndarray], counts: list[np.ndarray]) -> Grams:
+        """Equal n-grams as one, their counts added."""
+        size, key = len(word) + 1, places[0].astype(U64)
+        limit = size
+        for place in places[1:]:
+            if limit * size >= 1 << 63:  # the words so far by their rank, so that one more fits behind it
+                order, at = runs(key)
+                rank = np.empty(len(key), U64)
+                rank[order] = np.repeat(np.arange(len(at), dtype=U64), np.diff(np.append(at, len(key))))
+                key, limit = rank, len(at)
+            key, limit = key * U64(size) + place, limit * size
+        order, at = runs(key)
+        first = order[at]
+        return Grams(word, [p[first] for p in places], [np.add.reduceat(c[order], at) if len(at) else c for c in counts])
+
+    @staticmethod
+    def merged(parts: list[Grams]) -> Grams:
+        """All parts as one, over all their words."""
+        word = np.unique(np.concatenate([g.word for g in parts]))
+        to = [np.searchsorted(word, g.word).astype(U32) for g in parts]
+        places = [np.concatenate([t[g.places[k]] for t, g in zip(to, parts, strict=True)]) for k in range(len(parts[0].places))]
+        return Grams.of(word, places, [np.concatenate([g.counts[k] for g in parts]) for k in range(len(parts[0].counts))])
+
+    def hashes(self) -> list[np.ndarray]:
+        """Hashes of the n-grams' first words, first two words, and so on."""
+        out = [self.word[self.places[0]]]
+        for p in self.places[1:]:
+            out.append(pair(out[-1], self.word[p]))
+        return out
+
+    def part(self, rows: np.ndarray) -> Grams:
+        """Some of the n-grams, in the same order, with their own words only."""
+        own = [p[rows] for p in self.places]
+        if 8 * len(rows) > len(self.word):
+            mark = np.zeros(len(self.word), bool)
+            for p in own:
+                mark[p] = True
+            used, to = np.flatnonzero(mark), np.cumsum(mark, dtype=U32) - U32(1)
+            own = [to[p] for p in own]
+        else:
+            used = np.unique(np.concatenate(own))
+            own = [np.searchsorted(used, p).astype(U32) for p in own]
+        return Grams(self.word[used], own, [c[rows] for c in self.counts])
+
+    def pack(self) -> bytes:
+        """Numbers by planes of their bytes, compressed: most planes are zeros."""
+        columns = [np.diff(self.places[0], prepend=U32(0)), *self.places[1:], *self.counts]
+        planes = [np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in columns]
+        data = self.word.tobytes() + b"".join(planes)
+        head = np.array([len(self.word), len(self.places[0]), len(self.places), len(data)], np.int64).tobytes()
+        return head + pa.Codec("zstd", 1).compress(data, asbytes=True)
+
+    @staticmethod
+    def unpack(data: bytes) -> Grams:
+        words, rows, k, size = np.frombuffer(data, np.int64, 4).tolist()
+        plain = pa.Codec("zstd").decompress(data[32:], size, asbytes=True)
+        columns, at = [], 8 * words
+        while at < size:
+            kind = np.dtype(U32 if len(columns) < k else U64)
+            columns.append(np.ascontiguousarray(np.frombuffer(plain, np.uint8, rows * kind.itemsize, at).reshape(kind.itemsize, rows).T).view(kind).ravel())
+            at += rows * kind.itemsize
+        return Grams(np.frombuffer(plain, U64, words), [np.cumsum(columns[0], dtype=U32), *columns[1:k]], columns[k:])
 
 
 def blob(arrays: list[np.ndarray], types: list) -> bytes:
@@ -64,48 +141,72 @@ def unblob(data, types: list) -> list[np.ndarray]:
     return out
 
 
-#: What a file holds of pairs, and of those met 255 times or more.
-SHORT, OFTEN = [U64, np.uint8], [U64, np.uint32]
-PAIR = [U64, U64, np.uint32]
-#: word, count as a token, count as a history, distinct predecessors, and distinct successors met once, twice, more.
-WORD = [U64, U64, U64, *[np.uint32] * 4]
+#: Counts above this are kept in full in a second file; with MANY in the first one they are looked up there.
+MANY = 255
+#: What files hold of trigrams: 56 bits of the hash with the count behind them; in full, hash and count.
+TRIGRAM, TRIGRAM_MORE = [U64], [U64, U64]
+#: Of pairs: 56 bits of the hash with the number of words that come before the pair, its count as a history, and the
+#: words that follow it once, twice and more often; in full, hash and the five numbers.
+PAIR, PAIR_MORE = [U64, U32, *[np.uint8] * 3], [U64] * 6
+#: Of words: hash, count as a token, the sum over its pairs as a history, its distinct predecessors, and the words that
+#: follow it in pairs of one predecessor, two and more.
+WORD = [U64] * 7
+LOW = U64(MANY)
 SCHEMA = "bucket int, data binary"
-STATS = ["n1", "n2", "n3", "n4", "m1", "m2", "m3", "m4", "vocabulary", "tokens", "kinds"]
+STATS = ["n1", "n2", "n3", "n4", "m1", "m2", "m3", "m4", "kinds", "k1", "k2", "k3", "k4", "vocabulary", "tokens"]
+
+
+def small(n: np.ndarray) -> np.ndarray:
+    return np.minimum(n, LOW)
+
+
+def few(n: np.ndarray) -> list[int]:
+    """How many of the counts are 1, 2, 3 and 4."""
+    return [int((n == k).sum()) for k in (1, 2, 3, 4)]
+
+
+def split_up(n: np.ndarray) -> list[np.ndarray]:
+    """Whether a count is 1, 2, more."""
+    return [(n == 1).astype(U64), (n == 2).astype(U64), (n > 2).astype(U64)]
 
 
-def _batch(buckets: np.ndarray | list, data: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(data, pa.binary())], ["bucket", "data"])
+def _batch(bucket: int, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([data], pa.binary())], ["bucket", "data"])
 
 
-def _split(bucket: np.ndarray, arrays: list[np.ndarray], types: list) -> pa.RecordBatch:
-    """A row for each bucket; the order of the rows within it stays."""
+def _dealt(grams: Grams, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket, by the hash of the whole n-gram: of a frequent one there is one for each task."""
+    bucket = bucket_of(grams.hashes()[-1], buckets)
     order = np.argsort(bucket, kind="stable")
     names, at = np.unique(bucket[order], return_index=True)
-    ends = np.append(at[1:], len(order))
-    arrays = [a[order] for a in arrays]
-    return _batch(names, [blob([a[i:j] for a in arrays], types) for i, j in zip(at, ends, strict=True)])
+    for b, i, j in zip(names.tolist(), at, np.append(at[1:], len(order)), strict=True):
+        yield _batch(b, grams.part(order[i:j]).pack())
 
 
 def _count(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] = []
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            h, w = (np.concatenate([x[k] for x in held]) for k in (0, 1))
-            (h, w), (n,) = summed([h, w], [np.ones(len(h), np.uint32)])
-            return _split(bucket_of(h, buckets), [h, w, n], PAIR)
+        def flush() -> Iterator[pa.RecordBatch]:
+            word, of_w = np.unique(np.concatenate([*held, [BEGIN]]), return_inverse=True)
+            of_w = of_w.astype(U32)
+            begin, of_w = of_w[-1], of_w[:-1]
+            first = np.append(0, np.flatnonzero(word[of_w[:-1]] == END) + 1)
+            of_v = before(of_w, first, begin)
+            places = [before(of_v, first, begin), of_v, of_w]
+            yield from _dealt(Grams.of(word, places, [np.ones(len(of_w), U64)]), buckets)
 
         for batch in batches:
             docs = vec.texts(batch.column(0))
             for i, j in vec.blocks(docs):
-                held.append(tokens(docs[i:j])[:2])
-                size += len(held[-1][0])
+                held.append(tokens(docs[i:j])[0])
+                size += len(held[-1])
                 if size >= CHUNK_TOKENS:
-                    yield flush()
+                    yield from flush()
                     held, size = [], 0
         if held:
-            yield flush()
+            yield from flush()
 
     return run
 
@@ -124,42 +225,64 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes
         yield now, held
 
 
+def _trigrams(folder: str, buckets: int):
+    """Merges the trigrams of a bucket into its files; passes what they tell about pairs on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, parts in _groups(batches):
+            g = Grams.merged([Grams.unpack(p) for p in parts])
+            (u, v, w), (n,), key = g.places, g.counts, g.hashes()[2]
+            put_file(folder, f"trigrams-{bucket}", blob([np.sort(key & ~LOW | small(n))], TRIGRAM))
+            many = np.flatnonzero(n >= LOW)
+            many = many[np.argsort(key[many])]
+            put_file(folder, f"trigrams-more-{bucket}", blob([key[many], n[many]], TRIGRAM_MORE))
+            nil, one = np.zeros(len(n), U64), np.ones(len(n), U64)
+            # a pair's count is that of the trigrams which it begins; one that ends a text begins none
+            last = np.where(g.word[w] == END, n, nil)
+            history, event = [nil, n, *split_up(n)], [one, last, nil, nil, nil]
+            both = [np.concatenate(x) for x in zip(history, event, strict=True)]
+            yield from _dealt(Grams.of(g.word, [np.concatenate((u, v)), np.concatenate((v, w))], both), buckets)
+            yield _batch(buckets, np.array(few(n) + [0] * 11, np.int64).tobytes())
+
+    return run
+
+
 def _pairs(folder: str, buckets: int):
-    """Merges the pairs of a bucket into its file; passes what they tell about words on."""
+    """Merges the pairs of a bucket into its files; passes what they tell about words on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, parts in _groups(batches):
-            columns = [unblob(p, PAIR) for p in parts]
-            (h, w), (n,) = summed([np.concatenate([c[0] for c in columns]), np.concatenate([c[1] for c in columns])], [np.concatenate([c[2] for c in columns])])
-            key = pair(h, w)
-            order = np.argsort(key)
-            put_file(folder, f"pairs-{bucket}", blob([key[order], np.minimum(n[order], 255)], SHORT))
-            many = order[n[order] >= 255]
-            put_file(folder, f"often-{bucket}", blob([key[many], n[many]], OFTEN))
-            one = np.ones(len(h), np.uint32)
-            (hist,), (ch, s1, s2, s3) = summed([h], [n, (n == 1).astype(np.uint32), (n == 2).astype(np.uint32), (n > 2).astype(np.uint32)])
-            (word,), (cw, cont) = summed([w], [n, one])
-            zero, nil = np.zeros(len(hist), np.uint32), np.zeros(len(word), np.uint32)
-            rows = [np.concatenate(x) for x in ((hist, word), (zero, cw), (ch, nil), (zero, cont), (s1, nil), (s2, nil), (s3, nil))]
-            yield _split(bucket_of(rows[0], buckets), rows, WORD)
-            counts = [int((n == k).sum()) for k in (1, 2, 3, 4)] + [0] * 6 + [len(n)]
-            yield _batch([-1], [np.array(counts, np.int64).tobytes()])
+            if bucket == buckets:
+                yield from (_batch(bucket, p) for p in parts)
+                continue
+            g = Grams.merged([Grams.unpack(p) for p in parts])
+            (v, w), (cc, c, *f), key = g.places, g.counts, g.hashes()[1]
+            own = key & ~LOW | small(cc)
+            order = np.argsort(own)
+            put_file(folder, f"pairs-{bucket}", blob([x[order] for x in (own, np.minimum(c, U64(0xFFFFFFFF)), *map(small, f))], PAIR))
+            many = np.flatnonzero((np.maximum.reduce([cc, *f]) >= LOW) | (c >= U64(0xFFFFFFFF)))
+            many = many[np.argsort(key[many])]
+            put_file(folder, f"pairs-more-{bucket}", blob([x[many] for x in (key, cc, c, *f)], PAIR_MORE))
+            met, nil = (cc > 0).astype(U64), np.zeros(len(cc), U64)
+            token = np.where(g.word[w] == BEGIN, nil, c)
+            history, event = [nil, cc, nil, *split_up(cc)], [token, nil, met, nil, nil, nil]
+            yield from _dealt(Grams.of(g.word, [np.concatenate((v, w))], [np.concatenate(x) for x in zip(history, event, strict=True)]), buckets)
+            yield _batch(buckets, np.array([0] * 4 + few(cc) + [int(met.sum())] + [0] * 6, np.int64).tobytes())
 
     return run
 
 
-def _words(folder: str):
+def _words(folder: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(STATS), np.int64)
         for bucket, parts in _groups(batches):
-            if bucket < 0:
+            if bucket == buckets:
                 total += sum(np.frombuffer(p, np.int64) for p in parts)
                 continue
-            columns = [unblob(p, WORD) for p in parts]
-            (word,), values = summed([np.concatenate([c[0] for c in columns])], [np.concatenate([c[k] for c in columns]) for k in range(1, 7)])
-            put_file(folder, f"words-{bucket}", blob([word, *values], WORD))
-            cont = values[2]
-            total += np.array([0] * 4 + [int((cont == k).sum()) for k in (1, 2, 3, 4)] + [int((cont > 0).sum()), int(values[0].sum(dtype=np.int64)), 0], np.int64)
+            g = Grams.merged([Grams.unpack(p) for p in parts])
+            cw, _, cont, *_ = g.counts
+            put_file(folder, f"words-{bucket}", blob([g.word[g.places[0]], *g.counts], WORD))
+            total += np.array([0] * 9 + few(cont) + [int((cw > 0).sum()), int(cw.sum())], np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in total], STATS)
 
     return run
@@ -177,79 +300,92 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
 
 @dataclass
 class Model:
-    """Where the sorted arrays lie, and the constants of the whole corpus."""
+    """Where the sorted arrays lie, and the constants of the whole corpus: discounts of trigrams, pairs and words."""
 
     folder: str
     buckets: int
     vocabulary: int
     tokens: int
     kinds: int
-    upper: tuple[float, float, float]
-    lower: tuple[float, float, float]
+    discounts: tuple[tuple[float, float, float], ...]
     left: float
 
-    def _fill(self, name: str, types: list, key: np.ndarray, bucket: np.ndarray, out: list[np.ndarray]) -> None:
-        """Sets the values of the keys that the files hold; keys are in order by bucket and value."""
-        if not len(bucket):
-            return
-        names, at = np.unique(bucket, return_index=True)
-        for b, i, j in zip(names, at, np.append(at[1:], len(bucket)), strict=True):
+    def _find(self, name: str, types: list, key: np.ndarray, keep: U64) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Which hashes the files hold, by the bits of ``keep``, and the columns there; zeros where not."""
+        bucket = bucket_of(key, self.buckets)
+        order = np.lexsort((key, bucket))
+        names, at = np.unique(bucket[order], return_index=True)
+        hit, out = np.zeros(len(key), bool), [np.zeros(len(key), np.int64) for _ in types]
+        for b, i, j in zip(names, at, np.append(at[1:], len(order)), strict=True):
             table = unblob(map_file(self.folder, f"{name}-{b}"), types)
             if len(table[0]):
-                where = np.minimum(np.searchsorted(table[0], key[i:j]), len(table[0]) - 1)
-                hit = table[0][where] == key[i:j]
-                for o, t in zip(out, table[1:], strict=True):
-                    o[i:j][hit] = t[where[hit]]
+                own = order[i:j]
+                where = np.minimum(np.searchsorted(table[0], key[own] & keep), len(table[0]) - 1)
+                same = table[0][where] & keep == key[own] & keep
+                hit[own] = same
+                for o, t in zip(out, table, strict=True):
+                    o[own[same]] = t[where[same]].astype(np.int64)
+        return hit, out
 
     def words(self, word: np.ndarray) -> list[np.ndarray]:
-        """Counts of ``WORD`` for each distinct word; zero if not met."""
-        bucket = bucket_of(word, self.buckets)
-        order = np.lexsort((word, bucket))
-        values = [np.zeros(len(word), np.int64) for _ in range(6)]
-        self._fill("words", WORD, word[order], bucket[order], values)
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        return [v[back] for v in values]
-
-    def pairs(self, h: np.ndarray, w: np.ndarray) -> np.ndarray:
-        key, bucket = pair(h, w), bucket_of(h, self.buckets)
-        order = np.lexsort((key, bucket))
-        key, bucket = key[order], bucket[order]
-        small, large = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
-        self._fill("pairs", SHORT, key, bucket, [small])
-        many = np.flatnonzero(small == 255)
-        often = large[many]
-        self._fill("often", OFTEN, key[many], bucket[many], [often])
-        small[many] = often
-        out = np.empty(len(key), np.int64)
-        out[order] = small
-        return out
-
-    def score(self, docs: list[bytes]) -> tuple[np.ndarray, ...]:
+        """The six counts of ``WORD`` for each distinct word; zeros if not met."""
+        return self._find("words", WORD, word, ~U64(0))[1][1:]
+
+    def pairs(self, key: np.ndarray) -> list[np.ndarray]:
+        """The five counts of ``PAIR`` for each distinct pair; zeros if not met."""
+        _, (first, *counts) = self._find("pairs", PAIR, key, ~LOW)
+        counts = [first & MANY, *counts]
+        more = np.flatnonzero((counts[0] == MANY) | (np.maximum.reduce(counts[2:]) == MANY) | (counts[1] == 0xFFFFFFFF))
+        if len(more):
+            hit, (_, *full) = self._find("pairs-more", PAIR_MORE, key[more], ~U64(0))
+            for c, f in zip(counts, full, strict=True):
+                c[more[hit]] = f[hit]
+        return counts
+
+    def trigrams(self, key: np.ndarray) -> np.ndarray:
+        count = self._find("trigrams", TRIGRAM, key, ~LOW)[1][0] & MANY
+        more = np.flatnonzero(count == MANY)
+        if len(more):
+            hit, (_, full) = self._find("trigrams-more", TRIGRAM_MORE, key[more], ~U64(0))
+            count[more[hit]] = full[hit]
+        return count
+
+    def score(self, docs: list[bytes], order: int = 3) -> tuple[np.ndarray, ...]:
         """Tokens, known tokens, base score and model score of each document, all in log10."""
-        h, w, at = tokens(docs)
+        three, two, one = (np.array([0, *d]) for d in self.discounts)
+        w, at = tokens(docs)
+        first = at[:-1]
         word, inverse = np.unique(np.append(w, BEGIN), return_inverse=True)
         of_w, begin = inverse[:-1], inverse[-1]
-        of_h = np.append(begin, of_w[:-1])
-        of_h[at[:-1]] = begin
-        cw, ch, cont, s1, s2, s3 = self.words(word)
+        cw, hist, cont, *s = self.words(word)
         base = np.log10((cw + 0.5) / (self.tokens + 0.5 * (self.vocabulary + 1)))
-        off = np.array([0, *self.lower])[np.minimum(cont, 3)]
-        low = (cont - off) / max(self.kinds, 1) + self.left / (self.vocabulary + 1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gamma = np.where(ch > 0, (self.upper[0] * s1 + self.upper[1] * s2 + self.upper[2] * s3) / np.maximum(ch, 1), 1.0)
-        both, place = np.unique(of_h * len(word) + of_w, return_inverse=True)
+        p1 = (cont - one[np.minimum(cont, 3)]) / max(self.kinds, 1) + self.left / (self.vocabulary + 1)
+        # pairs that end at each token, and the one in front of a document
+        of_v = np.append(before(of_w, first, begin), begin)
+        both, of_pair = np.unique(of_v * len(word) + inverse, return_inverse=True)
         a, b = both // len(word), both % len(word)
-        count = self.pairs(word[a], word[b])
-        off = np.array([0, *self.upper])[np.minimum(count, 3)]
-        p = (count - off) / np.maximum(ch[a], 1) + gamma[a] * low[b]
-        log = np.log10(p)[place]
-        add = lambda x: np.add.reduceat(x, at[:-1])
+        key = pair(word[a], word[b])
+        cc, c, *f = self.pairs(key)
+        p2 = (cc - two[np.minimum(cc, 3)]) / np.maximum(hist[a], 1) + np.where(hist[a] > 0, sum(two[k + 1] * s[k][a] for k in range(3)) / np.maximum(hist[a], 1), 1.0) * p1[b]
+        if order == 3:
+            front, of_pair = of_pair[-1], of_pair[:-1]
+            triple, place, of_triple = np.unique(before(of_pair, first, front) * len(word) + of_w, return_index=True, return_inverse=True)
+            h = triple // len(word)
+            n = self.trigrams(pair(key[h], word[triple % len(word)]))
+            p3 = (n - three[np.minimum(n, 3)]) / np.maximum(c[h], 1) + np.where(c[h] > 0, sum(three[k + 1] * f[k][h] for k in range(3)) / np.maximum(c[h], 1), 1.0) * p2[of_pair[place]]
+            log = np.log10(p3)[of_triple]
+        else:
+            log = np.log10(p2)[of_pair[:-1]] if order == 2 else np.log10(p1)[of_w]
+        add = lambda x: np.add.reduceat(x, first)
         return np.diff(at), add((cw > 0).astype(np.int64)[of_w]), add(base[of_w]), add(log)
 
 
 def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Counts all token pairs of ``docs`` and writes the sorted arrays to the shared folder, a file for each bucket."""
+    """Counts all trigrams of ``docs`` and writes the sorted arrays to the shared folder, files for each bucket.
+
+    Rows are dealt by the hash of the whole n-gram at each step, so no history, word or pair is too frequent for a
+    task: a task sends one row of it on.
+    """
     spark = docs.sparkSession
     prepare(spark)
     folder = new_path(spark, "ngrams")
@@ -258,26 +394,30 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
 
     def by_bucket(df: DataFrame) -> DataFrame:
-        return df.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+        return df.repartitionById(buckets + 1, "bucket").sortWithinPartitions("bucket")
 
-    counted = by_bucket(plain.transform(arrow, _count(buckets), SCHEMA)).transform(arrow, _pairs(folder, buckets), SCHEMA)
-    stats = by_bucket(counted).transform(arrow, _words(folder), ", ".join(f"{s} long" for s in STATS))
+    counted = by_bucket(plain.transform(arrow, _count(buckets), SCHEMA)).transform(arrow, _trigrams(folder, buckets), SCHEMA)
+    counted = by_bucket(counted).transform(arrow, _pairs(folder, buckets), SCHEMA)
+    stats = by_bucket(counted).transform(arrow, _words(folder, buckets), ", ".join(f"{s} long" for s in STATS))
     r = stats.agg(*(F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in STATS)).first()
-    upper, lower = discounts([r.n1, r.n2, r.n3, r.n4]), discounts([r.m1, r.m2, r.m3, r.m4])
-    more = r.vocabulary - r.m1 - r.m2
-    left = (lower[0] * r.m1 + lower[1] * r.m2 + lower[2] * more) / r.kinds if r.kinds else 1.0
-    return Model(folder, buckets, r.vocabulary, r.tokens, r.kinds, upper, lower, left)
+    found = tuple(discounts([r[f"{x}{k}"] for k in (1, 2, 3, 4)]) for x in "nmk")
+    one = found[2]
+    left = (one[0] * r.k1 + one[1] * r.k2 + one[2] * (r.vocabulary - r.k1 - r.k2)) / r.kinds if r.kinds else 1.0
+    return Model(folder, buckets, r.vocabulary, r.tokens, r.kinds, found, left)
 
 
-def score_language_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Score whole texts by a bigram model of the documents outside the held-out fifth.
+def score_language_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 3) -> DataFrame:
+    """Score whole texts by a trigram model of the documents outside the held-out fifth.
 
     Tokens are words between ASCII white space, A-Z lower-cased, then one end. Returns ``doc_id, held_out, n_tokens,
     n_known, train_tokens, base_score, score, perplexity``; scores are log10 probabilities, the base that of single
-    tokens. The model is interpolated modified Kneser-Ney; below the bigrams stand the numbers of predecessors, and
-    below those equal odds of the vocabulary and one unknown word, so the odds after any history add up to 1.
+    tokens. The model is interpolated modified Kneser-Ney: below the trigrams stand the numbers of words before a pair,
+    below these the numbers of words before a word, and below those equal odds of the vocabulary and one unknown word,
+    so the odds after any history add up to 1. A text begins after two begin signs. ``order`` 2 or 1 scores by the
+    model's lower orders alone.
 
-    Null and empty texts are an end alone. Without training documents all tokens are unknown and equally likely.
+    Null and empty texts are an end alone; very long texts are scored whole. Without training documents all tokens are
+    unknown and equally likely. Ties don't arise: counts are sums.
     Repeated rows each count and are each scored; a null id is trained on. Other columns are ignored.
     """
     prepare(docs.sparkSession)
@@ -289,7 +429,7 @@ def score_language_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
         for batch in batches:
             docs = vec.texts(batch.column(1))
             for i, j in vec.blocks(docs, SCORE_BYTES):
-                n, known, base, own = model.score(docs[i:j])
+                n, known, base, own = model.score(docs[i:j], order)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), pa.array(known), pa.array(base), pa.array(own)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     scored = plain.transform(arrow, score, "doc_id long, n_tokens long, n_known long, base_score double, score double")

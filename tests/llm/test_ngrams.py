@@ -6,51 +6,100 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-from lathework.llm.ngrams import discounts, score_language_model
+import numpy as np
+
+from lathework.llm.ngrams import Grams, discounts, score_language_model
 
 
 def split(t):
     return re.findall(rb"[^\x20\x09-\x0d]+", (t or "").encode().translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256)))) + [None]
 
 
-def brute(rows):
-    train = [split(t) for k, t in rows if k is None or zlib.crc32(str(k).encode()) % 5 != 1]
-    uni, bi = Counter(w for d in train for w in d), Counter(p for d in train for p in zip([0, *d[:-1]], d, strict=True))
-    n, v, kinds = sum(uni.values()), len(uni), len(bi)
-    up = discounts([sum(c == k for c in bi.values()) for k in (1, 2, 3, 4)])
-    cont = Counter(w for _, w in bi)
-    low = discounts([sum(c == k for c in cont.values()) for k in (1, 2, 3, 4)])
-    off = lambda d, c: d[min(c, 3) - 1] if c else 0.0
-    left = sum(off(low, c) for c in cont.values()) / kinds
-    hist, gone = Counter(), defaultdict(float)
-    for (h, _), c in bi.items():
-        hist[h] += c
-        gone[h] += off(up, c)
-
-    def p(h, w):
-        lower = (cont[w] - off(low, cont[w])) / kinds + left / (v + 1)
-        return (bi[h, w] - off(up, bi[h, w])) / hist[h] + gone[h] / hist[h] * lower if hist[h] else lower
-
-    for h in [0, b"a0", b"unmet"]:
-        assert math.isclose(sum(p(h, w) for w in [*uni, b"never met"]), 1)
-    out = {}
-    for k, t in rows:
-        d = split(t)
-        base = sum(math.log10((uni[w] + 0.5) / (n + 0.5 * (v + 1))) for w in d)
-        out[k] = (len(d), sum(uni[w] > 0 for w in d), n, base, sum(math.log10(p(h, w)) for h, w in zip([0, *d[:-1]], d, strict=True)))
-    return out
+class Brute:
+    """The model from its definition, by dictionaries."""
+
+    def __init__(self, train):
+        grams = [g for d in train for g in zip([0, 0, *d][: len(d)], [0, *d][: len(d)], d, strict=True)]
+        self.c3, self.uni = Counter(grams), Counter(w for d in train for w in d)
+        self.c2 = Counter(g[1:] for g in self.c3)
+        self.c1 = Counter(p[1] for p in self.c2)
+        self.n, self.v, self.kinds = sum(self.uni.values()), len(self.uni), len(self.c2)
+        self.d3, self.d2, self.d1 = (discounts([sum(c == k for c in x.values()) for k in (1, 2, 3, 4)]) for x in (self.c3, self.c2, self.c1))
+        self.left = sum(self.off(self.d1, c) for c in self.c1.values()) / self.kinds
+        self.h3, self.g3, self.h2, self.g2 = Counter(), defaultdict(float), Counter(), defaultdict(float)
+        for table, d, h, g in ((self.c3, self.d3, self.h3, self.g3), (self.c2, self.d2, self.h2, self.g2)):
+            for k, c in table.items():
+                h[k[:-1]] += c
+                g[k[:-1]] += self.off(d, c)
+
+    @staticmethod
+    def off(d, c):
+        return d[min(c, 3) - 1] if c else 0.0
+
+    def p1(self, w):
+        return (self.c1[w] - self.off(self.d1, self.c1[w])) / self.kinds + self.left / (self.v + 1)
+
+    def p2(self, v, w):
+        c, h = self.c2[v, w], self.h2[v,]
+        return (c - self.off(self.d2, c)) / h + self.g2[v,] / h * self.p1(w) if h else self.p1(w)
+
+    def p3(self, u, v, w):
+        c, h = self.c3[u, v, w], self.h3[u, v]
+        return (c - self.off(self.d3, c)) / h + self.g3[u, v] / h * self.p2(v, w) if h else self.p2(v, w)
+
+    def score(self, d, order):
+        grams = zip([0, 0, *d][: len(d)], [0, *d][: len(d)], d, strict=True)
+        return sum(math.log10([self.p1, self.p2, self.p3][order - 1](*g[3 - order :])) for g in grams)
 
 
 def test_against_brute_force(spark):
     rng = random.Random(4)
     rows = [(k, " ".join(rng.choice("abc") + str(int(rng.expovariate(0.2))) for _ in range(rng.randint(0, 80)))) for k in range(200)]
-    rows += [(300, None), (301, ""), (302, "The the\x0bTHE  Ünmet"), (None, "a0 a1"), (303, "z z " * 400)]
+    rows += [(300, None), (301, ""), (302, "The the\x0bTHE  Ünmet"), (None, "a0 a1"), (303, "z z " * 400), (304, "z y " * 900)]
     d = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, text string, score double")
-    want = brute(rows)
-    got = score_language_model(d).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        w = want[r.doc_id]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == w[:3]
-        assert math.isclose(r.base_score, w[3], rel_tol=1e-9) and math.isclose(r.score, w[4], rel_tol=1e-9)
+    b = Brute([split(t) for k, t in rows if k is None or zlib.crc32(str(k).encode()) % 5 != 1])
+    for h in [(0, 0), (0, b"a0"), (b"a0", b"b1"), (b"z", b"z"), (b"unmet", b"a1"), (b"unmet", b"unmet")]:
+        assert math.isclose(sum(b.p3(*h, w) for w in [*b.uni, b"never met"]), 1)
+    for order in (1, 2, 3):
+        got = score_language_model(d, order=order).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            t = split(dict(rows)[r.doc_id])
+            assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(b.uni[w] > 0 for w in t), b.n)
+            assert math.isclose(r.base_score, sum(math.log10((b.uni[w] + 0.5) / (b.n + 0.5 * (b.v + 1))) for w in t), rel_tol=1e-9)
+            assert math.isclose(r.score, b.score(t, order), rel_tol=1e-9)
     assert score_language_model(d.limit(0)).count() == 0
+
+
+def test_longer_histories_tell_more(spark):
+    """Held-out perplexity falls with the order where words depend on the two before them."""
+    rng = random.Random(9)
+
+    def text():
+        u, v, out = 0, 0, []
+        for _ in range(120):
+            u, v = v, (3 * u + 5 * v + (0 if rng.random() < 0.9 else rng.randrange(17))) % 17
+            out.append(f"w{v}")
+        return " ".join(out)
+
+    d = spark.createDataFrame([(k, text()) for k in range(400)], "doc_id long, text string")
+    p = []
+    for order in (1, 2, 3):
+        rows = [r for r in score_language_model(d, order=order).collect() if r.held_out]
+        p.append(10 ** (-sum(r.score for r in rows) / sum(r.n_tokens for r in rows)))
+    assert p[0] > 10 and p[1] > 10 and p[2] < 5
+
+
+def test_large_counts_and_packing():
+    """Counts above 255 come back from the second file's columns, and packed n-grams are what they were."""
+    word = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 300, dtype=np.uint64))
+    places = [np.random.default_rng(k).integers(0, 300, 5000).astype(np.uint32) for k in (2, 3, 4)]
+    g = Grams.of(word, places, [np.full(5000, 1 << 33, np.uint64)])
+    assert g.counts[0].sum() == 5000 << 33 and len(set(zip(*(p.tolist() for p in places), strict=True))) == len(g.counts[0])
+    back = Grams.unpack(g.pack())
+    for x, y in zip([g.word, *g.places, *g.counts], [back.word, *back.places, *back.counts], strict=True):
+        assert (x == y).all()
+    one, two = g.part(np.arange(0, 3000)), g.part(np.arange(3000, 3010))
+    again = Grams.merged([one, two, one])
+    assert again.counts[0].sum() == 2 * one.counts[0].sum() + two.counts[0].sum()
+    assert set(again.hashes()[2].tolist()) == set(g.hashes()[2][:3010].tolist())
