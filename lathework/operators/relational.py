@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -139,11 +141,64 @@ def weighted_choice(u: Column, options: list[tuple[str, float]]) -> Column:
     return out.otherwise(options[-1][0]) if out is not F else F.lit(options[-1][0])
 
 
-def hamming_pairs(df: DataFrame, key: str, value: str, most: int) -> DataFrame:
-    """Pairs of 64-bit hashes at most ``most`` bits apart, each once. With ``most`` + 1 bands a close pair has an equal one."""
-    width = 64 // (most + 1)
-    bands = F.array(*(F.struct(F.lit(k).alias("b"), F.shiftrightunsigned(F.col(value), k * width).bitwiseAND(F.lit((1 << (64 - k * width if k == most else width)) - 1)).alias("h")) for k in range(most + 1)))
-    keyed = df.select(F.col(key).alias("a"), F.col(value).alias("x"), F.explode(bands).alias("band"))
-    other = keyed.toDF("b", "y", "band")
-    near = F.bit_count(F.col("x").bitwiseXOR(F.col("y")))
-    return keyed.join(other, "band").where("a < b").withColumn("distance", near).where(F.col("distance") <= most).select("a", "b", "distance").distinct()
+def flips(width: int, most: int) -> list[int]:
+    """All numbers of ``width`` bits with ``most`` of them set at most."""
+    return [sum(1 << b for b in bits) for k in range(most + 1) for bits in combinations(range(width), k)]
+
+
+def hamming_pairs(df: DataFrame, key: str, value: str, most: int, bands: int | None = None) -> DataFrame:
+    """Pairs of 64-bit hashes at most ``most`` bits apart, each once.
+
+    The bits are cut into ``bands`` (by default as many as keep the neighbours of a band's value below some hundreds).
+    Of a close pair one band differs in ``most // bands`` bits at most, so one side is asked for under all values that
+    near, the other stands under its own. A pair is given by its first such band only. Wide bands have few rows a value.
+    """
+    probes = lambda b: sum(comb(-(-64 // b), k) for k in range(most // b + 1))
+    bands = bands or next(b for b in range(1, most + 2) if probes(b) <= 256)
+    width, near = -(-64 // bands), most // bands
+    bits = [min(width, 64 - k * width) for k in range(bands)]
+    part = lambda c, k: F.shiftrightunsigned(c, k * width).bitwiseAND(F.lit((1 << bits[k]) - 1 if bits[k] < 64 else -1))
+    own = F.array(*(F.struct(F.lit(k).alias("k"), part(F.col(value), k).alias("h")) for k in range(bands)))
+    stored = df.select(F.col(key).alias("b"), F.col(value).alias("y"), F.explode(own).alias("band"))
+    masks = F.array(*(F.lit(m).cast("long") for m in flips(width, near)))
+    asked = df.select(F.col(key).alias("a"), F.col(value).alias("x"), F.explode(own).alias("o"))
+    asked = asked.select("a", "x", "o.k", F.explode(F.transform(masks, lambda m: F.col("o.h").bitwiseXOR(m))).alias("h"))
+    stored = stored.select("b", "y", "band.k", "band.h")
+    diff = F.col("x").bitwiseXOR(F.col("y"))
+    first = F.coalesce(*(F.when(F.bit_count(part(diff, k)) <= near, F.lit(k)) for k in range(bands)))
+    pairs = stored.join(asked, ["k", "h"]).where((F.col("a") < F.col("b")) & (F.bit_count(diff) <= most) & (first == F.col("k")))
+    return pairs.select("a", "b", F.bit_count(diff).alias("distance"))
+
+
+def asof_nearest(left: DataFrame, right: DataFrame, key: str, time: str, value: str) -> DataFrame:
+    """Right row nearest in time to each left row within its key, before or after; of equally near ones the earliest,
+    of one time the smallest value. One sort of both sides; no right row of the key gives null.
+    """
+    kind = right.schema[value].dataType
+    a = left.withColumn("_at", F.lit(None).cast(right.schema[time].dataType)).withColumn("_v", F.lit(None).cast(kind)).withColumn("_side", F.lit(1)).withColumn("_payload", F.struct(*left.columns))
+    names = [key, time, "_at", "_v", "_side", "_payload"]
+    b = right.groupBy(key, time).agg(F.min(value).alias("_v")).withColumn("_at", F.col(time)).withColumn("_side", F.lit(0)).withColumn("_payload", F.lit(None).cast(a.schema["_payload"].dataType))
+    both = a.select(names).unionByName(b.select(names))
+    hit = F.when(F.col("_at").isNotNull(), F.struct("_at", "_v"))
+    ahead, behind = W.partitionBy(key).orderBy(F.desc(time), F.desc("_side")), W.partitionBy(key).orderBy(time, "_side")
+    upto = lambda w: F.last(hit, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0))
+    found = both.withColumn("_before", upto(behind)).withColumn("_after", upto(ahead)).where("_side = 1")
+    closer = F.col("_before").isNull() | (F.col("_after._at") - F.col(time) < F.col(time) - F.col("_before._at"))
+    return found.withColumn(value, F.when(closer, F.col("_after._v")).otherwise(F.col("_before._v"))).select("_payload.*", value)
+
+
+def numbered(df: DataFrame, order: str, name: str = "position", ranges: int = 256) -> DataFrame:
+    """Adds the place of each row in the order of a numeric column, from 0, without a task that holds all rows.
+
+    Rows are dealt by ranges between approximate quantiles, which the driver sees with the ranges' sizes; equal values
+    share a range and are numbered in any order.
+    """
+    bounds = sorted(set(df.agg(F.percentile_approx(order, [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] or []))
+    part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(order))) if bounds else F.lit(0)
+    dealt = df.withColumn("_part", part)
+    starts, total = {}, 0
+    for r in dealt.groupBy("_part").count().orderBy("_part").collect():
+        starts[r["_part"]], total = total, total + r["count"]
+    begin = F.create_map(*(F.lit(x) for pair in starts.items() for x in pair)) if starts else F.create_map().cast("map<int,int>")
+    own = F.row_number().over(W.partitionBy("_part").orderBy(order)) - 1
+    return dealt.withColumn(name, F.try_element_at(begin, F.col("_part")).cast("long") + own).drop("_part")

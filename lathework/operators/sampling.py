@@ -6,17 +6,20 @@ import random
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lathework.functions.timebase import fade_factor, representative_time
 from lathework.shipping import ship
 
 #: Fixed value: distance of the seeds of neighbouring samples.
 SEED_STEP = 7919
 Range = tuple[float, float]
 Weighted = list[tuple[object, float]]
+ALIGN = ("left", "center", "right")
 WHITE, BLACK = (255, 255, 255, 255), (0, 0, 0, 255)
 
 
@@ -66,6 +69,21 @@ class Plan:
     columns: Weighted = field(default_factory=lambda: [((0.45, 0.55), 0.7), ((0.15, 0.85), 0.3)])
     rows: Range = (0.65, 0.85)
     attempts: int = 20
+    frames: int = 1  #: frames of an event, 1 to 3
+
+    def __post_init__(self):
+        """Ranges go from the smaller to the larger number, and options are known and have a positive weight."""
+        s = self.style
+        ranges = [self.rows, *self.fades, s.size, s.letter_spacing, s.line_spacing, s.stroke, s.opacity, s.shadow_blur, *s.bar_shape]
+        ranges += [c for c, _ in self.columns] + [size for (_, size), _ in s.fonts if size]
+        if any(low > high for low, high in ranges) or any(low >= high for (low, high), _ in self.durations):
+            raise ValueError("a range begins after its end")
+        if odd := {name for name, _ in s.align} - set(ALIGN):
+            raise ValueError(f"unknown alignment: {', '.join(sorted(map(str, odd)))}")
+        if not self.durations or any(w <= 0 for o in (self.durations, self.columns, s.fonts, s.fills, s.strokes, s.bars) for _, w in o):
+            raise ValueError("options need a positive weight")
+        if not 1 <= self.frames <= 3 or self.attempts < 1:
+            raise ValueError("an event has 1 to 3 frames and at least one attempt")
 
 
 def draw_style(rng: random.Random, s: Style) -> dict:
@@ -92,7 +110,7 @@ def draw_fades(rng: random.Random, duration: int, plan: Plan) -> tuple[int, int]
 
 
 def draw(index: int, seed: int, corpus: list[str], plan: Plan, fits: Callable[[dict], bool] | None = None) -> dict:
-    """One event. ``fits`` may reject an attempt; when none of them fits, ``attempt`` is null and the row is a failure."""
+    """One event. ``fits`` may reject an attempt by any frame of the event; when none fits, ``attempt`` is null and the row is a failure."""
     own = seed + index * SEED_STEP
     rng = random.Random(own)
     low, high = pick(rng, plan.durations)
@@ -105,7 +123,7 @@ def draw(index: int, seed: int, corpus: list[str], plan: Plan, fits: Callable[[d
         style = draw_style(rng, plan.style)
         left, right = pick(rng, plan.columns)
         row = event | style | {"x": rng.uniform(left, right), "y": rng.uniform(*plan.rows), "attempt": attempt}
-        if fits is None or fits(row):
+        if fits is None or all(fits(row | {"frame": k}) for k in range(plan.frames)):
             return row
     return event
 
@@ -134,6 +152,19 @@ def draw_samples(spark: SparkSession, n: int, seed: int, corpus: list[str], plan
     return spark.range(n).mapInArrow(run, SCHEMA)
 
 
+def event_frames(events: DataFrame, frames: int, start: Column | None = None) -> DataFrame:
+    """A row for each of an event's frames: its time, spread evenly over the event, and the opacity left by the fades.
+
+    ``start`` is the event's begin in milliseconds, 0 if not given; events without an attempt have no frames.
+    """
+    begin = start if start is not None else F.lit(0)
+    k = F.explode(F.sequence(F.lit(0), F.lit(frames - 1)))
+    rows = events.where("attempt is not null").withColumn("_start", begin.cast("long")).withColumn("frame", k)
+    at = representative_time(F.col("_start"), F.col("duration_ms"), frames, F.col("frame"))
+    factor = fade_factor(at, F.col("_start"), F.col("_start") + F.col("duration_ms"), F.col("fade_in_ms"), F.col("fade_out_ms"))
+    return rows.withColumn("frame_time_ms", at).withColumn("effective_opacity", F.col("opacity") * factor).drop("_start")
+
+
 class Positions:
     """A corpus of so many lines that are drawn by number."""
 
@@ -160,15 +191,14 @@ def draw_samples_from(lines: DataFrame, text: str, order: list[str], n: int, see
 
 
 def random_crop(rng: random.Random, width: int, height: int, aspect_w: int, aspect_h: int) -> tuple[int, int, int, int]:
-    """The largest rectangle of an aspect, at a random place along the free side."""
-    target = aspect_w / aspect_h
-    if target >= width / height:
-        w, h = width, max(round(width / target), 1)
-        y = rng.randrange(0, max(height - h + 1, 1))
-        return 0, y, w, y + h
-    w, h = max(round(height * target), 1), height
-    x = rng.randrange(0, max(width - w + 1, 1))
-    return x, 0, x + w, h
+    """The largest rectangle of an aspect; one side is the frame's, along the other it lies at a random place."""
+    size, ratio = np.array([width, height]), aspect_w / aspect_h
+    free = int(ratio >= width / height)
+    box = size.copy()
+    box[free] = max(round(width / ratio if free else height * ratio), 1)
+    start = np.zeros(2, int)
+    start[free] = rng.randrange(max(size[free] - box[free] + 1, 1))
+    return (*start.tolist(), *(start + box).tolist())
 
 
 def crops(frames: DataFrame, targets: list[tuple[int, int, float]], seed: int) -> DataFrame:

@@ -1,7 +1,7 @@
 """Operators whose result depends on an order: greedy splits, greedy near clusters, box tracks.
 
-Each runs on one row per cluster, hash or box of a group, inside a grouped function; the scalable alternatives stand in
-``relational`` under other names, as their results differ.
+Splits and tracks run on one row per cluster or box of a group, inside a grouped function; the scalable alternative to
+the greedy split stands in ``relational`` under another name, as its results differ. Near clusters settle in rounds.
 """
 
 from __future__ import annotations
@@ -14,8 +14,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
+from lathework.operators.relational import hamming_pairs
 from lathework.shipping import ship
+from lathework.tables import cut
 
 SPLITS = ("train", "val", "test")
 
@@ -35,39 +38,51 @@ class SplitConfig:
             raise ValueError("limits lie in (0, 1]")
 
 
+class Shelves:
+    """What each split holds: items, and items of each group, an array over the splits for each."""
+
+    def __init__(self, config: SplitConfig, total: int):
+        self.names, self.limits, self.total = list(config.ratios), config.limits, max(total, 1)
+        self.wanted = np.array(list(config.ratios.values()))
+        self.items = np.zeros(len(self.names), np.int64)
+        self.groups: dict[tuple[str, str], np.ndarray] = defaultdict(lambda: np.zeros(len(self.names), np.int64))
+
+    def allowed(self, size: int, keys: dict[str, str]) -> np.ndarray:
+        """Splits that are empty or in which each limited group keeps its share with ``size`` more of it."""
+        ok = np.ones(len(self.names), bool)
+        for dimension, most in self.limits.items():
+            if dimension in keys:
+                ok &= (self.groups[dimension, keys[dimension]] + size) / (self.items + size) <= most
+        return ok | (self.items == 0)
+
+    def put(self, size: int, keys: dict[str, str]) -> tuple[str, bool]:
+        """Where a cluster goes: of the allowed splits, or of all if none is, the one that lacks most; the first of equals."""
+        lack = self.wanted - self.items / self.total
+        ok = self.allowed(size, keys)
+        to = int(np.where(ok, lack, -np.inf).argmax() if ok.any() else lack.argmax())
+        self.items[to] += size
+        for group in keys.items():
+            self.groups[group][to] += size
+        return self.names[to], bool(ok.any())
+
+    def crowded(self) -> list[str]:
+        """Groups above their limits, a line for each split and group."""
+        shares = {g: n / np.maximum(self.items, 1) for g, n in self.groups.items()}
+        return [f"{name}: {100 * share[i]:.2f} % are of {d} {k}" for (d, k), share in shares.items() for i, name in enumerate(self.names) if share[i] > self.limits.get(d, 1.0)]
+
+
 def allocate(clusters: list[tuple[str, int, dict[str, str]]], config: SplitConfig) -> tuple[dict[str, str], list[str]]:
-    """Splits of clusters (id, size, keys by dimension) in seeded order, each to the split that lacks most and whose
-    groups stay within their limits; to the most lacking one, with a warning, where none does."""
-    order = list(clusters)
-    random.Random(config.seed).shuffle(order)
-    total = sum(size for _, size, _ in order)
-    held: dict[str, int] = dict.fromkeys(config.ratios, 0)
-    groups: dict[tuple[str, str, str], int] = defaultdict(int)
-    out: dict[str, str] = {}
-    warnings: list[str] = []
-
-    def lack(split: str) -> float:
-        return config.ratios[split] - (held[split] / total if total else 0.0)
-
-    def within(split: str, size: int, keys: dict[str, str]) -> bool:
-        after = held[split] + size
-        return not held[split] or all((groups[split, d, keys[d]] + size) / after <= most for d, most in config.limits.items() if d in keys)
-
-    for name, size, given in order:
-        keys = {d: k for d, k in given.items() if k} | {"cluster": name}
-        ranked = sorted(config.ratios, key=lack, reverse=True)
-        to = next((s for s in ranked if within(s, size, keys)), None)
-        if to is None:
-            to = ranked[0]
-            warnings.append(f"cluster {name} exceeds the limits of every split; placed in {to}")
-        out[name] = to
-        held[to] += size
-        for d, k in keys.items():
-            groups[to, d, k] += size
-    for (split, d, k), n in groups.items():
-        if held[split] and n / held[split] > config.limits.get(d, 1.0):
-            warnings.append(f"{d}={k} holds {n / held[split]:.2%} of {split}")
-    return out, warnings
+    """Split of each cluster (id, size, keys by dimension), in an order drawn by the seed, and what could not be kept."""
+    drawn = list(clusters)
+    random.Random(config.seed).shuffle(drawn)
+    shelves = Shelves(config, sum(size for _, size, _ in clusters))
+    placed: dict[str, str] = {}
+    forced: list[str] = []
+    for name, size, given in drawn:
+        placed[name], fits = shelves.put(size, {d: k for d, k in given.items() if k} | {"cluster": name})
+        if not fits:
+            forced.append(f"no split has room for {name} within the limits; it went to {placed[name]}")
+    return placed, forced + shelves.crowded()
 
 
 def greedy_split(clusters: DataFrame, config: SplitConfig) -> DataFrame:
@@ -101,13 +116,25 @@ def greedy_near(items: list[tuple[str, int]], most: int) -> list[tuple[str, str]
 
 
 def near_clusters(items: DataFrame, most: int = 2) -> DataFrame:
-    """Greedy clusters of (id, hash long); rows without a hash are left out. Exact mode: all hashes in one group."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(greedy_near(list(zip(pdf["id"], pdf["hash"], strict=True)), most), columns=["id", "representative_id"])
-
-    ship(items.sparkSession)
-    return items.where("hash is not null").select("id", "hash", F.lit(1).alias("_all")).groupBy("_all").applyInPandas(run, "id string, representative_id string")
+    """Greedy clusters of (id, hash long): ``id, representative_id``; rows without a hash are left out.
+
+    What the greedy pass over the ids gives, without the pass: an item founds a cluster unless one of those with a
+    smaller id that are near founds one. In each round all items whose smaller near ones are settled settle too, so
+    chains of ids in order cost a round each, others few.
+    """
+    known = items.where("hash is not null").select("id", "hash")
+    by_hash = known.groupBy("hash").agg(F.min("id").alias("id"))
+    links = cut(hamming_pairs(by_hash, "id", "hash", most).select(F.col("a").alias("small"), F.col("b").alias("large")))
+    state = cut(by_hash.select("id", F.lit(None).cast("boolean").alias("founds")))
+    while not state.where("founds is null").isEmpty():
+        below = links.join(state.select(F.col("id").alias("small"), "founds"), "small").groupBy(F.col("large").alias("id"))
+        seen = below.agg(F.bool_or(F.coalesce("founds", F.lit(False))).alias("taken"), F.bool_or(F.col("founds").isNull()).alias("waits"))
+        settled = F.when(F.coalesce("taken", F.lit(False)), False).when(~F.coalesce("waits", F.lit(False)), True)
+        state = cut(state.join(seen, "id", "left").select("id", F.coalesce("founds", settled).alias("founds")))
+    founders = state.where("founds").select(F.col("id").alias("small"))
+    joined = links.join(founders, "small").groupBy(F.col("large").alias("id")).agg(F.min("small").alias("first"))
+    own = state.join(joined, "id", "left").select("id", F.when(F.col("founds"), F.col("id")).otherwise(F.col("first")).alias("representative_id"))
+    return known.join(by_hash.withColumnRenamed("id", "_least"), "hash").join(own.withColumnRenamed("id", "_least"), "_least").select("id", "representative_id")
 
 
 def box_iou(a: np.ndarray, b: np.ndarray) -> float:
@@ -160,3 +187,31 @@ def majority(df: DataFrame, key: list[str], value: str, order: str) -> DataFrame
     """Most frequent value of a key; of equals the one seen first."""
     n = df.groupBy(*key, value).agg(F.count("*").alias("n"), F.min(order).alias("first"))
     return n.groupBy(*key).agg(F.max_by(value, F.struct("n", -F.col("first"))).alias(value))
+
+
+def content_switches(tracked: DataFrame, least: float) -> DataFrame:
+    """``video, track, switched``: whether two observations in a row of a track (frame, mask) differ by more than allowed.
+
+    A mask is a row of 0 and 1 over a common grid of its box; two masks without any 1 are alike.
+    """
+    after = F.lead("mask").over(W.partitionBy("video", "track").orderBy("frame"))
+    pairs = F.zip_with("mask", "_next", lambda a, b: F.struct((F.coalesce(a, F.lit(0)) * F.coalesce(b, F.lit(0))).alias("i"), F.greatest(F.coalesce(a, F.lit(0)), F.coalesce(b, F.lit(0))).alias("u")))
+    total = lambda n: F.aggregate(F.transform("_pairs", lambda p: p[n]), F.lit(0), lambda x, y: x + y)
+    rows = tracked.withColumn("_next", after).withColumn("_pairs", pairs)
+    share = F.when(total("u") == 0, 1.0).otherwise(total("i") / total("u"))
+    return rows.groupBy("video", "track").agg(F.coalesce(F.bool_or(share < least), F.lit(False)).alias("switched"))
+
+
+def video_verdicts(persistent_boxes: DataFrame, videos: DataFrame) -> DataFrame:
+    """A row for each video: steady boxes by role, and whether it has subtitles of its own; videos without boxes too."""
+    count = {role: F.count_if(F.col("role") == role) for role in ("subtitle", "watermark", "scene_text")}
+    seen = persistent_boxes.groupBy("video").agg(*(n.alias(f"{role}_boxes") for role, n in count.items()))
+    out = videos.select("video").distinct().join(seen, "video", "left").na.fill(0, [f"{role}_boxes" for role in count])
+    return out.withColumn("subtitle_present", F.col("subtitle_boxes") > 0)
+
+
+def last_by_id(events: DataFrame, key: str, order: str) -> DataFrame:
+    """One row for each id, the last in order; ``first`` tells where the id came first."""
+    rest = [c for c in events.columns if c != key]
+    found = events.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_last"), F.min(order).alias("first"))
+    return found.select(key, "_last.*", "first")

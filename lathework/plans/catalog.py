@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from lathework.functions import geometry as G
 from lathework.functions import ids, text
 from lathework.functions import timebase as T
+from lathework.operators import contracts, registry, reports, sampling
 from lathework.operators import relational as R
-from lathework.operators import sampling
 from lathework.operators import sequential as S
+from lathework.plans import export
 from lathework.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,13 +118,14 @@ def normalize_rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.groupBy("rule").agg(F.count("*").alias("hits"))
 
 
-ODD_TEXT = "case doc_id % 6 when 0 then 'あ' || text when 1 then '12 ' when 2 then text when 3 then '漢' || text when 4 then '한' else 'ع 1' end"
+#: A sign of another script before the whole text of each document, or none.
+SIGNED_TEXT = "case doc_id % 6 when 0 then 'あ' when 1 then '漢' when 2 then '한' when 3 then 'ع' else '' end || text"
 
 
-@query(f"select doc_id, {script_sql(ODD_TEXT)} as script from documents")
+@query(f"select doc_id, {script_sql('text')} as script, {script_sql(f'({SIGNED_TEXT})')} as signed from documents")
 def detect_script(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").withColumn("t", F.expr(ODD_TEXT))
-    return docs.select("doc_id", text.detect_script(F.col("t")).alias("script"))
+    docs = read(spark, sf_dir, "documents").withColumn("t", F.expr(SIGNED_TEXT))
+    return docs.select("doc_id", text.detect_script(F.col("text")).alias("script"), text.detect_script(F.col("t")).alias("signed"))
 
 
 @query("select lang as value, 'lang' as field, count(*) as n from documents group by lang union all select source, 'source', count(*) from documents group by source union all select cast(length(text) - length(replace(text, chr(10), '')) + 1 as varchar), 'lines', count(*) from documents group by 1")
@@ -173,7 +175,12 @@ def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.hamming_pairs(own, "vec_id", "hash", 10)
 
 
-@query()
+@query(f"""with recursive h as (select lpad(vec_id::varchar, 12, '0') as id, {DHASH} as hash from embeddings), o as (select id, hash, row_number() over (order by id) as i from h),
+g(i, ids, hashes) as (select 0::bigint, []::varchar[], []::bigint[] union all
+select o.i, case when n then ids else list_append(ids, o.id) end, case when n then hashes else list_append(hashes, o.hash) end
+from (select g.*, o.id, o.hash, o.i as k, coalesce(list_bool_or(list_transform(g.hashes, lambda x: bit_count(xor(x, o.hash)) <= 14)), false) as n from g join o on o.i = g.i + 1) q join o on o.i = q.k),
+r as (select unnest(ids) as rid, unnest(hashes) as rh from (select * from g order by i desc limit 1))
+select o.id, min(rid) as representative_id from o join r on rid <= o.id and bit_count(xor(o.hash, rh)) <= 14 group by o.id""")
 def near_clusters_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = read(spark, sf_dir, "embeddings").select(F.lpad(F.col("vec_id").cast("string"), 12, "0").alias("id"), ids.difference_hash(F.col("embedding")).alias("hash"))
     return S.near_clusters(own, 14)
@@ -195,38 +202,191 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.violations(read(spark, sf_dir, "lineitem"), "l_orderkey", {n: F.expr(r) for n, r in RULES.items()})
 
 
+#: A nested sample of each line item, and SQL's words for its parts: sound but for a defect in every row of some remainders.
+SAMPLE_PARTS = {
+    "version": "case when l_linenumber = 7 then 'one' else 'v1.' || l_linenumber end",
+    "video": "sha256(cast(l_suppkey as varchar))",
+    "frame": "l_suppkey",
+    "pts": "l_partkey * 512 - case when l_partkey % 29 = 0 then 40000 else 0 end",
+    "ms": "cast(round_even(l_partkey * 512 * 1000 / 15360.0::double, 0) as bigint)",
+    "width": "case when l_partkey % 11 = 0 then 640 else 1280 end",
+    "x0": "100 + l_partkey % 50",
+    "y0": "440 + l_suppkey % 60",
+    "x1": "case when l_orderkey % 31 = 0 then 90 when l_orderkey % 37 = 0 then 1300 else 600 + l_partkey % 90 end",
+    "y1": "case when l_orderkey % 41 = 0 then 721 else 600 + l_suppkey % 110 end",
+    "start_frame": "l_linenumber",
+    "frames": "l_partkey % 7",
+    "event": "'e' || l_partkey",
+    "duration": "l_orderkey % 500",
+    "opacity": "l_discount * 12",
+    "split": "case when l_linenumber = 5 then 'dev' else 'val' end",
+}
+
+
+def nested_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "lineitem")
+    c, one = F.col, F.lit(1).cast("long")
+    digest = lambda x: F.sha2(x.cast("string"), 256)
+    version = F.when(c("l_linenumber") == 7, "one").otherwise(F.concat(F.lit("v1."), "l_linenumber"))
+    pts = c("l_partkey") * 512 - F.when(c("l_partkey") % 29 == 0, 40000).otherwise(0)
+    ms = T.ticks_to_ms(c("l_partkey") * 512, F.lit(1), F.lit(15360))
+    width = F.when(c("l_partkey") % 11 == 0, 640).otherwise(1280).cast("long")
+    x1 = F.when(c("l_orderkey") % 31 == 0, 90).when(c("l_orderkey") % 37 == 0, 1300).otherwise(600 + c("l_partkey") % 90)
+    y1 = F.when(c("l_orderkey") % 41 == 0, 721).otherwise(600 + c("l_suppkey") % 110)
+    box = F.array(*(x.cast("long") for x in (100 + c("l_partkey") % 50, 440 + c("l_suppkey") % 60, x1, y1)))
+    norm = F.transform(box, lambda x, i: F.round(x / F.when(i % 2 == 0, 1280).otherwise(720), 3))
+    crop = F.array(*(F.lit(x).cast("long") for x in (0, 0, 640, 360)))
+    event = F.concat(F.lit("e"), "l_partkey")
+    own = ids.sample_id(version, digest(c("l_suppkey")), c("l_suppkey"), pts, crop, event, c("l_linenumber").cast("long"))
+    end = c("l_linenumber") + c("l_partkey") % 7
+    style = F.struct(digest(event).alias("font_sha256"), F.lit(0.04).alias("font_size_h_ratio"), F.lit(0.0).alias("letter_spacing"), F.lit(1.0).alias("line_spacing"), F.lit(0.0).alias("stroke_width_h_ratio"), (c("l_discount") * 12).cast("double").alias("opacity"), c("l_linenumber").cast("long").alias("style_seed"))
+    rate = F.struct(F.lit(30).alias("avg_num"), one.alias("avg_den"), F.lit(30).alias("r_num"), one.alias("r_den"), F.lit(False).alias("is_vfr"))
+    return rows.select(
+        "l_orderkey", "l_linenumber", F.when(c("l_orderkey") % 43 == 0, F.repeat(F.lit("0"), F.lit(64))).otherwise(own).alias("sample_id"),
+        F.struct(digest(c("l_suppkey")).alias("video_sha256"), c("l_suppkey").cast("long").alias("native_frame_index"), pts.cast("long").alias("pts"), ms.alias("timestamp_ms"), F.struct(one.alias("num"), F.lit(15360).cast("long").alias("den")).alias("time_base"), rate.alias("frame_rate")).alias("source"),
+        F.struct(width.alias("width"), F.lit(720).cast("long").alias("height")).alias("image"),
+        F.struct(
+            event.alias("event_id"), c("l_linenumber").cast("long").alias("start_native_frame"), end.cast("long").alias("end_native_frame_exclusive"), F.lit(0).alias("start_pts"), (c("l_partkey") % 7).alias("end_pts_exclusive"),
+            F.lit(10).alias("start_time_ms"), (10 + c("l_orderkey") % 500).alias("end_time_ms"), (c("l_orderkey") % 500 + F.when(c("l_orderkey") % 53 == 0, 1).otherwise(0)).alias("duration_ms"), (c("l_partkey") % 7).alias("native_duration_frames"),
+            box.alias("bbox_xyxy"), norm.alias("bbox_normalized"), style.alias("style"),
+        ).alias("subtitle"),
+        F.struct(crop.alias("crop_xywh"), F.array(F.lit(1280), F.lit(720)).alias("target_size")).alias("transform"),
+        F.struct(version.alias("dataset_version"), digest(version).alias("config_sha256"), F.lit(1).alias("seed")).alias("build"),
+        F.when(c("l_linenumber") == 5, "dev").otherwise("val").alias("split"),
+    )
+
+
+_S = "(select l_orderkey, l_linenumber, l_partkey, " + ", ".join(f"{e} as {n}" for n, e in SAMPLE_PARTS.items()) + " from lineitem)"
+_OWN = """sha256('{"crop_xywh":[0,0,640,360],"dataset_version":"' || version || '","event_id":"' || event || '","native_frame_index":' || frame || ',"pts":' || pts || ',"style_seed":' || l_linenumber || ',"video_sha256":"' || video || '"}')"""
+SAMPLE_SQL = {
+    "image has the target size": "width = 1280",
+    "box is inside the image": "x0 >= 0 and y0 >= 0 and x1 <= width and y1 <= 720 and x1 > x0 and y1 > y0",
+    "normalised box is the pixel box": "width = 1280",
+    "centre is in its band": "(y0 + y1) / 2 / 720 between 0.6 and 0.9",
+    "sample_id is that of its fields": "l_orderkey % 43 <> 0",
+    "time is that of the ticks": "l_partkey % 29 <> 0",
+    "frames are in order": "frames > 0",
+    "ticks are in order": "frames > 0",
+    "times are in order": "duration > 0",
+    "duration": "l_orderkey % 53 <> 0",
+    "normalised box is in order": "x1 > x0 and y1 > y0",
+    "pixel box is in order": "x1 > x0 and y1 > y0",
+    "subtitle.duration_ms is above 0": "duration + case when l_orderkey % 53 = 0 then 1 else 0 end > 0",
+    "subtitle.native_duration_frames is above 0": "frames > 0",
+    "opacity is within 0 and 1": "opacity <= 1",
+    "normalised box is within 0 and 1": "x1 <= 1280 and round(y1 / 720, 3) <= 1",
+    "dataset version": "version <> 'one'",
+    "split": "split = 'val'",
+}
+
+
+@query(f"with s as {_S}, i as (select *, case when l_orderkey % 43 = 0 then repeat('0', 64) else {_OWN} end as sample_id from s) " + " union all ".join(f"select sample_id as id, '{n}' as rule from i where not ({r})" for n, r in SAMPLE_SQL.items()))
+def sample_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.sample_violations(nested_samples(spark, sf_dir))
+
+
+EVENT_SQL = {
+    "number of frames": "event_id % 13 <> 0",
+    "times are in order": "d > 0",
+    "fades fit": "event_id % 300 + event_id % 400 <= d",
+    "frames an event": "event_id % 5 between 1 and 3",
+}
+
+
+@query(" union all ".join(f"select event_id as id, '{n}' as rule from (select event_id, event_id % 700 as d from events) where not ({r})" for n, r in EVENT_SQL.items()))
+def event_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    own = read(spark, sf_dir, "events").select(
+        "event_id", e.alias("start_native_frame"), (e + 9).alias("end_native_frame_exclusive"), (F.lit(9) + F.when(e % 13 == 0, 1).otherwise(0)).alias("native_duration_frames"), e.alias("start_pts"), (e + 1).alias("end_pts_exclusive"),
+        (e * 2).alias("start_time_ms"), (e * 2 + e % 700).alias("end_time_ms"), (e % 700).alias("duration_ms"), (e % 300).alias("fade_in_ms"), (e % 400).alias("fade_out_ms"), (e % 5).alias("frames_per_event"),
+    )
+    return contracts.event_violations(own)
+
+
+def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry made of the customers, some of them under the name of another."""
+    k = F.col("c_custkey")
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
+    return read(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit("s"), F.when(k % 9 == 0, k - 1).otherwise(k)).alias("source_id"), F.when(k % 4 == 0, F.lit(None)).when(k % 3 == 0, "unknown").otherwise("authorized").alias("license_status"),
+        (k % 5 != 0).alias("allowed_to_download"), F.when(k % 7 != 0, k % 6 != 0).alias("allowed_for_derivative_work"), (k % 8 != 0).alias("allowed_for_ml_training"),
+        F.when(k % 10 != 0, day(k % 300)).alias("authorization_start_at"), F.when(k % 11 != 0, day(k % 300 + k % 90 - 5)).alias("authorization_expire_at"),
+    )
+
+
+_SOURCES = """(select c_custkey as k, 's' || case when c_custkey % 9 = 0 then c_custkey - 1 else c_custkey end as source_id, case when c_custkey % 4 = 0 then null when c_custkey % 3 = 0 then 'unknown' else 'authorized' end as license,
+c_custkey % 5 <> 0 as download, case when c_custkey % 7 <> 0 then c_custkey % 6 <> 0 end as derive, c_custkey % 8 <> 0 as train,
+case when c_custkey % 10 <> 0 then date '2024-01-01' + cast(c_custkey % 300 as int) end as a, case when c_custkey % 11 <> 0 then date '2024-01-01' + cast(c_custkey % 300 + c_custkey % 90 - 5 as int) end as z from customer)"""
 GATE = {
-    "license": "s % 7 = 0",
-    "download": "s % 5 = 0",
-    "derivative": "s % 11 = 3",
-    "training": "s % 3 = 0",
-    "not yet valid": "s > 17",
-    "expired": "s < 2",
+    "license is not authorised": "coalesce(license, '') <> 'authorized'",
+    "download is not allowed": "not download",
+    "derivative work is not allowed": "not coalesce(derive, false)",
+    "training is not allowed": "not train",
+    "authorisation has not begun": "a > date '2024-06-01'",
+    "authorisation has expired": "z < date '2024-06-01'",
 }
 
 
-@query(f"with d as (select doc_id, cast(substr(source, 4) as int) as s from documents) select doc_id, array_to_string(list_filter([{', '.join(f'case when {r} then {quoted(n)} end' for n, r in GATE.items())}], lambda x: x is not null), '; ') as reasons, not ({' or '.join(GATE.values())}) as authorized from d")
+@query(f"select k as c_custkey, array_to_string(list_filter([{', '.join(f'case when {r} then {quoted(n)} end' for n, r in GATE.items())}], lambda x: x is not null), '; ') as reasons, not ({' or '.join(f'coalesce({r}, false)' for r in GATE.values())}) as authorized from {_SOURCES}")
 def authorization_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").withColumn("s", F.substring("source", 4, 9).cast("int"))
-    why = R.reasons({n: F.expr(r) for n, r in GATE.items()})
-    return docs.select("doc_id", F.array_join(why, "; ").alias("reasons"), (F.size(why) == 0).alias("authorized"))
+    found = registry.authorised(sources(spark, sf_dir), F.lit("2024-06-01").cast("date"))
+    return found.select("c_custkey", F.array_join("reasons", "; ").alias("reasons"), "authorized")
 
 
-@query("select doc_id, text_id from (select doc_id, sha256(text) as text_id, row_number() over (partition by text order by doc_id) as n from documents) where n > 1")
+@query(f"""with s as {_SOURCES} select source_id, 'source_id is repeated' as rule from (select source_id, row_number() over (partition by source_id order by k) as n from s) where n > 1
+union all select source_id, 'training needs an authorised license' from s where train and coalesce(license, '') <> 'authorized' union all select source_id, 'the window ends before it begins' from s where z < a""")
 def registry_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("text_id"))
-    return R.duplicates(docs, "text_id", "doc_id")
+    return registry.registry_violations(sources(spark, sf_dir), "c_custkey")
 
 
-@query("select event_id, try_cast(props->>'$.k' as int) as k, 'no number' as error_type from events where coalesce(try_cast(props->>'$.k' as int), 0) < 50")
+
+@query("select 'parse' as stage, 'event=' || event_id as input_ref, 'ValueError' as error_type, 'k is ' || coalesce(props->>'$.k', 'missing') as message, false as retryable from events where coalesce(try_cast(props->>'$.k' as int), 0) < 50")
 def failures_deadletter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.try_to_number(F.get_json_object("props", "$.k"), F.lit("999999")).cast("int")
-    return read(spark, sf_dir, "events").select("event_id", k.alias("k")).where(F.coalesce("k", F.lit(0)) < 50).withColumn("error_type", F.lit("no number"))
+    """Events without a sufficient number, as failure records of the sink's schema."""
+    from lathework.sources.writers import failures
+
+    k = F.get_json_object("props", "$.k")
+    bad = read(spark, sf_dir, "events").where(F.coalesce(k.try_cast("int"), F.lit(0)) < 50)
+    return failures(bad, "parse", F.concat(F.lit("event="), "event_id"), "ValueError", F.concat(F.lit("k is "), F.coalesce(k, F.lit("missing"))), retryable=False)
+
+
+@query("""select 'ev' || event_id as event_id, event_type as text_raw, lower(event_type) as text_normalized, 'v1' as normalization_version, event_id * 2 as start_time_ms, event_id * 2 + 500 as end_time_ms, 500::bigint as duration_ms, event_id as start_pts,
+event_id + 9 as end_pts_exclusive, user_id as start_native_frame, user_id + 15 as end_native_frame_exclusive, 15::bigint as native_duration_frames, 1::bigint as frames_per_event, 0::bigint as fade_in_ms, event_id % 100 as fade_out_ms,
+'f' || event_id % 3 as fonts, round(value / 1000, 6) as style_font_size_h_ratio, case when event_id % 2 = 0 then 'left' end as style_align, 'xx' as language from events""")
+def flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested events to the flat table of 19 columns."""
+    e, u = F.col("event_id"), F.col("user_id")
+    n = lambda x: F.lit(x).cast("long")
+    style = F.struct(F.array(F.concat(F.lit("f"), e % 3)).alias("font_ids"), F.round(F.col("value") / 1000, 6).alias("font_size_h_ratio"), F.when(e % 2 == 0, "left").alias("align"), F.lit("xx").alias("language"))
+    nested_events = read(spark, sf_dir, "events").select(
+        F.concat(F.lit("ev"), e).alias("event_id"), F.col("event_type").alias("text_raw"), F.lower("event_type").alias("text_normalized"), F.lit("v1").alias("normalization_version"), (e * 2).alias("start_time_ms"), (e * 2 + 500).alias("end_time_ms"),
+        n(500).alias("duration_ms"), e.alias("start_pts"), (e + 9).alias("end_pts_exclusive"), u.alias("start_native_frame"), (u + 15).alias("end_native_frame_exclusive"), n(15).alias("native_duration_frames"), n(1).alias("frames_per_event"),
+        n(0).alias("fade_in_ms"), (e % 100).alias("fade_out_ms"), style.alias("style"),
+    )
+    flat = export.flat_events(nested_events)
+    return flat.withColumn("style_font_ids", F.array_join("style_font_ids", ",")).withColumnRenamed("style_font_ids", "fonts")
 
 
-@query("select event_id, coalesce((props->>'$.k')::int, -1) as k from events")
+@query("""select event_id as sample_index, coalesce((props->>'$.k')::int, -1) as k, case when event_id % 3 = 0 then 0.0::double else event_id / 8.0::double end as center_x, case when event_id % 3 = 0 then 0 else 7 end as transform_crop_x,
+0 as transform_crop_h, case when event_id % 4 = 0 then '' else 'train' end as split, event_id % 5 = 0 as style_background_bar, 'v' || user_id as source_video_sha256, 25::bigint as source_avg_num, '' as missing, 65 as n_columns from events""")
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").select("event_id", F.coalesce(F.from_json("props", "k int")["k"], F.lit(-1)).alias("k"))
+    """Nested samples to the flat table of 65 columns: missing points, splits and maps get their defaults."""
+    e, none = F.col("event_id"), F.lit(None)
+    text_ = lambda names: [none.cast("string").alias(n) for n in names.split()]
+    long = lambda names: [F.lit(25).cast("long").alias(n) for n in names.split()]
+    style = F.struct(*text_("font_ids font_size_h_ratio letter_spacing_px line_spacing_px stroke_width_h_ratio opacity align fill_color stroke_color shadow_color shadow_offset_xy shadow_blur_px language direction rotation_degrees"), F.when(e % 5 == 0, "bar").alias("background_bar"))
+    rate = F.struct(*long("avg_num avg_den r_num r_den"), F.lit(False).alias("is_vfr"))
+    source = F.struct(*text_("platform creator_hash"), F.concat(F.lit("v"), "user_id").alias("video_sha256"), *long("native_frame_index pts timestamp_ms"), F.struct(*long("num den")).alias("time_base"), rate.alias("frame_rate"))
+    plain = "sample_seed duration_ms text text_normalized normalization_version language script font_id font_sha256 fallback_used config_sha256 pairing_ok text_policy_ok effective_opacity polygon line_bboxes_xyxy effect_bbox_xyxy event_frame_index"
+    nested_rows = read(spark, sf_dir, "events").select(
+        e.alias("sample_index"), F.coalesce(F.from_json("props", "k int")["k"], F.lit(-1)).alias("k"), *(F.array().cast("array<int>").alias(n) if n == "effect_bbox_xyxy" else none.cast("string").alias(n) for n in plain.split()),
+        none.cast("map<string,array<string>>").alias("missing_chars"), F.when(e % 3 != 0, F.array(e / 8.0)).alias("center"), F.when(e % 4 != 0, "train").alias("split"), style.alias("style"), source.alias("source"),
+        F.struct(F.when(e % 3 != 0, F.array(F.lit(7))).alias("crop_xywh"), F.array(F.lit(1280), F.lit(720)).alias("target_size")).alias("transform"), F.struct(*text_("dataset_version config_sha256 renderer_version ffmpeg_version"), F.lit(1).alias("seed")).alias("build"),
+    )
+    flat = export.flat_samples(nested_rows)
+    columns = len(flat.columns)
+    kept = flat.select("sample_index", "center_x", "transform_crop_x", "transform_crop_h", "split", "style_background_bar", "source_video_sha256", "source_avg_num", F.array_join(F.map_keys("missing_chars"), ",").alias("missing"), F.lit(columns).alias("n_columns"))
+    return kept.join(nested_rows.select("sample_index", "k"), "sample_index")
 
 
 # --- ledgers and unions -------------------------------------------------------------------------------------------
@@ -244,11 +404,15 @@ def ledger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.upsert(ledger, fresh, ["doc_id"])
 
 
-@query("select 'doc:' || doc_id as id, sha256(text) as sha from documents union all select 'page:' || page_id, sha256(html) from pages")
+def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest manifests: an order is a video, its line items are the frames."""
+    frame = F.struct(F.concat_ws("/", F.lit("frames"), "l_linenumber").alias("uri"), F.sha2(F.col("l_partkey").cast("string"), 256).alias("image_sha256"))
+    return read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(frame).alias("frames")).select(F.sha2(F.col("l_orderkey").cast("string"), 256).alias("video_sha256"), "frames")
+
+
+@query("select 'video:' || v as id, v as sha256, v as group_id from (select distinct sha256(l_orderkey::varchar) as v from lineitem) union all select 'frame:' || sha256(l_orderkey::varchar) || ':frames/' || l_linenumber, sha256(l_partkey::varchar), sha256(l_orderkey::varchar) from lineitem")
 def item_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select(F.concat(F.lit("doc:"), "doc_id").alias("id"), F.sha2("text", 256).alias("sha"))
-    pages = read(spark, sf_dir, "pages").select(F.concat(F.lit("page:"), "page_id").alias("id"), F.sha2("html", 256).alias("sha"))
-    return docs.unionByName(pages)
+    return export.dedup_items(manifests(spark, sf_dir))
 
 
 # --- splits -------------------------------------------------------------------------------------------------------
@@ -312,17 +476,23 @@ def duration_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.bucket_histogram(values, "ms", buckets).select("lo", "hi", "n", F.round("actual", 9).alias("actual"), F.round("target", 9).alias("target"))
 
 
-@query("select lang, count(*) as n, min(n_chars) as min_chars, max(n_chars) as max_chars, round(avg(n_chars), 6) as mean_chars, round(stddev_pop(n_chars), 6) as std_chars, count(distinct source) as sources, sum(case when n_chars < 500 then 1 else 0 end) as short from documents group by lang")
+@query("""select count(*) as n_samples, count(distinct source) as unique_configs, count(*) filter (n_chars > 500) as pairing_ok, min(n_chars)::double as font_size_min, max(n_chars)::double as font_size_max, round(avg(n_chars), 6) as font_size_mean,
+min(doc_id)::double as x_min, max(doc_id)::double as x_max, round(avg(doc_id), 6) as x_mean, 0.0::double as y_min, 0.0::double as y_max, 0.0::double as y_mean from documents""")
 def sample_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("n_chars")
-    return read(spark, sf_dir, "documents").groupBy("lang").agg(
-        F.count("*").alias("n"), F.min(n).alias("min_chars"), F.max(n).alias("max_chars"), F.round(F.avg(n), 6).alias("mean_chars"),
-        F.round(F.stddev_pop(n), 6).alias("std_chars"), F.countDistinct("source").alias("sources"), F.count_if(n < 500).alias("short"),
-    )
+    rows = read(spark, sf_dir, "documents").select(F.col("source").alias("config_sha256"), (F.col("n_chars") > 500).alias("pairing_ok"), F.col("n_chars").alias("font_size"), F.col("doc_id").alias("x"), F.lit(None).cast("double").alias("y"))
+    return reports.samples(rows).select(*(F.round(c, 6).alias(c) if c.endswith("_mean") else F.col(c) for c in reports.samples(rows).columns))
 
 
-@query("select p_size || 'x' || (p_partkey % 64 + 1) as size, (p_size // gcd(p_size, p_partkey % 64 + 1)) || ':' || ((p_partkey % 64 + 1) // gcd(p_size, p_partkey % 64 + 1)) as aspect, count(*) as n from part group by 1, 2")
+@query("""with f as (select p_brand as video, p_partkey as position, p_size as w, p_partkey % 2 + 1 as h, p_retailprice as pts from part), m as (select *, w || 'x' || h as size, (w // gcd(w, h)) || ':' || (h // gcd(w, h)) as aspect, lag(pts) over (partition by video order by position) as prior from f)
+select video, count(*) as n_frames, count(distinct size) as unique_images, max(position) - min(position) as span_ms, bool_and(coalesce(pts >= prior, true)) as monotone from m group by video""")
 def frame_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, h = F.col("p_size").cast("long"), (F.col("p_partkey") % 2 + 1).cast("long")
+    rows = read(spark, sf_dir, "part").select(F.col("p_brand").alias("video"), F.col("p_partkey").alias("position"), w.alias("target_width"), h.alias("target_height"), F.col("p_retailprice").alias("pts"), F.col("p_partkey").alias("timestamp_ms"), F.concat_ws("x", w, h).alias("image_sha256"))
+    return reports.frames(rows, "video").drop("size", "aspect")
+
+
+@query("select p_size || 'x' || (p_partkey % 64 + 1) as size, (p_size // gcd(p_size, p_partkey % 64 + 1)) || ':' || ((p_partkey % 64 + 1) // gcd(p_size, p_partkey % 64 + 1)) as aspect, count(*) as n from part group by 1, 2")
+def frame_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     w, h = F.col("p_size").cast("long"), F.col("p_partkey") % 64 + 1
     return read(spark, sf_dir, "part").groupBy(T.size_label(w, h).alias("size"), T.aspect_label(w, h).alias("aspect")).agg(F.count("*").alias("n"))
 
@@ -363,6 +533,14 @@ def asof_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.asof_forward(left, right, "k", "t", "event_id").select("o_orderkey", "event_id")
 
 
+@query("""with o as (select o_orderkey, o_custkey as k, (o_orderkey * 7919) % 2592000 as t from orders), e as (select user_id as k, event_id, cast(floor(epoch(ts)) as bigint) - 1704067200 as t from events)
+select o_orderkey, (select event_id from e where e.k = o.k order by abs(e.t - o.t), e.t, event_id limit 1) as event_id from o""")
+def asof_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), (F.col("o_orderkey") * 7919 % 2592000).alias("t"))
+    right = read(spark, sf_dir, "events").select(F.col("user_id").alias("k"), "event_id", (F.unix_timestamp(F.col("ts").cast("timestamp")) - 1704067200).alias("t"))
+    return R.asof_nearest(left, right, "k", "t", "event_id").select("o_orderkey", "event_id")
+
+
 @query("select c_custkey, unnest(case when n <= 5 then range(n) else list_distinct(list_transform(range(5), lambda i: cast(round_even(i * (n - 1) / 4.0, 0) as bigint))) end) as pick from (select c_custkey, c_custkey % 23 as n from customer)")
 def even_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", F.explode(T.even_picks(F.col("c_custkey") % 23, 5)).alias("pick"))
@@ -374,11 +552,11 @@ def representative_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", T.representative_time(start, d, 7, F.col("l_linenumber")).alias("t7"), T.representative_time(start, d, 1, F.lit(0)).alias("t1"))
 
 
-@query("with f as (select c_custkey, row_number() over (order by c_custkey) - 1 as pos from customer where c_custkey <= 97) select o_orderkey, c_custkey from orders join f on o_orderkey % (select count(*) from f) = pos")
+@query("with f as (select c_custkey, row_number() over (order by c_custkey) - 1 as pos from customer) select o_orderkey, c_custkey from orders join f on o_orderkey % (select count(*) from f) = pos")
 def round_robin_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = read(spark, sf_dir, "customer").where("c_custkey <= 97")
+    frames = read(spark, sf_dir, "customer")
     n = frames.count()
-    pos = frames.withColumn("pos", F.row_number().over(R.W.orderBy("c_custkey")) - 1).select("c_custkey", "pos")
+    pos = R.numbered(frames.select("c_custkey"), "c_custkey", "pos")
     return R.round_robin(read(spark, sf_dir, "orders").select("o_orderkey"), F.col("o_orderkey"), pos, "pos", n)
 
 
@@ -464,10 +642,46 @@ def majority_role(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.majority(read(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id")
 
 
-@query("select user_id, round(count(distinct event_type) / 5, 9) as persistence, round(stddev_pop(value), 4) as std, round(avg(value), 4) as mean from events group by user_id having stddev_pop(value) <= 60")
+_TRACKS = "(select vec_id, vec_id % 7 as video, vec_id % 40 as track, vec_id // 70 as frame, x0, y0, x1, y1 from {})"
+
+
+def some_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("vec_id")
+    return boxes(spark, sf_dir).select("vec_id", (v % 7).alias("video"), (v % 40).alias("track"), F.floor(v / 70).alias("frame"), "x0", "y0", "x1", "y1")
+
+
+@query(f"""select video, track, round(count(distinct frame) / 8, 9) as persistence, round((stddev_pop((x0 + x1) / 2) + stddev_pop((y0 + y1) / 2)) / 2, 4) as position_std, round(avg(x0), 4) as x0, round(avg(y1), 4) as y1
+from {_TRACKS.format(BOXES)} group by video, track having count(distinct frame) / 8 >= 0.25 and (stddev_pop((x0 + x1) / 2) + stddev_pop((y0 + y1) / 2)) / 2 <= 0.15""")
 def track_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = read(spark, sf_dir, "events").groupBy("user_id").agg((F.countDistinct("event_type") / 5).alias("p"), F.stddev_pop("value").alias("s"), F.avg("value").alias("m"))
-    return own.where("s <= 60").select("user_id", F.round("p", 9).alias("persistence"), F.round("s", 4).alias("std"), F.round("m", 4).alias("mean"))
+    found = S.persistent(some_tracks(spark, sf_dir), 8, 0.25, 0.15)
+    return found.select("video", "track", F.round("persistence", 9).alias("persistence"), *(F.round(c, 4).alias(c) for c in ("position_std", "x0", "y1")))
+
+
+MASK = "list_transform(embedding[1:16], lambda x: case when x > 0 then 1 else 0 end)"
+
+
+@query(f"""with m as (select vec_id % 7 as video, vec_id % 40 as track, vec_id as frame, {MASK} as mask from embeddings), p as (select *, lead(mask) over (partition by video, track order by frame) as n from m),
+q as (select video, track, list_sum(list_transform(range(1, 17), lambda i: mask[i] * n[i])) as common, list_sum(list_transform(range(1, 17), lambda i: greatest(mask[i], n[i]))) as joint, n is not null as paired from p)
+select video, track, bool_or(paired and joint > 0 and common / joint < 0.2) as switched from q group by video, track""")
+def content_switches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("vec_id")
+    mask = F.transform(F.slice("embedding", 1, 16), lambda x: F.when(x > 0, 1).otherwise(0))
+    own = read(spark, sf_dir, "embeddings").select((v % 7).alias("video"), (v % 40).alias("track"), v.alias("frame"), mask.alias("mask"))
+    return S.content_switches(own, 0.2)
+
+
+@query(f"""with b as (select vec_id % 97 as video, {ROLE_SQL} as role from {BOXES} where vec_id % 97 < 90), v as (select distinct vec_id % 97 as video from embeddings)
+select v.video, count(*) filter (role = 'subtitle') as subtitle_boxes, count(*) filter (role = 'watermark') as watermark_boxes, count(*) filter (role = 'scene_text') as scene_text_boxes, count(*) filter (role = 'subtitle') > 0 as subtitle_present from v left join b on v.video = b.video group by v.video""")
+def video_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a video has subtitles of its own; the videos whose boxes are none of steady ones have no verdict against them."""
+    own = boxes(spark, sf_dir).select((F.col("vec_id") % 97).alias("video"), G.geometric_role(sides()).alias("role"))
+    return S.video_verdicts(own.where("video < 90"), own)
+
+
+@query("select user_id as id, event_id, event_type as state, first from (select *, row_number() over (partition by user_id order by event_id desc) as n, min(event_id) over (partition by user_id) as first from events) where n = 1")
+def last_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = read(spark, sf_dir, "events").select(F.col("user_id").alias("id"), "event_id", F.col("event_type").alias("state"))
+    return S.last_by_id(own, "id", "event_id")
 
 
 @query()

@@ -11,8 +11,9 @@ def at(path: str, i: int, default: float | int = 0) -> Column:
     return F.coalesce(F.get(F.col(path), i), F.lit(default))
 
 
-def flat_samples(samples: DataFrame) -> DataFrame:
-    """A row per sample; missing points and boxes are zeros, a missing split is empty, a missing map has no entries."""
+def flat_samples(samples: DataFrame, *, with_event: bool = False) -> DataFrame:
+    """A row of 65 columns per sample, and its event and frame if asked for; missing points and boxes are zeros, a
+    missing split is empty, a missing map has no entries."""
     plain = "sample_index sample_seed duration_ms text text_normalized normalization_version language script font_id font_sha256 fallback_used".split()
     style = "font_ids font_size_h_ratio letter_spacing_px line_spacing_px stroke_width_h_ratio opacity align fill_color stroke_color shadow_color shadow_offset_xy shadow_blur_px language direction rotation_degrees".split()
     effect = [at("effect_bbox_xyxy", i).alias(f"effect_bbox_{c}") for i, c in enumerate(("x0", "y0", "x1", "y1"))]
@@ -28,7 +29,7 @@ def flat_samples(samples: DataFrame) -> DataFrame:
         *plain, F.coalesce("missing_chars", F.create_map().cast("map<string,array<string>>")).alias("missing_chars"), at("center", 0, 0.0).alias("center_x"), at("center", 1, 0.0).alias("center_y"),
         *effect, "line_bboxes_xyxy", "config_sha256", "pairing_ok", "text_policy_ok", F.coalesce("split", F.lit("")).alias("split"), *(F.col(f"style.{c}").alias(f"style_{c}") for c in style),
         F.col("style.background_bar").isNotNull().alias("style_background_bar"), "effective_opacity", "polygon", *source, *rates, *crop, *target, *build,
-        F.col("event.event_id").alias("event_id"), "event_frame_index",
+        *((F.col("event.event_id").alias("event_id"), F.col("event_frame_index")) if with_event else ()),
     )
 
 
@@ -56,3 +57,23 @@ def dedup_items(manifest: DataFrame) -> DataFrame:
     video = manifest.select(F.concat(F.lit("video:"), "video_sha256").alias("id"), F.col("video_sha256").alias("sha256"), F.col("video_sha256").alias("group_id"))
     frame = manifest.select("video_sha256", F.explode("frames").alias("f")).select(F.concat_ws(":", F.lit("frame"), "video_sha256", "f.uri").alias("id"), F.col("f.image_sha256").alias("sha256"), F.col("video_sha256").alias("group_id"))
     return video.unionByName(frame)
+
+
+def sources_and_transforms(manifest: DataFrame, platform: str, creator_hash: str | None = None) -> DataFrame:
+    """For each frame of ingest manifests where it comes from and how it was cut: ``uri, source, transform``."""
+    v = F.col("probe.video")
+    return manifest.select("video_sha256", v.alias("v"), F.explode("frames").alias("f")).select(
+        "f.uri",
+        F.struct(
+            F.lit(platform).alias("platform"), F.col("video_sha256"), F.lit(creator_hash).cast("string").alias("creator_hash"), F.col("f.native_frame_index"), F.col("f.pts"), F.col("f.timestamp_ms"),
+            F.col("v.time_base"), F.struct("v.avg_frame_rate.avg_num", "v.avg_frame_rate.avg_den", "v.r_frame_rate.r_num", "v.r_frame_rate.r_den", "v.is_vfr").alias("frame_rate"),
+        ).alias("source"),
+        F.struct("f.crop_xywh", "f.target_size").alias("transform"),
+    )
+
+
+def strict_zip(*columns: Column) -> Column:
+    """Arrays item by item as structs; arrays of different lengths fail while running."""
+    same = [F.size(c) == F.size(columns[0]) for c in columns[1:]]
+    names = [F.when(F.forall(F.array(*same), lambda ok: ok), c).otherwise(F.raise_error(F.lit("arrays differ in length")).cast("array<string>")) if i == 0 and same else c for i, c in enumerate(columns)]
+    return F.arrays_zip(*names)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,12 @@ def write_table(df: DataFrame, path: str, schema: T.StructType | None = None, *,
     out.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
+def failures(rows: DataFrame, stage: str, ref: Column, error: str | Column, message: Column, *, retryable: bool) -> DataFrame:
+    """Failure records of the rows: stage, input_ref, error_type, message, retryable."""
+    kind = error if isinstance(error, Column) else F.lit(error)
+    return rows.select(F.lit(stage).alias("stage"), ref.alias("input_ref"), kind.alias("error_type"), message.alias("message"), F.lit(retryable).alias("retryable"))
+
+
 def append_failures(df: DataFrame, path: str) -> None:
     """Failures (stage, input_ref, error_type, message, retryable) with the time they are written, as text."""
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
