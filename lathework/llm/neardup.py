@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.llm import vec
-from lathework.llm.components import stars
+from lathework.llm.components import hot_keys, stars
 from lathework.llm.runtime import arrow, prepare, stage_table
 
 #: Bands of ROWS minima each. A pair of similarity 0.85 shares no band with chance (1 - 0.85**5)**32, about 7e-9.
@@ -178,10 +178,11 @@ def _confirm(width: int, share: Fraction):
 
 
 def confirmed(pairs: DataFrame, plain: DataFrame, width: int, share: Fraction) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose texts are similar enough; many partners of one document go to many tasks."""
-    parts = F.ceil(F.col("k") / PARTNERS)
-    sized = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("k")), "a")
-    right = sized.select("a", F.pmod(F.xxhash64("b"), parts).alias("chunk"), F.lit(1).alias("role"), F.col("b").alias("doc_id"))
+    """Those of ``pairs`` (a, b) whose texts are similar enough. A document's partners are verified by one task; those of
+    a hot one by many, their number growing with the root of its partners, as each of them needs its text."""
+    hot = hot_keys(pairs.groupBy("a").agg(F.count("*").alias("k")), pairs.count(), PARTNERS)
+    hot = F.broadcast(hot.select("a", F.ceil(F.col("k") / F.greatest(F.lit(PARTNERS), 3 * F.sqrt("k"))).alias("parts")))
+    right = pairs.join(hot, "a", "left").select("a", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).alias("chunk"), F.lit(1).alias("role"), F.col("b").alias("doc_id"))
     left = right.select("a", "chunk").distinct().select("a", "chunk", F.lit(0).alias("role"), F.col("a").alias("doc_id"))
     rows = left.unionByName(right).join(plain, "doc_id").select("a", "chunk", "role", "doc_id", "text")
     return rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "role").transform(arrow, _confirm(width, share), "a long, b long")
@@ -239,7 +240,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         placed = members.join(centres(), "rep", "left").select("key", "rep", "k", F.coalesce("component", "rep").alias("comp"))
         placed = stage_table(placed, "placed")
         mixed = placed.groupBy("key").agg(F.min("comp").alias("c"), F.max("comp").alias("z")).where("c <> z").select("key")
-        blocked = placed.join(stage_table(mixed, "mixed"), "key").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
+        mixed = stage_table(mixed, "mixed")
+        if mixed.isEmpty():
+            break
+        blocked = placed.join(mixed, "key").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
         cells = blocked.join(finely if every else known, "rep")
         cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)) if every else F.col("block"))
         cells = cells.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp", "n", "sig")

@@ -7,7 +7,6 @@ import mmap
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,21 +14,12 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 from lathework.shipping import ship
+from lathework.tables import shared_dir
 
 #: Bytes of one Arrow batch handed to a Python worker; long texts shrink the rows of a batch, never the text.
 ARROW_BATCH_BYTES = 4 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        found = Path(tempfile.mkdtemp(prefix="lathework-")).as_uri()
-        sc.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 def prepare(spark: SparkSession) -> None:
     """Ship the package and bound Arrow batches by bytes, unless the session already does."""
     ship(spark)
