@@ -16,13 +16,15 @@ from lathework.llm.runtime import arrow, prepare, stage_table
 
 #: A public vocabulary; any other model file of the same format may be given.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Characters of a document from which it is scanned in chunks, and of one chunk.
-GIANT, CHUNK = 1 << 20, 1 << 16
+#: Characters of one chunk: a longer text is scanned chunk by chunk.
+CHUNK = 1 << 14
 #: Bytes of text that a worker encodes at once, of a word that is searched together with others, and words of one search.
 BLOCK_BYTES, SHORT_WORD, TOGETHER = 2 << 20, 48, 1 << 14
 #: Bits of the table that finds a piece by its hash.
 TABLE_BITS = 20
 NONE = -1e30
+#: Where a word begins behind another character, and how many characters behind the reach of a piece it is looked for.
+WORD_BEGIN, WORDS_AHEAD = re.compile("[^▁](?=▁)"), 1 << 10
 #: Fixed values of the format: the sign of a blank, kinds of pieces, and how much an unknown character lies under the least score.
 BLANK, NORMAL, UNKNOWN, CONTROL, USER, BYTE, PENALTY = "▁", 1, 2, 3, 4, 6, 10.0
 
@@ -231,9 +233,20 @@ class Vocabulary:
         """Text of the ids, with the blank that encoding puts in front."""
         return b"".join(map(self.plain.__getitem__, np.frombuffer(ids, "<i4").tolist()))
 
-    def transfer(self, text: str, size: int) -> np.ndarray:
-        """Best scores through a chunk of ``size`` characters, by the characters that the pieces of the chunk before
-        reach into it (rows) and that its own pieces reach into the next (columns)."""
+    def core(self, text: str, size: int) -> tuple[int, int] | None:
+        """Two places in the chunk text[:size] that every path passes, as no piece reaches across: the begins of the
+        first word behind all that may reach in, and of the last word. None if there are no such two."""
+        if not self.apart:
+            return None
+        begins = [m.start() + 1 for m in WORD_BEGIN.finditer(text, self.longest - 2, min(self.longest + WORDS_AHEAD, size + 1))]
+        first = next((p for p in begins if p >= self.longest - 1), None)
+        if first is None:
+            return None
+        last = next((q for q in range(size, first, -1) if q < len(text) and text[q] == BLANK and text[q - 1] != BLANK), None)
+        return (first, last) if last is not None else None
+
+    def paths(self, text: str, size: int) -> np.ndarray:
+        """Best scores from each of the first characters (rows) to ``size`` and each of the characters after it."""
         n = self.longest
         score = np.full((size + n, n), NONE)
         score[np.arange(min(n, len(text) + 1)), np.arange(min(n, len(text) + 1))] = 0.0
@@ -244,6 +257,27 @@ class Vocabulary:
         out[out < NONE / 2] = NONE
         return out
 
+    def transfer(self, text: str, size: int) -> np.ndarray:
+        """Best scores through a chunk of ``size`` characters, by the characters that the pieces of the chunk before
+        reach into it (rows) and that its own pieces reach into the next (columns), up to a constant of the chunk: what
+        lies between two places that all paths pass adds the same to all.
+        """
+        found = self.core(text, size)
+        if found is None:
+            return self.paths(text, size)
+        first, last = found
+        out = self.paths(text[:first], first)[:, :1] + self.paths(text[last:], size - last)[:1]
+        return np.maximum(out, NONE)
+
+    def trace(self, text: str, size: int, start: int, over: int) -> bytes:
+        """Ids of the best pieces of a chunk from ``start`` to ``over`` characters beyond it."""
+        found = self.core(text, size)
+        if found is None:
+            return self.best(text, start, size + over)
+        first, last = found
+        middle = self.encode([text[first + 1 : last].encode()])[0].astype("<i4").tobytes()
+        return self.best(text[:first], start, first) + middle + self.best(text[last:], 0, size + over - last)
+
 
 def marked(text: str) -> str:
     return BLANK + text.replace(" ", BLANK)
@@ -284,16 +318,16 @@ def _small(model):
     return run
 
 
-def _chunks(longest: int):
+def _chunks(longest: int, chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, th, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = marked(text)
-                n = max(1, len(text) // CHUNK)
+                n = max(1, len(text) // chunk)
                 for i in range(n):
-                    end = len(text) if i + 1 == n else (i + 1) * CHUNK
-                    part = text[i * CHUNK : end + longest - 1]
-                    yield pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), pa.array([th]), pa.array([i], pa.int32()), pa.array([end - i * CHUNK], pa.int32()), pa.array([part])], ["doc_id", "th", "chunk", "size", "part"])
+                    end = len(text) if i + 1 == n else (i + 1) * chunk
+                    part = text[i * chunk : end + longest - 1]
+                    yield pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), pa.array([th]), pa.array([i], pa.int32()), pa.array([end - i * chunk], pa.int32()), pa.array([part])], ["doc_id", "th", "chunk", "size", "part"])
 
     return run
 
@@ -334,7 +368,7 @@ def _backtrace(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(model.value)
         for batch in batches:
-            ids = [v.best(part, a, size + z) for size, part, a, z in zip(*(c.to_pylist() for c in batch.columns[3:]), strict=True)]
+            ids = [v.trace(part, size, a, z) for size, part, a, z in zip(*(c.to_pylist() for c in batch.columns[3:]), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "th", "chunk", "ids"])
 
     return run
@@ -345,7 +379,7 @@ class Source:
 
     schema = "doc_id long, th long, chunk int, ids binary"
 
-    def __init__(self, docs: DataFrame, model_file: str, id_col: str, text_col: str):
+    def __init__(self, docs: DataFrame, model_file: str, id_col: str, text_col: str, chunk: int):
         spark = docs.sparkSession
         prepare(spark)
         with open(model_file, "rb") as f:
@@ -353,11 +387,12 @@ class Source:
         self.longest = Vocabulary(data).longest
         self.model = spark.sparkContext.broadcast(data)
         plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-        giant = F.coalesce(F.char_length("text") >= GIANT, F.lit(False))
+        self.chunk = chunk
+        giant = F.coalesce(F.char_length("text") > chunk, F.lit(False))
         self.small, self.giant = plain.where(~giant), plain.where(giant)
 
     def in_chunks(self) -> DataFrame:
-        parts = self.giant.dropDuplicates(["doc_id", "th"]).transform(arrow, _chunks(self.longest), "doc_id long, th long, chunk int, size int, part string")
+        parts = self.giant.dropDuplicates(["doc_id", "th"]).transform(arrow, _chunks(self.longest, self.chunk), "doc_id long, th long, chunk int, size int, part string")
         parts = stage_table(parts.repartition("doc_id", "chunk"), "chunks")
         moved = parts.transform(arrow, _transfers(self.model), "doc_id long, th long, chunk int, m binary")
         ordered = moved.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "chunk")
@@ -367,16 +402,18 @@ class Source:
         return both.transform(arrow, _backtrace(self.model), self.schema)
 
 
-def encode(docs: DataFrame, *, model_file: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, *, model_file: str = MODEL, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """Ids of the best-scoring pieces of whole texts: ``doc_id, th, chunk, ids``, ids as little-endian int32.
 
     A piece counts by its score in the model file, whose bytes go to the workers; a blank stands in front, and what
-    no piece covers becomes byte pieces. A text has one row, chunk 0, unless it is GIANT: its chunks then give transfer
-    matrices, those tell what overhangs each border, and each chunk is traced back on its own, a row for each.
+    no piece covers becomes byte pieces. A text of up to ``chunk`` characters is one; the chunks of a longer one give
+    transfer matrices, those tell what overhangs each border, and each chunk is traced back on its own, a row for each.
 
-    Null and empty texts have no ids. Equal rows give equal rows, of giant texts once; ``th`` is a hash of the text.
+    Null and empty texts have no ids. Equal rows give equal rows, of texts in chunks once; ``th`` is a hash of the text.
+    Of equally good cuttings the one counts whose last piece is longest, and so on to the front; of a word that lies
+    across a border of chunks it may be another one.
     """
-    s = Source(docs, model_file, id_col, text_col)
+    s = Source(docs, model_file, id_col, text_col, chunk)
     return s.small.transform(arrow, _small(s.model), s.schema).unionByName(s.in_chunks())
 
 
@@ -399,6 +436,12 @@ def decode(encoded: DataFrame, *, model_file: str = MODEL) -> DataFrame:
     return joined.select("doc_id", "th", F.try_validate_utf8(F.aggregate("p", F.lit("").cast("binary"), lambda a, x: F.concat(a, x["plain"])).cast("string")).alias("text"))
 
 
+def numbers(ids: list[bytes]) -> pa.Array:
+    """Lists of ids from their bytes."""
+    at = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(ids), "<i4").astype(np.int32)))
+
+
 def _digests(model):
     """Digest of each row, or of the rows of a giant text as one; chunks of a text follow each other."""
 
@@ -409,24 +452,26 @@ def _digests(model):
 
         def batch_of() -> pa.RecordBatch:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()]
-            return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], ["doc_id", "th", "n_tokens", "ids_sha256", "n_bytes", "decoded_sha256"])
+            cols = [pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)]
+            return pa.RecordBatch.from_arrays([*cols, numbers([o[6] for o in out])], ["doc_id", "th", "n_tokens", "ids_sha256", "n_bytes", "decoded_sha256", "ids"])
 
         for batch in batches:
             for doc, th, chunk, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 plain = v.decode(ids)
                 if chunk == 0:
                     if now:
-                        out.append((*now[:3], now[3].hexdigest(), now[4], now[5].hexdigest()))
-                    now, plain = [doc, th, 0, hashlib.sha256(), 0, hashlib.sha256()], plain[1:]
+                        out.append((*now[:3], now[3].hexdigest(), now[4], now[5].hexdigest(), b"".join(now[6])))
+                    now, plain = [doc, th, 0, hashlib.sha256(), 0, hashlib.sha256(), []], plain[1:]
                 now[2] += len(ids) // 4
                 now[3].update(ids)
                 now[4] += len(plain)
                 now[5].update(plain)
+                now[6].append(ids)
             if out:
                 yield batch_of()
                 out = []
         if now:
-            out = [(*now[:3], now[3].hexdigest(), now[4], now[5].hexdigest())]
+            out = [(*now[:3], now[3].hexdigest(), now[4], now[5].hexdigest(), b"".join(now[6]))]
             yield batch_of()
 
     return run
@@ -437,7 +482,7 @@ def _digest_small(model):
         v = Vocabulary(model.value)
         for batch in batches:
             docs = vec.texts(batch.column(2))
-            n, sha, size, same = [], [], [], []
+            n, sha, size, same, found = [], [], [], [], []
             for i, j in vec.blocks(docs, BLOCK_BYTES):
                 flat, at = v.encode(docs[i:j])
                 for text, a, z in zip(docs[i:j], at, at[1:], strict=False):
@@ -447,21 +492,22 @@ def _digest_small(model):
                     sha.append(hashlib.sha256(ids).hexdigest())
                     size.append(len(plain))
                     same.append(plain == text)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(size, pa.int64()), pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids_sha256", "n_bytes", "round_trip"])
+                    found.append(ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(size, pa.int64()), pa.array(same, pa.bool_()), numbers(found)], ["doc_id", "n_tokens", "ids_sha256", "n_bytes", "round_trip", "ids"])
 
     return run
 
 
-def piece_digests(docs: DataFrame, *, model_file: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode whole texts, decode the ids again, and compare: ``doc_id, n_tokens, ids_sha256, n_bytes, round_trip``.
+def piece_digests(docs: DataFrame, *, model_file: str = MODEL, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+    """Encode whole texts, decode the ids again, and compare: ``doc_id, n_tokens, ids_sha256, n_bytes, round_trip, ids``.
 
     ``round_trip`` says whether the decoded text is the input; it is not where a text holds the blank's own sign. Null
-    texts count as empty. Repeated rows are each returned; other columns are ignored.
+    texts count as empty, very long ones are scanned in chunks. Repeated rows are each returned; other columns are ignored.
     """
-    s = Source(docs, model_file, id_col, text_col)
-    small = s.small.transform(arrow, _digest_small(s.model), "doc_id long, n_tokens long, ids_sha256 string, n_bytes long, round_trip boolean")
+    s = Source(docs, model_file, id_col, text_col, chunk)
+    small = s.small.transform(arrow, _digest_small(s.model), "doc_id long, n_tokens long, ids_sha256 string, n_bytes long, round_trip boolean, ids array<int>")
     ordered = s.in_chunks().repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "chunk")
-    found = ordered.transform(arrow, _digests(s.model), "d long, t long, n_tokens long, ids_sha256 string, n_bytes long, decoded string")
+    found = ordered.transform(arrow, _digests(s.model), "d long, t long, n_tokens long, ids_sha256 string, n_bytes long, decoded string, ids array<int>")
     rows = s.giant.select("doc_id", "th", F.sha2("text", 256).alias("own"))
     giant = rows.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
-    return small.unionByName(giant.select("doc_id", "n_tokens", "ids_sha256", "n_bytes", (F.col("own") == F.col("decoded")).alias("round_trip")))
+    return small.unionByName(giant.select("doc_id", "n_tokens", "ids_sha256", "n_bytes", (F.col("own") == F.col("decoded")).alias("round_trip"), "ids"))

@@ -67,6 +67,29 @@ def test_scan_is_the_whole_search(vocabulary):
         assert worth(vocabulary, np.frombuffer(ids, "<i4").tolist()) == worth(vocabulary, np.frombuffer(whole, "<i4").tolist())
 
 
+def test_scan_of_words_is_the_whole_search(vocabulary):
+    """Chunks of whole words are traced by their words; texts without words or with a giant one by every character."""
+    rng, differ = random.Random(19), 0
+    texts = [" ".join("".join(rng.choice("etaoinsh\né") for _ in range(rng.choice([1, 4, 9, 60]))) for _ in range(120)) for _ in range(30)]
+    texts += ["x" * 900, " " * 900, ("ab" * 150 + " ") * 4, "a ▁ b" * 200]
+    for t in texts:
+        text, size = marked(t), rng.choice([90, 150, 260])
+        n = len(text) // size
+        cut = [(i * size, len(text) if i + 1 == n else (i + 1) * size) for i in range(n)]
+        parts = [(text[a : z + vocabulary.longest - 1], z - a) for a, z in cut]
+        full, short = [vocabulary.paths(*p) for p in parts], [vocabulary.transfer(*p) for p in parts]
+        for f, k in zip(full, short, strict=True):  # the same up to a constant
+            both = (f > pieces.NONE / 2) & (k > pieces.NONE / 2)
+            assert ((f > pieces.NONE / 2) == (k > pieces.NONE / 2)).all() and np.ptp((f - k)[both]) < 1e-6
+        s = states(short)
+        ids = b"".join(vocabulary.trace(p, z, s[i], s[i + 1]) for i, (p, z) in enumerate(parts))
+        whole = vocabulary.best(text, 0, len(text))
+        assert vocabulary.decode(ids) == vocabulary.decode(whole)
+        assert worth(vocabulary, np.frombuffer(ids, "<i4").tolist()) == worth(vocabulary, np.frombuffer(whole, "<i4").tolist())
+        differ += ids != whole
+    assert differ <= 2  # a word across a border with two equally good cuttings
+
+
 def test_many_words_at_once(vocabulary):
     rng = random.Random(12)
     texts = ["".join(rng.choice("the cat\n  é日𝄞\x00▁zq") for _ in range(rng.randint(0, 90))) + "w" * (k % 60) for k in range(200)]
@@ -76,20 +99,20 @@ def test_many_words_at_once(vocabulary):
         assert own.tobytes() == (vocabulary.best(marked(t), 0, len(t) + 1) if t else b"")
 
 
-def test_round_trip(spark, monkeypatch, vocabulary):
-    monkeypatch.setattr(pieces, "GIANT", 300)
+def test_round_trip(spark, vocabulary):
     rng = random.Random(10)
-    rows = [(k, "".join(rng.choice("the ox  runs\n\té日𝄞<0x0A>") for _ in range(rng.choice([5, 80, 299, 300, 40000])))) for k in range(14)]
+    rows = [(k, "".join(rng.choice("the ox  runs\n\té日𝄞<0x0A>") for _ in range(rng.choice([5, 80, 299, 300, 4000])))) for k in range(14)]
     rows += [(20, None), (21, ""), (22, " "), (3, rows[3][1]), (23, "a▁b"), (None, "z" * 500), (None, "z" * 500)]
     d = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, chunk int")
-    got = piece_digests(d).collect()
+    got = piece_digests(d, chunk=300).collect()
     assert len(got) == len(rows)
     assert all(r.round_trip == (r.doc_id != 23) for r in got)
     texts = dict(rows)
-    back = {r.doc_id: r.text for r in decode(encode(d.where("doc_id is not null"))).collect()}
+    back = {r.doc_id: r.text for r in decode(encode(d.where("doc_id is not null"), chunk=300)).collect()}
     assert all(back[k] == (t or "").replace("▁", " ") for k, t in texts.items() if k is not None)
-    want = {k: vocabulary.best(marked(t), 0, len(t) + 1) if t else b"" for k, t in rows if t is None or len(t) < 300}
+    want = {k: vocabulary.best(marked(t), 0, len(t) + 1) if t else b"" for k, t in rows}
     for r in got:
-        if r.doc_id in want:
-            assert r.ids_sha256 == hashlib.sha256(want[r.doc_id]).hexdigest()
+        own = np.frombuffer(want[r.doc_id], "<i4").tolist()
+        assert r.ids_sha256 == hashlib.sha256(np.array(r.ids, "<i4").tobytes()).hexdigest() and r.n_tokens == len(r.ids)
+        assert r.ids == own or len(texts[r.doc_id]) > 300 and worth(vocabulary, r.ids) == worth(vocabulary, own)
     assert piece_digests(d.limit(0)).count() == 0
