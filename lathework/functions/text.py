@@ -75,8 +75,9 @@ def punctuation_spacing(c: Column) -> Column:
 
 @rule("strip_lines")
 def strip_lines(c: Column) -> Column:
-    lines = F.transform(F.split(c, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)))
-    return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
+    """Lines without blanks at their ends, and none that is blank: a run of blanks with a line feed in it is one."""
+    blank = f"[{BLANKS}]"
+    return F.btrim(F.regexp_replace(c, f"(?<!{blank})[{BLANKS}&&[^\n]]*+\n{blank}*+", "\n"), F.lit(BLANKS))
 
 
 #: Rules of each version by language, in order; ``*`` serves languages without a list of their own.

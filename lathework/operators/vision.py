@@ -83,19 +83,48 @@ def check_pairing(clean: np.ndarray, rendered: np.ndarray, mask: np.ndarray) ->
     return Pairing(outside == 0, True, outside, alpha_box(diff) if diff.any() else None)
 
 
-def shrink(image: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Mean of the pixels under each cell."""
-    rows, columns = (np.linspace(0, n, k + 1).astype(int) for n, k in zip(image.shape[:2], (height, width), strict=True))
-    g = grey(image).astype(float)
-    return np.array([[g[a:max(b, a + 1), c:max(d, c + 1)].mean() for c, d in zip(columns, columns[1:], strict=False)] for a, b in zip(rows, rows[1:], strict=False)])
+def kernel(x: np.ndarray) -> np.ndarray:
+    """Lanczos window of three lobes."""
+    return np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0.0)
+
+
+def weights(size: int, wanted: int) -> np.ndarray:
+    """Shares of the pixels of a row of ``size`` in each of ``wanted`` pixels; the window widens when it shrinks."""
+    step = size / wanted
+    wide = max(step, 1.0)
+    out = kernel((np.arange(size)[None] + 0.5 - (np.arange(wanted)[:, None] + 0.5) * step) / wide)
+    return out / out.sum(1, keepdims=True)
+
+
+def resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """The image in another size, by Lanczos windows along columns, then rows."""
+    if image.shape[:2] == (height, width):
+        return image
+    across = np.einsum("xw,hw...->hx...", weights(image.shape[1], width), image.astype(float))
+    across = np.clip(np.rint(across), 0, 255)
+    return np.clip(np.rint(np.einsum("yh,hx...->yx...", weights(image.shape[0], height), across)), 0, 255).astype(np.uint8)
 
 
 def difference_hash(image: np.ndarray) -> str:
-    small = shrink(image, 8, 9)
+    """64 bits: whether each of 8 x 8 cells is darker than its right neighbour, in the grey image at 9 x 8."""
+    small = resize(grey(image), 8, 9).astype(int)
     bits = (small[:, 1:] > small[:, :-1]).ravel()
     return f"{int(''.join('1' if b else '0' for b in bits), 2):016x}"
 
 
+def share_of(box, shape) -> tuple[float, float, float, float]:
+    """A pixel box as shares of the image's width and height."""
+    h, w = shape[:2]
+    return box[0] / w, box[1] / h, box[2] / w, box[3] / h
+
+
+def foreground(image: np.ndarray, box, threshold: int = 40) -> np.ndarray:
+    """Edges within a box, cut to the image; a single false pixel if nothing of it lies there."""
+    x0, y0, x1, y1 = (min(max(int(v), 0), image.shape[1 - i % 2]) for i, v in enumerate(box))
+    part = image[y0:y1, x0:x1]
+    return edges(part) >= threshold if part.size else np.zeros((1, 1), bool)
+
+
 def mask_iou(a: np.ndarray, b: np.ndarray) -> float:
     h, w = max(a.shape[0], b.shape[0]), max(a.shape[1], b.shape[1])
     a, b = (np.pad(m > 0, ((0, h - m.shape[0]), (0, w - m.shape[1]))) for m in (a, b))

@@ -104,8 +104,8 @@ def dedup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select doc_id, sha256({nested(text.rules_of(), MESSY)}) as sha, length({nested(text.rules_of(), MESSY)}) as n from documents")
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = text.normalize(messy())
-    return read(spark, sf_dir, "documents").select("doc_id", F.sha2(c, 256).alias("sha"), F.char_length(c).cast("long").alias("n"))
+    normal = read(spark, sf_dir, "documents").select("doc_id", text.normalize(messy()).alias("c"))
+    return normal.select("doc_id", F.sha2("c", 256).alias("sha"), F.char_length("c").cast("long").alias("n"))
 
 
 @query(
