@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from pathlib import Path
+from urllib.error import HTTPError
+from urllib.request import Request, urlopen
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,6 +36,40 @@ def attempt(work: Callable[[], object], waits: list[float], sleep: Callable[[flo
     return None, error
 
 
+def resume(open_from: Callable[[int], tuple[bool, Iterator[bytes]]], to: Path) -> Path:
+    """Downloads to ``to`` by way of a part file, which a later try goes on with.
+
+    ``open_from`` gets the number of bytes that are there and tells whether the source goes on from them, with the
+    bytes; if it can't, all are fetched again. The file appears under its name only when it is whole.
+    """
+    part = to.with_name(f"{to.name}.part")
+    part.parent.mkdir(parents=True, exist_ok=True)
+    have = part.stat().st_size if part.exists() else 0
+    goes_on, data = open_from(have)
+    with part.open("ab" if goes_on and have else "wb") as f:
+        for piece in data:
+            f.write(piece)
+    return part.replace(to)
+
+
+def over_http(url: str, timeout: float = 30.0, size: int = 1 << 16) -> Callable[[int], tuple[bool, Iterator[bytes]]]:
+    """Bytes of a url for ``resume``: a range request where something is there, the whole if the server has no such range."""
+
+    def ask(headers: dict[str, str]):
+        return urlopen(Request(url, headers=headers), timeout=timeout)
+
+    def open_from(have: int) -> tuple[bool, Iterator[bytes]]:
+        try:
+            answer = ask({"Range": f"bytes={have}-"} if have else {})
+        except HTTPError as e:
+            if e.code != 416:
+                raise
+            answer = ask({})
+        return answer.status == 206, iter(lambda: answer.read(size), b"")
+
+    return open_from
+
+
 def pending(items: DataFrame, ledger: DataFrame, paused: DataFrame | None = None, most: int | None = None) -> DataFrame:
     """Items to fetch: not in the ledger, not of a paused source; the first ``most`` by key, if given."""
     out = not_in(items, ledger, KEYS)
@@ -59,7 +96,12 @@ def fetch(items: DataFrame, get: Callable[[str], bytes], waits: list[float]) ->
     return by_source.mapInPandas(run, "source_id string, item_id string, url string, sha256 string, size_bytes long, error string")
 
 
-def remove(ledger: DataFrame, requests: DataFrame) -> DataFrame:
+def remove(ledger: DataFrame, requests: DataFrame, folder: Path | None = None) -> DataFrame:
+    """The ledger without the requested items, whose files go too if their folder is given."""
+    if folder is not None:
+        gone = ledger.join(requests.select(KEYS), KEYS, "left_semi").select("path").collect()  # a request names its items
+        for r in gone:
+            (folder / r.path).unlink(missing_ok=True)
     return not_in(ledger, requests, KEYS)
 
 
