@@ -184,7 +184,12 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, least_items: int = 2, **names) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of each document, by ``find_passages``."""
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of each document, by ``find_passages``.
+
+    Null texts have no words; very long ones are searched whole, as a shard of their own. Overlapping windows count each
+    word once, items of the same text count each by its id, and repeated rows are each returned. An empty benchmark hits
+    nothing; other columns are ignored.
+    """
     found = find_passages(docs, benchmark, **names)
     n = F.size("items").cast("long")
     return found.select(
@@ -213,6 +218,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
-    """``doc_id, text, n_items, carried``: texts without their runs of hit words, from the first's start to the last's end."""
+    """``doc_id, text, n_items, carried``: texts without their runs of hit words, from the first's start to the last's end.
+
+    Null texts stay null; repeated rows are each returned.
+    """
     found = find_passages(docs, benchmark, **names).select("doc_id", "text", "hits", F.size("items").alias("n_items"), "carried")
     return found.transform(arrow, _cut, found.drop("hits").schema)

@@ -135,9 +135,11 @@ def identify_language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     Training reads a sample of whole documents, ``train_bytes`` a language by expectation, chosen by a hash of the id;
     the counted context trees, bounded by that, go to the workers. Returns ``doc_id, held_out, lang_pred, score``;
-    the score is the predicted language's share of the likelihood 2**-bits.
+    the score is the predicted language's share of the likelihood 2**-bits. Contexts have ORDER bytes at most; one that
+    was met less than LEAST_SEEN times in a language gives way to a shorter one there, which bounds the trees and keeps
+    what few texts happen to share from telling.
 
-    Texts that are null or have no letter get ``und`` and 0, as do all texts when nothing can be learnt. Equal
+    Very long texts are read whole. Texts that are null or have no letter get ``und`` and 0, as do all texts when nothing can be learnt. Equal
     likelihoods go to the language that sorts first. Repeated rows are each predicted; other columns are ignored.
     """
     prepare(docs.sparkSession)

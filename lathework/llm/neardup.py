@@ -198,7 +198,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     capped, and no pair inside a component is looked at. Returns ``doc_id, n_shingles,
     component_id, kept``, a row for each row of ``docs``; the kept document of a group has its smallest id.
 
-    Null texts and texts without words have no shingles, are kept and linked with nothing. Rows of one id count as
+    Null texts and texts without words have no shingles, are kept and linked with nothing; very long texts are compared
+    by their whole sets. Equally likely partners count by the smaller id. Rows of one id count as
     one document that links by any of its texts; a null id is linked with nothing. Other columns are ignored.
     """
     prepare(docs.sparkSession)

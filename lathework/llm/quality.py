@@ -145,7 +145,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     features, reach the driver. Texts are read once: their statistics are staged in the shared folder. Returns
     ``doc_id, held_out, score, predicted, th``; the last is a hash of the text.
 
-    Null and empty texts have the statistics of no bytes and are scored alike. Labels other than 0 and 1 and labels
+    Null and empty texts have the statistics of no bytes and are scored alike; very long texts are read whole. Equal
+    densities give 0.5. Labels other than 0 and 1 and labels
     without a document are ignored; without labels every score is 0.5. Repeated rows are each scored; other columns
     are ignored.
     """

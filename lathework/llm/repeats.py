@@ -297,7 +297,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     non-ASCII characters. Runs of such windows are dealt by anchors in the same way; where the strings around an anchor
     differ, the windows of one of each kind are counted by their hashes.
 
-    Null texts are empty; texts shorter than ``width`` stay whole. Repeated rows repeat each other and so lose all
+    Null texts are empty; texts shorter than ``width`` stay whole, very long ones are read whole. Of several equal
+    strings none is kept, so there are no ties to settle. Repeated rows repeat each other and so lose all
     their windows. A removed string may begin or end inside a character. Other columns are ignored.
     """
     prepare(docs.sparkSession)

@@ -124,11 +124,14 @@ def plan_cuts(groups: DataFrame, shards: int) -> list[str]:
 def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Put documents into ``shards`` shards of nearly equal bytes (law ``bytes``), copies of a text together.
 
-    Groups are equal texts, ordered by the MD5 of the text; a group above a fair share comes first and has a shard of
-    its own, the rest is cut into contiguous runs by the smallest capacity that suffices. Returns ``doc_id, size,
+    Groups are equal texts, in this order: those above a fair share of what is left, largest first, then the others by
+    the MD5 of their text. The contiguous cuts of that order are minimax shard by shard: a group above a fair share
+    bounds the capacity from below, so it fills a shard alone, and the next capacity is the smallest that suffices for
+    the rest in the shards that are left. With one capacity for all, such a group's size would be the capacity of every
+    shard, and the last shards would stay empty. Returns ``doc_id, size,
     text_crc32, law, shard, slot, grown_shard`` and ``group_key``.
 
-    Null text: no bytes, size 1, checksum 0, a group of its own; empty text: size 1 too. Repeated rows each get a slot.
+    Very long texts are sized whole; groups of equal size go by their key. Null text: no bytes, size 1, checksum 0, a group of its own; empty text: size 1 too. Repeated rows each get a slot.
     An empty table gives no rows; with fewer groups than shards some shards stay empty. Other columns are ignored.
     """
     text = F.col(text_col)

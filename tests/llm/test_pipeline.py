@@ -61,3 +61,16 @@ def test_repeats_of_51_words_are_cut(spark):
     assert left[1] == rows[0][1].replace(passage[:-1], "") and left[2] == rows[1][1].replace(passage[:-1], "")
     assert brief not in left[3] and brief not in left[4]
     assert left[5] == rows[4][1] and left[6] == rows[5][1]
+
+
+def test_empty_tables_and_nulls(spark, tmp_path):
+    """No documents give none; nulls in every column pass all stages, a document without id or text stays."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, rows in (("none", []), ("odd", [(None, None, None, None, None), (1, None, "en", None, 5), (2, "", None, "s", 0), (None, "a few words", "en", "s", 11)])):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for t in ("labels", "benchmark"):
+            spark.read.parquet(f"{tmp_path}/{t}.parquet").write.parquet(f"{tmp_path}/{name}/{t}.parquet")
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert sorted(((r.doc_id, r.n_tokens > 0) for r in got), key=str) == sorted(((k, bool(t)) for k, t, *_ in rows), key=str)
