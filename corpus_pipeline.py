@@ -1,4 +1,9 @@
-"""From raw documents to token ids: five stages, each written as Parquet and read again by the next."""
+"""From raw documents to token ids: five stages, each written as Parquet and read again by the next.
+
+All stages read whole texts of any length. A null text counts as empty and stays null unless a stage says otherwise; a
+null id is a document like any other, but is linked with none. Empty tables give empty ones, and columns other than
+those of documents are ignored.
+"""
 
 from __future__ import annotations
 
@@ -25,14 +30,14 @@ def _documents(df: DataFrame, text: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go: those with a score of 0.3 or more stay, null and empty texts by theirs."""
     scores = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     out = scores.where("predicted = 0").select(F.col("doc_id").alias("d"), F.col("th").alias("t")).distinct()
     return docs.join(out, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("t")), "left_anti")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
+    """One document of each group of near duplicates stays, the one with the smallest id; without words or id all stay."""
     out = near_duplicates(docs).where("not kept").select("doc_id").distinct()
     return docs.join(out, "doc_id", "left_anti").select(docs.columns)
 
@@ -43,13 +48,13 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with windows of several items go; from the others the hit words are cut out."""
+    """Documents with windows of several items go; from the others the hit words are cut out, and null texts stay null."""
     found = without_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=OTHERS)
     return _documents(found.where(F.col("n_items") <= MOST_ITEMS), "text")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, little-endian int32; a giant text has a row for each chunk."""
+    """Token ids, little-endian int32; a text of several chunks has a row for each, a null or empty one a row without ids."""
     return encode(docs).select("doc_id", "chunk", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
 
