@@ -17,9 +17,9 @@ U64, U32 = np.uint64, np.uint32
 #: Stand for the begin and the end of a text; no word's hash is as small but by a chance of 2**-63.
 BEGIN, END = U64(1), U64(2)
 #: Tokens that a task counts at once; bytes of text behind one bucket of the model, and the least number of buckets.
-CHUNK_TOKENS, BUCKET_BYTES, LEAST_BUCKETS = 2 << 20, 16 << 20, 16
+CHUNK_TOKENS, BUCKET_BYTES, LEAST_BUCKETS = 1 << 20, 8 << 20, 16
 #: Bytes of text that a task scores at once.
-SCORE_BYTES = 2 << 20
+SCORE_BYTES = 4 << 20
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -27,7 +27,7 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def pair(h: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Hash of two words; of a pair's hash and a word, that of the trigram."""
+    """Hash of two words' numbers; of a pair's hash and a number, that of the trigram."""
     return vec.mix(h * U64(vec.BASE_A) + w)
 
 
@@ -57,17 +57,16 @@ def runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Grams:
-    """Distinct n-grams by numbers into their sorted words, in order, with columns of counts."""
+    """Distinct n-grams by their words' numbers, in order, with columns of counts."""
 
-    word: np.ndarray
     places: list[np.ndarray]
     counts: list[np.ndarray]
 
     @staticmethod
-    def of(word: np.ndarray, places: list[np.ndarray], counts: list[np.ndarray]) -> Grams:
+    def of(places: list[np.ndarray], counts: list[np.ndarray]) -> Grams:
         """Equal n-grams as one, their counts added."""
-        size, key = len(word) + 1, places[0].astype(U64)
-        limit = size
+        size = max((int(p.max()) for p in places if len(p)), default=0) + 1
+        key, limit = places[0], size
         for place in places[1:]:
             if limit * size >= 1 << 63:  # the words so far by their rank, so that one more fits behind it
                 order, at = runs(key)
@@ -77,55 +76,37 @@ class Grams:
             key, limit = key * U64(size) + place, limit * size
         order, at = runs(key)
         first = order[at]
-        return Grams(word, [p[first] for p in places], [np.add.reduceat(c[order], at) if len(at) else c for c in counts])
+        return Grams([p[first] for p in places], [np.add.reduceat(c[order], at, dtype=U64 if c.dtype == U64 else U32) if len(at) else c for c in counts])
 
     @staticmethod
     def merged(parts: list[Grams]) -> Grams:
-        """All parts as one, over all their words."""
-        word = np.unique(np.concatenate([g.word for g in parts]))
-        to = [np.searchsorted(word, g.word).astype(U32) for g in parts]
-        places = [np.concatenate([t[g.places[k]] for t, g in zip(to, parts, strict=True)]) for k in range(len(parts[0].places))]
-        return Grams.of(word, places, [np.concatenate([g.counts[k] for g in parts]) for k in range(len(parts[0].counts))])
+        """All parts as one; the parts are given back."""
+        every = [[np.concatenate(x) for x in zip(*part, strict=True)] for part in ([g.places for g in parts], [g.counts for g in parts])]
+        parts.clear()
+        return Grams.of(*every)
 
     def hashes(self) -> list[np.ndarray]:
-        """Hashes of the n-grams' first words, first two words, and so on."""
-        out = [self.word[self.places[0]]]
+        """The n-grams' first words, and hashes of the first two words, and so on."""
+        out = [self.places[0]]
         for p in self.places[1:]:
-            out.append(pair(out[-1], self.word[p]))
+            out.append(pair(out[-1], p))
         return out
 
     def part(self, rows: np.ndarray) -> Grams:
-        """Some of the n-grams, in the same order, with their own words only."""
-        own = [p[rows] for p in self.places]
-        if 8 * len(rows) > len(self.word):
-            mark = np.zeros(len(self.word), bool)
-            for p in own:
-                mark[p] = True
-            used, to = np.flatnonzero(mark), np.cumsum(mark, dtype=U32) - U32(1)
-            own = [to[p] for p in own]
-        else:
-            used = np.unique(np.concatenate(own))
-            own = [np.searchsorted(used, p).astype(U32) for p in own]
-        return Grams(self.word[used], own, [c[rows] for c in self.counts])
+        return Grams([p[rows] for p in self.places], [c[rows] for c in self.counts])
 
     def pack(self) -> bytes:
-        """Numbers by planes of their bytes, compressed: most planes are zeros."""
-        columns = [np.diff(self.places[0], prepend=U32(0)), *self.places[1:], *self.counts]
-        planes = [np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in columns]
-        data = self.word.tobytes() + b"".join(planes)
-        head = np.array([len(self.word), len(self.places[0]), len(self.places), len(data)], np.int64).tobytes()
-        return head + pa.Codec("zstd", 1).compress(data, asbytes=True)
+        """Numbers by planes of their bytes, compressed: most planes are zeros, and frequent words have small numbers."""
+        columns = [x.astype(U64, copy=False) for x in (np.diff(self.places[0], prepend=U64(0)), *self.places[1:], *self.counts)]
+        data = b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes() for x in columns)
+        return np.array([len(self.places[0]), len(self.places), len(columns)], np.int64).tobytes() + pa.Codec("zstd", 1).compress(data, asbytes=True)
 
     @staticmethod
     def unpack(data: bytes) -> Grams:
-        words, rows, k, size = np.frombuffer(data, np.int64, 4).tolist()
-        plain = pa.Codec("zstd").decompress(data[32:], size, asbytes=True)
-        columns, at = [], 8 * words
-        while at < size:
-            kind = np.dtype(U32 if len(columns) < k else U64)
-            columns.append(np.ascontiguousarray(np.frombuffer(plain, np.uint8, rows * kind.itemsize, at).reshape(kind.itemsize, rows).T).view(kind).ravel())
-            at += rows * kind.itemsize
-        return Grams(np.frombuffer(plain, U64, words), [np.cumsum(columns[0], dtype=U32), *columns[1:k]], columns[k:])
+        rows, k, n = np.frombuffer(data, np.int64, 3).tolist()
+        plain = np.frombuffer(pa.Codec("zstd").decompress(data[24:], 8 * rows * n, asbytes=True), np.uint8).reshape(n, 8, rows)
+        columns = [np.ascontiguousarray(x.T).view(U64).ravel() for x in plain]
+        return Grams([np.cumsum(columns[0], dtype=U64), *columns[1:k]], columns[k:])
 
 
 def blob(arrays: list[np.ndarray], types: list) -> bytes:
@@ -141,23 +122,24 @@ def unblob(data, types: list) -> list[np.ndarray]:
     return out
 
 
-#: Counts above this are kept in full in a second file; with MANY in the first one they are looked up there.
+#: Counts from this on are kept in full in a second file.
 MANY = 255
-#: What files hold of trigrams: 56 bits of the hash with the count behind them; in full, hash and count.
-TRIGRAM, TRIGRAM_MORE = [U64], [U64, U64]
-#: Of pairs: 56 bits of the hash with the number of words that come before the pair, its count as a history, and the
-#: words that follow it once, twice and more often; in full, hash and the five numbers.
-PAIR, PAIR_MORE = [U64, U32, *[np.uint8] * 3], [U64] * 6
-#: Of words: hash, count as a token, the sum over its pairs as a history, its distinct predecessors, and the words that
-#: follow it in pairs of one predecessor, two and more.
-WORD = [U64] * 7
-LOW = U64(MANY)
+#: What files hold of trigrams: the first 40 bits of the hash, in two columns, the second with the count behind it; in
+#: full, hash and count. A hash of another trigram is taken for it by a chance of 2**-40 times a bucket's rows.
+TRIGRAM, TRIGRAM_MORE = [U32, np.uint16], [U64] * 2
+#: Of pairs: as above with the number of words that come before the pair, its count as a history, and the words that
+#: follow it once, twice and more often; in full, hash and the five numbers.
+PAIR, PAIR_MORE = [U32, np.uint16, *[np.uint8] * 4], [U64] * 6
+#: Of words: hash and place by frequency among the bucket's words; by that place how often the word stands, and its sum
+#: over pairs as a history, distinct predecessors, and words that follow in pairs of one predecessor, two, more.
+WORD, TIMES, FOLLOW = [U64, U32], [np.uint8], [np.uint8] * 5
+TIMES_MORE, FOLLOW_MORE = [U32, U64], [U32, *[U64] * 5]
+#: The number of words that are not met.
+UNMET = U64(1 << 62)
 SCHEMA = "bucket int, data binary"
-STATS = ["n1", "n2", "n3", "n4", "m1", "m2", "m3", "m4", "kinds", "k1", "k2", "k3", "k4", "vocabulary", "tokens"]
-
-
-def small(n: np.ndarray) -> np.ndarray:
-    return np.minimum(n, LOW)
+#: Whether shuffle files are removed when their query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+COUNTS, STATS = ["vocabulary", "tokens"], ["n1", "n2", "n3", "n4", "m1", "m2", "m3", "m4", "kinds", "k1", "k2", "k3", "k4"]
 
 
 def few(n: np.ndarray) -> list[int]:
@@ -167,46 +149,82 @@ def few(n: np.ndarray) -> list[int]:
 
 def split_up(n: np.ndarray) -> list[np.ndarray]:
     """Whether a count is 1, 2, more."""
-    return [(n == 1).astype(U64), (n == 2).astype(U64), (n > 2).astype(U64)]
+    return [(n == 1).view(np.uint8), (n == 2).view(np.uint8), (n > 2).view(np.uint8)]
+
+
+def narrow(key: np.ndarray, count: np.ndarray, *others: np.ndarray) -> list[np.ndarray]:
+    """Columns of ``TRIGRAM`` or ``PAIR``, in order."""
+    high, low = (key >> U64(32)).astype(U32), (key >> U64(16) & U64(0xFF00)).astype(np.uint16)
+    order = np.argsort(key)
+    return [x[order] for x in (high, low | np.minimum(count, MANY).astype(np.uint16), *(np.minimum(o, MANY).astype(np.uint8) for o in others))]
+
+
+def put_dense(folder: str, name: str, bucket: int, columns: list[np.ndarray]) -> None:
+    """Columns by place, up to MANY; rows with more again in full, with their place."""
+    put_file(folder, f"{name}-{bucket}", blob([np.minimum(c, MANY) for c in columns], [np.uint8] * len(columns)))
+    many = np.flatnonzero(np.maximum.reduce(columns) >= MANY)
+    put_file(folder, f"{name}-more-{bucket}", blob([many, *(c[many] for c in columns)], [U32, *[U64] * len(columns)]))
 
 
 def _batch(bucket: int, data: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([data], pa.binary())], ["bucket", "data"])
 
 
-def _dealt(grams: Grams, buckets: int) -> Iterator[pa.RecordBatch]:
-    """A row for each bucket, by the hash of the whole n-gram: of a frequent one there is one for each task."""
-    bucket = bucket_of(grams.hashes()[-1], buckets)
+def _row(values: list[int], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in values], names)
+
+
+def _dealt(grams: Grams, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket. Buckets go by the whole n-gram, so of a frequent one each task has one entry."""
     order = np.argsort(bucket, kind="stable")
     names, at = np.unique(bucket[order], return_index=True)
-    for b, i, j in zip(names.tolist(), at, np.append(at[1:], len(order)), strict=True):
+    for b, i, j in zip(names.tolist(), at, [*at[1:], len(order)], strict=False):
         yield _batch(b, grams.part(order[i:j]).pack())
 
 
-def _count(buckets: int):
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Tokens of whole documents, CHUNK_TOKENS and more at once."""
+    held: list[np.ndarray] = []
+    size = 0
+    for batch in batches:
+        docs = vec.texts(batch.column(0))
+        for i, j in vec.blocks(docs):
+            held.append(tokens(docs[i:j])[0])
+            size += len(held[-1])
+            if size >= CHUNK_TOKENS:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def _count_words(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            word, of_w = np.unique(np.concatenate([*held, [BEGIN]]), return_inverse=True)
-            of_w = of_w.astype(U32)
-            begin, of_w = of_w[-1], of_w[:-1]
-            first = np.append(0, np.flatnonzero(word[of_w[:-1]] == END) + 1)
-            of_v = before(of_w, first, begin)
-            places = [before(of_v, first, begin), of_v, of_w]
-            yield from _dealt(Grams.of(word, places, [np.ones(len(of_w), U64)]), buckets)
+        for w in _chunks(batches):
+            word, n = np.unique(np.append(w, BEGIN), return_counts=True)
+            n = n.astype(U64) - (word == BEGIN)
+            yield from _dealt(Grams([word], [n]), bucket_of(word, buckets))
+
+    return run
 
-        for batch in batches:
-            docs = vec.texts(batch.column(0))
-            for i, j in vec.blocks(docs):
-                held.append(tokens(docs[i:j])[0])
-                size += len(held[-1])
-                if size >= CHUNK_TOKENS:
-                    yield from flush()
-                    held, size = [], 0
-        if held:
-            yield from flush()
+
+def _vocabulary(folder: str):
+    """Writes a bucket's words with their places by frequency; returns how many there are and how often they stand."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = total = 0
+        for bucket, parts in _groups(batches):
+            g = Grams.merged([Grams.unpack(p) for p in parts])
+            word, n = g.places[0], g.counts[0]
+            place = np.empty(len(word), np.int64)
+            place[np.lexsort((word, -n.astype(np.int64)))] = np.arange(len(word))
+            put_file(folder, f"words-{bucket}", blob([word, place], WORD))
+            dense = np.empty(len(n), U64)
+            dense[place] = n
+            put_dense(folder, "times", bucket, [dense])
+            words += int((n > 0).sum())
+            total += int(n.sum())
+        yield _row([words, total], COUNTS)
 
     return run
 
@@ -225,24 +243,38 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes
         yield now, held
 
 
-def _trigrams(folder: str, buckets: int):
+def _count(words: Words):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tokens_ in _chunks(batches):
+            word, of_w = np.unique(np.append(tokens_, BEGIN), return_inverse=True)
+            number = words.find(word)
+            of_w, begin = number[of_w[:-1]], number[of_w[-1]]
+            first = np.append(0, np.flatnonzero(tokens_[:-1] == END) + 1)
+            of_v = before(of_w, first, begin)
+            g = Grams.of([before(of_v, first, begin), of_v, of_w], [np.ones(len(of_w), np.uint8)])
+            yield from _dealt(g, bucket_of(g.hashes()[-1], words.buckets))
+
+    return run
+
+
+def _trigrams(folder: str, buckets: int, end: int):
     """Merges the trigrams of a bucket into its files; passes what they tell about pairs on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, parts in _groups(batches):
             g = Grams.merged([Grams.unpack(p) for p in parts])
             (u, v, w), (n,), key = g.places, g.counts, g.hashes()[2]
-            put_file(folder, f"trigrams-{bucket}", blob([np.sort(key & ~LOW | small(n))], TRIGRAM))
-            many = np.flatnonzero(n >= LOW)
+            put_file(folder, f"trigrams-{bucket}", blob(narrow(key, n), TRIGRAM))
+            many = np.flatnonzero(n >= MANY)
             many = many[np.argsort(key[many])]
             put_file(folder, f"trigrams-more-{bucket}", blob([key[many], n[many]], TRIGRAM_MORE))
-            nil, one = np.zeros(len(n), U64), np.ones(len(n), U64)
+            nil, one = np.zeros(len(n), np.uint8), np.ones(len(n), np.uint8)
             # a pair's count is that of the trigrams which it begins; one that ends a text begins none
-            last = np.where(g.word[w] == END, n, nil)
+            last = np.where(w == U64(end), n, U64(0))
             history, event = [nil, n, *split_up(n)], [one, last, nil, nil, nil]
-            both = [np.concatenate(x) for x in zip(history, event, strict=True)]
-            yield from _dealt(Grams.of(g.word, [np.concatenate((u, v)), np.concatenate((v, w))], both), buckets)
-            yield _batch(buckets, np.array(few(n) + [0] * 11, np.int64).tobytes())
+            both = Grams.of([np.concatenate((u, v)), np.concatenate((v, w))], [np.concatenate(x) for x in zip(history, event, strict=True)])
+            yield from _dealt(both, bucket_of(both.hashes()[-1], buckets))
+            yield _batch(buckets, np.array(few(n) + [0] * 9, np.int64).tobytes())
 
     return run
 
@@ -257,33 +289,34 @@ def _pairs(folder: str, buckets: int):
                 continue
             g = Grams.merged([Grams.unpack(p) for p in parts])
             (v, w), (cc, c, *f), key = g.places, g.counts, g.hashes()[1]
-            own = key & ~LOW | small(cc)
-            order = np.argsort(own)
-            put_file(folder, f"pairs-{bucket}", blob([x[order] for x in (own, np.minimum(c, U64(0xFFFFFFFF)), *map(small, f))], PAIR))
-            many = np.flatnonzero((np.maximum.reduce([cc, *f]) >= LOW) | (c >= U64(0xFFFFFFFF)))
+            put_file(folder, f"pairs-{bucket}", blob(narrow(key, cc, c, *f), PAIR))
+            many = np.flatnonzero(np.maximum.reduce([cc, c, *f]) >= MANY)
             many = many[np.argsort(key[many])]
             put_file(folder, f"pairs-more-{bucket}", blob([x[many] for x in (key, cc, c, *f)], PAIR_MORE))
-            met, nil = (cc > 0).astype(U64), np.zeros(len(cc), U64)
-            token = np.where(g.word[w] == BEGIN, nil, c)
-            history, event = [nil, cc, nil, *split_up(cc)], [token, nil, met, nil, nil, nil]
-            yield from _dealt(Grams.of(g.word, [np.concatenate((v, w))], [np.concatenate(x) for x in zip(history, event, strict=True)]), buckets)
-            yield _batch(buckets, np.array([0] * 4 + few(cc) + [int(met.sum())] + [0] * 6, np.int64).tobytes())
+            met, nil = (cc > 0).view(np.uint8), np.zeros(len(cc), np.uint8)
+            history, event = [cc.astype(U64), nil, *split_up(cc)], [nil, met, nil, nil, nil]
+            words = Grams.of([np.concatenate((v, w))], [np.concatenate(x) for x in zip(history, event, strict=True)])
+            yield from _dealt(words, (words.places[0] % U64(buckets)).astype(np.int64))
+            yield _batch(buckets, np.array([0] * 4 + few(cc) + [int(met.sum())] + [0] * 4, np.int64).tobytes())
 
     return run
 
 
-def _words(folder: str, buckets: int):
+def _follow(words: Words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(STATS), np.int64)
         for bucket, parts in _groups(batches):
-            if bucket == buckets:
+            if bucket == words.buckets:
                 total += sum(np.frombuffer(p, np.int64) for p in parts)
                 continue
             g = Grams.merged([Grams.unpack(p) for p in parts])
-            cw, _, cont, *_ = g.counts
-            put_file(folder, f"words-{bucket}", blob([g.word[g.places[0]], *g.counts], WORD))
-            total += np.array([0] * 9 + few(cont) + [int((cw > 0).sum()), int(cw.sum())], np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in total], STATS)
+            size = len(unblob(map_file(words.folder, f"words-{bucket}"), WORD)[0])
+            dense = [np.zeros(size, U64) for _ in FOLLOW]
+            for d, c in zip(dense, g.counts, strict=True):
+                d[(g.places[0] // U64(words.buckets)).astype(np.int64)] = c
+            put_dense(words.folder, "follow", bucket, dense)
+            total += np.array([0] * 9 + few(g.counts[1]), np.int64)
+        yield _row(total.tolist(), STATS)
 
     return run
 
@@ -299,56 +332,83 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
 
 
 @dataclass
-class Model:
-    """Where the sorted arrays lie, and the constants of the whole corpus: discounts of trigrams, pairs and words."""
+class Words:
+    """The corpus's words. A word's number is its place in its bucket, times the buckets, and the bucket: the more
+    frequent, the smaller."""
 
     folder: str
     buckets: int
+
+    def files(self, name: str, types: list, bucket: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+        """The mapped columns of each bucket, and which rows are of it."""
+        order = np.argsort(bucket, kind="stable")
+        names, at = np.unique(bucket[order], return_index=True)
+        for b, i, j in zip(names, at, [*at[1:], len(order)], strict=False):
+            yield order[i:j], unblob(map_file(self.folder, f"{name}-{b}"), types)
+
+    def find(self, word: np.ndarray) -> np.ndarray:
+        """Numbers of words by their hashes."""
+        bucket, number = bucket_of(word, self.buckets), np.full(len(word), UNMET)
+        for own, (key, place) in self.files("words", WORD, bucket):
+            if len(key):
+                at = np.minimum(np.searchsorted(key, word[own]), len(key) - 1)
+                same = key[at] == word[own]
+                own, at = own[same], at[same]
+                number[own] = place[at].astype(U64) * U64(self.buckets) + bucket[own].astype(U64)
+        return number
+
+    def counts(self, name: str, types: list, full: list, number: np.ndarray) -> list[np.ndarray]:
+        """The columns of a dense file by the words' numbers; zeros if not met."""
+        out = [np.zeros(len(number), np.int64) for _ in types]
+        met = np.flatnonzero(number != UNMET)
+        bucket, place = (number[met] % U64(self.buckets)).astype(np.int64), (number[met] // U64(self.buckets)).astype(np.int64)
+        for own, table in self.files(name, types, bucket):
+            if len(table[0]):
+                for o, t in zip(out, table, strict=True):
+                    o[met[own]] = t[place[own]]
+        more = np.flatnonzero(np.maximum.reduce(out)[met] == MANY)
+        for own, (key, *table) in self.files(f"{name}-more", full, bucket[more]):
+            own = more[own]
+            at = np.searchsorted(key, place[own])
+            for o, t in zip(out, table, strict=True):
+                o[met[own]] = t[at]
+        return out
+
+
+@dataclass
+class Model:
+    """Where the sorted arrays lie, and the constants of the whole corpus: discounts of trigrams, pairs and words."""
+
+    words: Words
     vocabulary: int
     tokens: int
     kinds: int
     discounts: tuple[tuple[float, float, float], ...]
     left: float
 
-    def _find(self, name: str, types: list, key: np.ndarray, keep: U64) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Which hashes the files hold, by the bits of ``keep``, and the columns there; zeros where not."""
-        bucket = bucket_of(key, self.buckets)
-        order = np.lexsort((key, bucket))
-        names, at = np.unique(bucket[order], return_index=True)
-        hit, out = np.zeros(len(key), bool), [np.zeros(len(key), np.int64) for _ in types]
-        for b, i, j in zip(names, at, np.append(at[1:], len(order)), strict=True):
-            table = unblob(map_file(self.folder, f"{name}-{b}"), types)
-            if len(table[0]):
-                own = order[i:j]
-                where = np.minimum(np.searchsorted(table[0], key[own] & keep), len(table[0]) - 1)
-                same = table[0][where] & keep == key[own] & keep
-                hit[own] = same
-                for o, t in zip(out, table, strict=True):
-                    o[own[same]] = t[where[same]].astype(np.int64)
-        return hit, out
-
-    def words(self, word: np.ndarray) -> list[np.ndarray]:
-        """The six counts of ``WORD`` for each distinct word; zeros if not met."""
-        return self._find("words", WORD, word, ~U64(0))[1][1:]
-
-    def pairs(self, key: np.ndarray) -> list[np.ndarray]:
-        """The five counts of ``PAIR`` for each distinct pair; zeros if not met."""
-        _, (first, *counts) = self._find("pairs", PAIR, key, ~LOW)
-        counts = [first & MANY, *counts]
-        more = np.flatnonzero((counts[0] == MANY) | (np.maximum.reduce(counts[2:]) == MANY) | (counts[1] == 0xFFFFFFFF))
-        if len(more):
-            hit, (_, *full) = self._find("pairs-more", PAIR_MORE, key[more], ~U64(0))
-            for c, f in zip(counts, full, strict=True):
-                c[more[hit]] = f[hit]
-        return counts
-
-    def trigrams(self, key: np.ndarray) -> np.ndarray:
-        count = self._find("trigrams", TRIGRAM, key, ~LOW)[1][0] & MANY
-        more = np.flatnonzero(count == MANY)
-        if len(more):
-            hit, (_, full) = self._find("trigrams-more", TRIGRAM_MORE, key[more], ~U64(0))
-            count[more[hit]] = full[hit]
-        return count
+    def _counts(self, name: str, types: list, full: list, key: np.ndarray) -> list[np.ndarray]:
+        """Counts behind the hashes in the narrow files, those of MANY from the full ones; zeros if not met."""
+        out = [np.zeros(len(key), np.int64) for _ in types[1:]]
+        high, low = (key >> U64(32)).astype(U32), (key >> U64(24) & U64(0xFF)).astype(np.uint16)
+        for live, (first, second, *others) in self.words.files(name, types, bucket_of(key, self.words.buckets)):
+            at = np.searchsorted(first, high[live])
+            while len(live):  # rows of the same 32 bits stand next to each other
+                there = at < len(first)
+                there[there] = first[at[there]] == high[live[there]]
+                live, at = live[there], at[there]
+                same = second[at] >> 8 == low[live]
+                for o, t in zip(out, (second[at[same]] & 0xFF, *(x[at[same]] for x in others)), strict=True):
+                    o[live[same]] = t
+                live, at = live[~same], at[~same] + 1
+        more = np.flatnonzero(np.maximum.reduce(out) == MANY)
+        for own, (first, *columns) in self.words.files(f"{name}-more", full, bucket_of(key[more], self.words.buckets)):
+            if len(first):
+                own = more[own]
+                at = np.minimum(np.searchsorted(first, key[own]), len(first) - 1)
+                same = first[at] == key[own]
+                for o, t in zip(out, columns, strict=True):
+                    o[own[same]] = t[at[same]]
+        return out
 
     def score(self, docs: list[bytes], order: int = 3) -> tuple[np.ndarray, ...]:
         """Tokens, known tokens, base score and model score of each document, all in log10."""
@@ -357,21 +417,22 @@ class Model:
         first = at[:-1]
         word, inverse = np.unique(np.append(w, BEGIN), return_inverse=True)
         of_w, begin = inverse[:-1], inverse[-1]
-        cw, hist, cont, *s = self.words(word)
+        number = self.words.find(word)
+        (cw,), (hist, cont, *s) = self.words.counts("times", TIMES, TIMES_MORE, number), self.words.counts("follow", FOLLOW, FOLLOW_MORE, number)
         base = np.log10((cw + 0.5) / (self.tokens + 0.5 * (self.vocabulary + 1)))
         p1 = (cont - one[np.minimum(cont, 3)]) / max(self.kinds, 1) + self.left / (self.vocabulary + 1)
         # pairs that end at each token, and the one in front of a document
         of_v = np.append(before(of_w, first, begin), begin)
         both, of_pair = np.unique(of_v * len(word) + inverse, return_inverse=True)
         a, b = both // len(word), both % len(word)
-        key = pair(word[a], word[b])
-        cc, c, *f = self.pairs(key)
+        key = pair(number[a], number[b])
+        cc, c, *f = self._counts("pairs", PAIR, PAIR_MORE, key)
         p2 = (cc - two[np.minimum(cc, 3)]) / np.maximum(hist[a], 1) + np.where(hist[a] > 0, sum(two[k + 1] * s[k][a] for k in range(3)) / np.maximum(hist[a], 1), 1.0) * p1[b]
         if order == 3:
             front, of_pair = of_pair[-1], of_pair[:-1]
             triple, place, of_triple = np.unique(before(of_pair, first, front) * len(word) + of_w, return_index=True, return_inverse=True)
             h = triple // len(word)
-            n = self.trigrams(pair(key[h], word[triple % len(word)]))
+            (n,) = self._counts("trigrams", TRIGRAM, TRIGRAM_MORE, pair(key[h], number[triple % len(word)]))
             p3 = (n - three[np.minimum(n, 3)]) / np.maximum(c[h], 1) + np.where(c[h] > 0, sum(three[k + 1] * f[k][h] for k in range(3)) / np.maximum(c[h], 1), 1.0) * p2[of_pair[place]]
             log = np.log10(p3)[of_triple]
         else:
@@ -383,27 +444,37 @@ class Model:
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Counts all trigrams of ``docs`` and writes the sorted arrays to the shared folder, files for each bucket.
 
-    Rows are dealt by the hash of the whole n-gram at each step, so no history, word or pair is too frequent for a
-    task: a task sends one row of it on.
+    Words are counted and numbered first, so n-grams travel as small numbers. Rows are dealt by the whole n-gram at
+    each step, so no history, word or pair is too frequent for a task: a task sends one entry of it on.
     """
     spark = docs.sparkSession
     prepare(spark)
-    folder = new_path(spark, "ngrams")
     plain = docs.select(F.col(text_col).alias("text"))
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+    words = Words(new_path(spark, "ngrams"), max(LEAST_BUCKETS, -(-size // BUCKET_BYTES)))
 
     def by_bucket(df: DataFrame) -> DataFrame:
-        return df.repartitionById(buckets + 1, "bucket").sortWithinPartitions("bucket")
-
-    counted = by_bucket(plain.transform(arrow, _count(buckets), SCHEMA)).transform(arrow, _trigrams(folder, buckets), SCHEMA)
-    counted = by_bucket(counted).transform(arrow, _pairs(folder, buckets), SCHEMA)
-    stats = by_bucket(counted).transform(arrow, _words(folder, buckets), ", ".join(f"{s} long" for s in STATS))
-    r = stats.agg(*(F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in STATS)).first()
+        return df.repartitionById(words.buckets + 1, "bucket").sortWithinPartitions("bucket")
+
+    def total(df: DataFrame, names: list[str]):
+        return df.agg(*(F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in names)).first()
+
+    def longs(names: list[str]) -> str:
+        return ", ".join(f"{s} long" for s in names)
+
+    keep = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # shuffle files of the first job go before the second begins
+    counted = by_bucket(plain.transform(arrow, _count_words(words.buckets), SCHEMA))
+    known = total(counted.transform(arrow, _vocabulary(words.folder), longs(COUNTS)), COUNTS)
+    end = int(words.find(np.array([END]))[0])
+    counted = by_bucket(plain.transform(arrow, _count(words), SCHEMA)).transform(arrow, _trigrams(words.folder, words.buckets, end), SCHEMA)
+    counted = by_bucket(counted).transform(arrow, _pairs(words.folder, words.buckets), SCHEMA)
+    r = total(by_bucket(counted).transform(arrow, _follow(words), longs(STATS)), STATS)
+    spark.conf.set(CLEANUP, keep)
     found = tuple(discounts([r[f"{x}{k}"] for k in (1, 2, 3, 4)]) for x in "nmk")
     one = found[2]
-    left = (one[0] * r.k1 + one[1] * r.k2 + one[2] * (r.vocabulary - r.k1 - r.k2)) / r.kinds if r.kinds else 1.0
-    return Model(folder, buckets, r.vocabulary, r.tokens, r.kinds, found, left)
+    left = (one[0] * r.k1 + one[1] * r.k2 + one[2] * (known.vocabulary - r.k1 - r.k2)) / r.kinds if r.kinds else 1.0
+    return Model(words, known.vocabulary, known.tokens, r.kinds, found, left)
 
 
 def score_language_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 3) -> DataFrame:
