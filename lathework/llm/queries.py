@@ -103,6 +103,32 @@ links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id =
 reach as (select doc_id as a, doc_id as b from d union select r.a, l.b from reach r join links l on l.a = r.b)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, r.c as component_id, d.doc_id = r.c as kept from d left join n using (doc_id) join (select a, min(b) as c from reach group by a) r on r.a = d.doc_id"""
 
+#: Sums run from the first component on, as in the operator, so that scores are equal to the last bit.
+NEAREST = """
+with v as (select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+one as (select vec_id, min(e) as e from v group by vec_id),
+n as (select vec_id, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b)) as l from one where len(list_filter(e, lambda x: x <> 0)) > 0),
+p as (select q.vec_id as query_id, c.vec_id, list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]), lambda a, b: a + b) / (q.l * c.l) as score
+from n q join n c on len(q.e) = len(c.e) and q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from p)
+select query_id, rank, vec_id, score from r where rank <= 5"""
+
+#: Strings as two hex digits a byte; a removed run may cut a character, whose rest is no text.
+REPEATS = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, row_number() over () as n from documents),
+s as (select n, unnest(range(len(h) // 2 - 399)) as i from d where len(h) >= 800),
+w as (select n, i, hash(substr(h, 2 * i + 1, 800)) as x, md5(substr(h, 2 * i + 1, 800)) as y from s join d using (n)),
+again as (select n, i from (select n, i, count(*) over (partition by x, y) as c from w) where c > 1),
+edge as (select n, i, coalesce(i > lag(i + 400) over (partition by n order by i), true) as fresh from again),
+named as (select n, i, sum(fresh::int) over (partition by n order by i) as run from edge),
+gone as (select n, run, min(i) as a, max(i) + 400 as z from named group by all),
+parts as (select n, run as k, coalesce(lag(z) over (partition by n order by a), 0) as a, a as z from gone union all select n, 1000000000, max(z), 1000000000 from gone group by n),
+kept as (select n, string_agg(substr(h, 2 * a + 1, 2 * (z - a)), '' order by k) as rest from parts join d using (n) group by n),
+sums as (select n, sum(z - a) as removed, count(*) as spans from gone group by n),
+o as (select doc_id, len(h) // 2 as n_bytes, coalesce(removed, 0) as n_removed, coalesce(spans, 0) as n_spans, coalesce(rest, h) as rest from d left join sums using (n) left join kept using (n))
+select doc_id, n_bytes, cast(n_removed as bigint) as n_removed, n_spans, sha256(unhex(rest)) as kept_sha256, decode(unhex(array_to_string(list_filter(regexp_extract_all(rest,
+'[0-7].|(?:C[2-9A-F]|D.)[89AB].|E0[AB].[89AB].|E[1-9ABCEF][89AB].[89AB].|ED[89].[89AB].|F0[9AB].[89AB].[89AB].|F[1-3][89AB].[89AB].[89AB].|F48.[89AB].[89AB].|..'), lambda x: len(x) > 2 or x < '80'), ''))) as text from o"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontamination": DECONTAMINATION, "op10_minhash": NEAR}
+    return {"op3_suffix_dedup": REPEATS, "op7_decontamination": DECONTAMINATION, "op9_nearest": NEAREST, "op10_minhash": NEAR}
