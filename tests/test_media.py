@@ -16,10 +16,10 @@ def rows(df):
 
 
 def test_probe(spark):
-    doc = {"format": {"format_name": "mp4", "duration": "1.5"}, "streams": [{"codec_type": "audio"}, {"codec_type": "video", "width": 640, "height": 360, "avg_frame_rate": "30/1", "r_frame_rate": "30/1", "time_base": "1/15360", "nb_frames": "N/A"}]}
+    doc = {"format": {"format_name": "mp4", "duration": "7.25"}, "streams": [{"codec_type": "audio"}, {"codec_type": "video", "width": 96, "height": 54, "avg_frame_rate": "24/1", "r_frame_rate": "24/1", "time_base": "1/90000", "nb_frames": "N/A"}]}
     p = spark.createDataFrame([(json.dumps(doc),), ('{"streams": []}',)], "j string").select(media.probe(F.col("j")).alias("p")).collect()
     assert p[1].p is None
-    assert (p[0].p.width, p[0].p.duration_seconds, tuple(p[0].p.time_base), p[0].p.is_vfr, p[0].p.nb_frames) == (640, 1.5, (1, 15360), False, None)
+    assert (p[0].p.width, p[0].p.duration_seconds, tuple(p[0].p.time_base), p[0].p.is_vfr, p[0].p.nb_frames) == (96, 7.25, (1, 90000), False, None)
 
 
 def test_scenes(spark):

@@ -59,11 +59,11 @@ def test_histogram(spark):
 
 
 def test_split():
-    clusters = [(f"c{i}", n, {"platform": p}) for i, (n, p) in enumerate([(3, "p1"), (2, "p1"), (1, "p2"), (1, "p2")])]
-    config = S.SplitConfig({"train": 0.6, "val": 0.2, "test": 0.2}, 7)
+    clusters = [(f"c{i}", n, {"platform": p}) for i, (n, p) in enumerate([(5, "north"), (1, "south"), (4, "north"), (2, "south")])]
+    config = S.SplitConfig({"train": 0.5, "val": 0.3, "test": 0.2}, 11)
     first, again = S.allocate(clusters, config), S.allocate(clusters, config)
     assert first == again and set(first[0]) == {"c0", "c1", "c2", "c3"}
-    assert S.allocate([(f"c{i}", 1, {"platform": "p1"}) for i in range(4)], S.SplitConfig(config.ratios, 7, {"platform": 0.5}))[1]
+    assert S.allocate([(f"c{i}", 1, {"platform": "north"}) for i in range(5)], S.SplitConfig(config.ratios, 11, {"platform": 0.4}))[1]
     for bad in ({"train": 0.5}, {"train": 0.5, "dev": 0.5}, {}):
         with pytest.raises(ValueError):
             S.SplitConfig(bad)
@@ -84,8 +84,8 @@ def test_sampling(spark):
         assert got[i][:7] == tuple(want[n] for n in sampling.NAMES[:7]) and got[i][-1] == want["y"] and got[i][14] == list(want["fill"])
     none = sampling.draw_samples(spark, 3, 5, ["a"], fits=lambda row: False).collect()
     assert {r.attempt for r in none} == {None} and all(r.duration_ms for r in none)
-    x0, y0, x1, y1 = sampling.random_crop(random.Random(1), 640, 360, 1, 1)
-    assert (x1 - x0, y1 - y0) == (360, 360) and 0 <= x0 <= 280 and y0 == 0
+    x0, y0, x1, y1 = sampling.random_crop(random.Random(1), 500, 300, 1, 1)
+    assert (x1 - x0, y1 - y0) == (300, 300) and 0 <= x0 <= 200 and y0 == 0
     with pytest.raises(ValueError):
         sampling.draw_samples(spark, 1, 1, [])
 
