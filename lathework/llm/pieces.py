@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from lathework.llm.runtime import arrow, prepare, stage_table
 #: A public vocabulary; any other model file of the same format may be given.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of one chunk: a longer text is scanned chunk by chunk.
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 #: Bytes of text that a worker encodes at once, of a word that is searched together with others, and words of one search.
 BLOCK_BYTES, SHORT_WORD, TOGETHER = 2 << 20, 48, 1 << 14
 #: Bits of the table that finds a piece by its hash.
@@ -279,6 +280,12 @@ class Vocabulary:
         return self.best(text[:first], start, first) + middle + self.best(text[last:], 0, size + over - last)
 
 
+@lru_cache(maxsize=1)
+def vocabulary(model: bytes) -> Vocabulary:
+    """The vocabulary of a model file, built once in a worker."""
+    return Vocabulary(model)
+
+
 def marked(text: str) -> str:
     return BLANK + text.replace(" ", BLANK)
 
@@ -306,7 +313,7 @@ def states(matrices: list[np.ndarray]) -> list[int]:
 
 def _small(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(model.value)
+        v = vocabulary(model.value)
         for batch in batches:
             docs = vec.texts(batch.column(2))
             for i, j in vec.blocks(docs, BLOCK_BYTES):
@@ -334,7 +341,7 @@ def _chunks(longest: int, chunk: int):
 
 def _transfers(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(model.value)
+        v = vocabulary(model.value)
         for batch in batches:
             m = [v.transfer(t, n).tobytes() for n, t in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(m, pa.binary())], ["doc_id", "th", "chunk", "m"])
@@ -366,7 +373,7 @@ def _borders(longest: int):
 
 def _backtrace(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(model.value)
+        v = vocabulary(model.value)
         for batch in batches:
             ids = [v.trace(part, size, a, z) for size, part, a, z in zip(*(c.to_pylist() for c in batch.columns[3:]), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "th", "chunk", "ids"])
@@ -384,7 +391,7 @@ class Source:
         prepare(spark)
         with open(model_file, "rb") as f:
             data = f.read()
-        self.longest = Vocabulary(data).longest
+        self.longest = vocabulary(data).longest
         self.model = spark.sparkContext.broadcast(data)
         plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
         self.chunk = chunk
@@ -425,7 +432,7 @@ def decode(encoded: DataFrame, *, model_file: str = MODEL) -> DataFrame:
         model = spark.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(model.value)
+        v = vocabulary(model.value)
         for batch in batches:
             plain = [v.decode(x) for x in batch.column(3).to_pylist()]
             plain = [p[1:] if c == 0 else p for p, c in zip(plain, batch.column(2).to_pylist(), strict=True)]
@@ -436,24 +443,17 @@ def decode(encoded: DataFrame, *, model_file: str = MODEL) -> DataFrame:
     return joined.select("doc_id", "th", F.try_validate_utf8(F.aggregate("p", F.lit("").cast("binary"), lambda a, x: F.concat(a, x["plain"])).cast("string")).alias("text"))
 
 
-def numbers(ids: list[bytes]) -> pa.Array:
-    """Lists of ids from their bytes."""
-    at = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(ids), "<i4").astype(np.int32)))
-
-
 def _digests(model):
     """Digest of each row, or of the rows of a giant text as one; chunks of a text follow each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(model.value)
+        v = vocabulary(model.value)
         out: list[tuple] = []
         now = None
 
         def batch_of() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()]
-            cols = [pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)]
-            return pa.RecordBatch.from_arrays([*cols, numbers([o[6] for o in out])], ["doc_id", "th", "n_tokens", "ids_sha256", "n_bytes", "decoded_sha256", "ids"])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], ["doc_id", "th", "n_tokens", "ids_sha256", "n_bytes", "decoded_sha256", "ids"])
 
         for batch in batches:
             for doc, th, chunk, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -479,7 +479,7 @@ def _digests(model):
 
 def _digest_small(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(model.value)
+        v = vocabulary(model.value)
         for batch in batches:
             docs = vec.texts(batch.column(2))
             n, sha, size, same, found = [], [], [], [], []
@@ -493,7 +493,7 @@ def _digest_small(model):
                     size.append(len(plain))
                     same.append(plain == text)
                     found.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(size, pa.int64()), pa.array(same, pa.bool_()), numbers(found)], ["doc_id", "n_tokens", "ids_sha256", "n_bytes", "round_trip", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(size, pa.int64()), pa.array(same, pa.bool_()), pa.array(found, pa.binary())], ["doc_id", "n_tokens", "ids_sha256", "n_bytes", "round_trip", "ids"])
 
     return run
 
@@ -501,13 +501,13 @@ def _digest_small(model):
 def piece_digests(docs: DataFrame, *, model_file: str = MODEL, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """Encode whole texts, decode the ids again, and compare: ``doc_id, n_tokens, ids_sha256, n_bytes, round_trip, ids``.
 
-    ``round_trip`` says whether the decoded text is the input; it is not where a text holds the blank's own sign. Null
+    The ids are little-endian int32. ``round_trip`` says whether the decoded text is the input; it is not where a text holds the blank's own sign. Null
     texts count as empty, very long ones are scanned in chunks. Repeated rows are each returned; other columns are ignored.
     """
     s = Source(docs, model_file, id_col, text_col, chunk)
-    small = s.small.transform(arrow, _digest_small(s.model), "doc_id long, n_tokens long, ids_sha256 string, n_bytes long, round_trip boolean, ids array<int>")
+    small = s.small.transform(arrow, _digest_small(s.model), "doc_id long, n_tokens long, ids_sha256 string, n_bytes long, round_trip boolean, ids binary")
     ordered = s.in_chunks().repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "chunk")
-    found = ordered.transform(arrow, _digests(s.model), "d long, t long, n_tokens long, ids_sha256 string, n_bytes long, decoded string, ids array<int>")
+    found = ordered.transform(arrow, _digests(s.model), "d long, t long, n_tokens long, ids_sha256 string, n_bytes long, decoded string, ids binary")
     rows = s.giant.select("doc_id", "th", F.sha2("text", 256).alias("own"))
     giant = rows.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
     return small.unionByName(giant.select("doc_id", "n_tokens", "ids_sha256", "n_bytes", (F.col("own") == F.col("decoded")).alias("round_trip"), "ids"))

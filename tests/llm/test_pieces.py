@@ -70,8 +70,8 @@ def test_scan_is_the_whole_search(vocabulary):
 def test_scan_of_words_is_the_whole_search(vocabulary):
     """Chunks of whole words are traced by their words; texts without words or with a giant one by every character."""
     rng, differ = random.Random(19), 0
-    texts = [" ".join("".join(rng.choice("etaoinsh\né") for _ in range(rng.choice([1, 4, 9, 60]))) for _ in range(120)) for _ in range(30)]
-    texts += ["x" * 900, " " * 900, ("ab" * 150 + " ") * 4, "a ▁ b" * 200]
+    texts = [" ".join("".join(rng.choice("etaoinsh\né") for _ in range(rng.choice([1, 4, 9, 60]))) for _ in range(60)) for _ in range(16)]
+    texts += ["x" * 400, " " * 400, ("ab" * 150 + " ") * 2, "a ▁ b" * 80]
     for t in texts:
         text, size = marked(t), rng.choice([90, 150, 260])
         n = len(text) // size
@@ -101,7 +101,7 @@ def test_many_words_at_once(vocabulary):
 
 def test_round_trip(spark, vocabulary):
     rng = random.Random(10)
-    rows = [(k, "".join(rng.choice("the ox  runs\n\té日𝄞<0x0A>") for _ in range(rng.choice([5, 80, 299, 300, 4000])))) for k in range(14)]
+    rows = [(k, "".join(rng.choice("the ox  runs\n\té日𝄞<0x0A>") for _ in range(rng.choice([5, 80, 299, 300, 2000])))) for k in range(14)]
     rows += [(20, None), (21, ""), (22, " "), (3, rows[3][1]), (23, "a▁b"), (None, "z" * 500), (None, "z" * 500)]
     d = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, chunk int")
     got = piece_digests(d, chunk=300).collect()
@@ -113,6 +113,7 @@ def test_round_trip(spark, vocabulary):
     want = {k: vocabulary.best(marked(t), 0, len(t) + 1) if t else b"" for k, t in rows}
     for r in got:
         own = np.frombuffer(want[r.doc_id], "<i4").tolist()
-        assert r.ids_sha256 == hashlib.sha256(np.array(r.ids, "<i4").tobytes()).hexdigest() and r.n_tokens == len(r.ids)
-        assert r.ids == own or len(texts[r.doc_id]) > 300 and worth(vocabulary, r.ids) == worth(vocabulary, own)
+        ids = np.frombuffer(r.ids, "<i4").tolist()
+        assert r.ids_sha256 == hashlib.sha256(r.ids).hexdigest() and r.n_tokens == len(ids)
+        assert ids == own or len(texts[r.doc_id]) > 300 and worth(vocabulary, ids) == worth(vocabulary, own)
     assert piece_digests(d.limit(0)).count() == 0
