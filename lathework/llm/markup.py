@@ -48,22 +48,34 @@ PLAIN, BESIDE_IT, ARTICLE, HEADER = range(4)
 
 @dataclass(slots=True)
 class Text:
-    """A text of a page: its decoded characters, block number, and what the page's own elements say of it."""
+    """A text of a page: its decoded characters, block number, and what the page's own elements say of it.
+
+    ``within`` says whether it is beside the article if all around is known to be in it, where no header counts.
+    """
 
     value: str
     block: int
     aside: bool
     inside: bool
+    within: bool = False
 
 
 @dataclass(slots=True)
 class Element:
-    """An element of a page's token stream, or a text (label "#") by its number."""
+    """An element of a page's token stream, or a text (label "#") by its number.
+
+    One that stands for a node of a wrapper also knows how many pages had it, whether some lacked it and some had
+    several; ``again`` is a further round of a group, whose kids the first one has shown.
+    """
 
     label: str
     mark: int
     kids: list[Element]
     text: int = -1
+    weight: int = 1
+    optional: bool = False
+    repeated: bool = False
+    again: bool = False
 
 
 def label(name: str, attributes: str, inside: bool) -> tuple[str, bool, bool, bool]:

@@ -4,6 +4,7 @@ import itertools
 import random
 from difflib import SequenceMatcher
 
+from lathework.llm import wrappers
 from lathework.llm.markup import TOKEN
 from lathework.llm.wrappers import Wrapper, expression, extract_text, infer, main_text
 
@@ -134,3 +135,43 @@ def test_template_text_inside_an_article_goes():
     assert main_text("<article><p>Common words</p></article>", w)[0] == "Common words"
     copies = ["<article><p>" + "The same article. " * 20 + f"</p><p>{k}</p></article>" for k in range(4)]
     assert main_text(copies[0], infer(copies))[0].startswith("The same article.")
+
+
+def host_of(n):
+    """Pages of one host, of which every thirteenth lacks what the others share, and every fifth has a table."""
+    low = "<div class=low>Read more on our site</div>"
+    page = "<body><div class=text><h2>Title {0}</h2>{1}</div>{2}</body>"
+    body = "<p>Story {0}.{1} tells of things that no other story does.</p>"
+    return [page.format(k, "".join(body.format(k, i) for i in range(1 + k % 4)) + (f"<table><tr><td>Cell {k}</table>" if k % 5 == 0 else ""), low if k % 13 else "") for k in range(n)]
+
+
+def test_all_pages_of_a_host_count(spark, monkeypatch):
+    """Neither ids nor a few pages unlike the rest decide what is the template's; merged in steps and joined by host alike."""
+    pages = host_of(40)
+    w = infer(pages)
+    wanted = {p: main_text(p, w) for p in pages}
+    assert not any("Read more" in text for text, _ in wanted.values()) and all(whole for _, whole in wanted.values())
+    for start, fan, most in ((0, 64, 16 << 20), (1000, 64, 16 << 20), (2000, 3, 16 << 20), (3000, 64, -1)):
+        monkeypatch.setattr(wrappers, "FAN", fan)
+        monkeypatch.setattr(wrappers, "BROADCAST_BYTES", most)
+        d = spark.createDataFrame([(start + k, f"http://a.b/{k}", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+        got = {pages[r.page_id - start]: (r.text, r.covered) for r in extract_text(d).collect()}
+        assert got == wanted
+
+
+def test_a_text_of_most_pages_is_no_literal():
+    """What four of five pages share stays, though any eight pages may all have it; what all share goes."""
+    pages = [p.replace("<h2>", "<div class=kind>News</div><h2>" if k % 5 else "<div class=kind>Sport</div><h2>") for k, p in enumerate(host_of(40))]
+    w = infer(pages)
+    assert [main_text(p, w)[0].split("\n")[0] for p in pages] == ["News" if k % 5 else "Sport" for k in range(40)]
+
+
+def test_wrapper_beyond_its_bound_keeps_what_most_pages_have(monkeypatch):
+    """Nodes of single pages are left out first, and their texts stay, also in a form around the whole page."""
+    monkeypatch.setattr(wrappers, "MOST_NODES", 40)
+    pages = [p.replace("<table>", f"<section class=s{k}>Own {k}</section><table>").replace("<body>", "<body><form>") for k, p in enumerate(host_of(200))]
+    w = infer(pages)
+    assert len(w.nodes) <= 60 and any(not main_text(p, w)[1] for p in pages)
+    for k in (0, 5, 199):
+        text = main_text(pages[k], w)[0]
+        assert f"Story {k}.0" in text and "Read more" not in text and (k % 5 > 0 or f"Own {k}" in text)
