@@ -227,11 +227,11 @@ def sketch(stream: Element, texts: list[Text]) -> bytes:
 
 
 def stream_of(nodes: list[Node], times: int, optional: bool = False, again: bool = False) -> list[Element]:
-    """A stream that the nodes describe and from which alignment finds them again; a group's is shown twice."""
+    """A stream that the nodes describe and from which alignment finds them again; a group's is shown twice, the groups in its second round once."""
     out: list[Element] = []
     for n in nodes:
         if n.label == GROUP:
-            for more in (again, True):
+            for more in (True,) if again else (False, True):
                 out += stream_of(n.kids, times, optional or n.optional, more)
             continue
         out.append(Element(n.label, n.mark, [], 0 if n.label == TEXT else -1, 0 if again else n.weight * times, optional or n.optional, n.repeated, again))

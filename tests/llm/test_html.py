@@ -175,3 +175,13 @@ def test_wrapper_beyond_its_bound_keeps_what_most_pages_have(monkeypatch):
     for k in (0, 5, 199):
         text = main_text(pages[k], w)[0]
         assert f"Story {k}.0" in text and "Read more" not in text and (k % 5 > 0 or f"Own {k}" in text)
+
+
+def test_groups_in_groups_are_not_doubled_at_every_level():
+    """The stream that stands for a wrapper grows with the square of its nested groups, not by powers of two."""
+    node = wrappers.Node("x")
+    for k in range(14):
+        node = wrappers.Node(wrappers.GROUP, kids=[wrappers.Node(f"y{k}"), node], repeated=True)
+    assert len(wrappers.stream_of([node], 1)) == 1 + sum(range(2, 16)) + 14
+    dl = "<dl><dt>a<dd>b<dd>c<dt>d<dd>e</dl>"
+    assert expression(infer([dl, dl.replace("<dl>", "<h2>f</h2><dl>")]).root) == "h2(#)? dl((dt(#) dd(#)+)+)"
