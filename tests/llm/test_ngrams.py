@@ -3,12 +3,13 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 
-from lathework.llm.ngrams import Grams, discounts, score_language_model
+from lathework.llm.ngrams import BEGIN, END, Grams, by_bucket, discounts, distinct, order_of, score_language_model
 
 
 def split(t):
@@ -71,6 +72,20 @@ def test_against_brute_force(spark):
     assert score_language_model(d.limit(0)).count() == 0
 
 
+def test_unmet_words_beside_each_word(spark):
+    """The hash of an unmet word and the word numbered 0 is that of these two the other way round; their odds differ."""
+    rng = random.Random(6)
+    rows = [(k, " ".join(f"w{int(rng.expovariate(0.05))}" for _ in range(60))) for k in range(100)]
+    out = [k for k in range(200, 400) if zlib.crc32(str(k).encode()) % 5 == 1]
+    b = Brute([split(t) for k, t in rows if zlib.crc32(str(k).encode()) % 5 != 1])
+    words = [w.decode() for w in b.uni if w]
+    held = dict(zip(out, [" ".join(f"{w} unmet{w} {w}" for w in words), *(f"{w} unmet {w}" for w in words)], strict=False))
+    got = score_language_model(spark.createDataFrame([*rows, *held.items()], "doc_id long, text string")).where("doc_id >= 200").collect()
+    assert len(got) == len(held)
+    for r in got:
+        assert r.held_out and math.isclose(r.score, b.score(split(held[r.doc_id]), 3), rel_tol=1e-9)
+
+
 def test_longer_histories_tell_more(spark):
     """Held-out perplexity falls with the order where words depend on the two before them."""
     rng = random.Random(9)
@@ -103,3 +118,37 @@ def test_packing_and_merging():
         again = Grams.merged([one, two, one])
         assert again.counts[0].sum() == 2 * one.counts[0].sum() + two.counts[0].sum()
         assert set(again.hashes()[2].tolist()) == set(g.hashes()[2][:3010].tolist())
+
+
+def test_order():
+    """Orders are exact where keys and places fit 64 bits, where they don't, and where hashes agree in their upper bits."""
+    draw = np.random.default_rng(5).integers
+    hashes = draw(0, 1 << 64, 3000, np.uint64)
+    alike = np.concatenate([hashes[:50] & ~np.uint64(3) | np.uint64(k) for k in (2, 0, 3, 1)])
+    for key in (draw(0, 40, 3000, np.uint64), hashes, alike, np.array([END, BEGIN, END]), hashes[:1], hashes[:0]):
+        for spread in (False, True):
+            assert (key[order_of(key, spread)] == np.sort(key)).all()
+        row, place = distinct(key, key)
+        assert (key[row] == np.unique(key)).all() and (key[row][place] == key).all()
+        own = np.arange(len(key)) % 7
+        row, place = distinct(key & ~np.uint64(7), own)
+        assert (own[row][place] == own).all()
+    bucket = draw(0, 40, 3000)
+    assert {b: rows.tolist() for b, rows in by_bucket(bucket)} == {b: np.flatnonzero(bucket == b).tolist() for b in np.unique(bucket).tolist()}
+
+
+def test_packing_costs_less_than_sorting():
+    """Packing took 3.6 to 5.5 times the CPU seconds of sorting the n-grams' keys when all planes of bytes were transposed."""
+    places = [np.random.default_rng(k).integers(0, 1 << 20, 1 << 19).astype(np.uint64) for k in (6, 7, 8)]
+    g = Grams.of(places, [np.ones(1 << 19, np.uint8)])
+
+    def seconds(f):
+        took = []
+        for _ in range(5):
+            start = time.process_time()
+            f()
+            took.append(time.process_time() - start)
+        return min(took)
+
+    key = g.hashes()[2]
+    assert seconds(g.pack) < 2 * seconds(lambda: np.argsort(key))
