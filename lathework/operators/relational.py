@@ -160,7 +160,7 @@ def hamming_pairs(df: DataFrame, key: str, value: str, most: int, bands: int | N
     part = lambda c, k: F.shiftrightunsigned(c, k * width).bitwiseAND(F.lit((1 << bits[k]) - 1 if bits[k] < 64 else -1))
     own = F.array(*(F.struct(F.lit(k).alias("k"), part(F.col(value), k).alias("h")) for k in range(bands)))
     stored = df.select(F.col(key).alias("b"), F.col(value).alias("y"), F.explode(own).alias("band"))
-    masks = F.array(*(F.lit(m).cast("long") for m in flips(width, near)))
+    masks = F.array(*(F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in flips(width, near)))
     asked = df.select(F.col(key).alias("a"), F.col(value).alias("x"), F.explode(own).alias("o"))
     asked = asked.select("a", "x", "o.k", F.explode(F.transform(masks, lambda m: F.col("o.h").bitwiseXOR(m))).alias("h"))
     stored = stored.select("b", "y", "band.k", "band.h")

@@ -9,11 +9,14 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from lathework.operators.relational import hamming_pairs
@@ -21,6 +24,8 @@ from lathework.shipping import ship
 from lathework.tables import cut
 
 SPLITS = ("train", "val", "test")
+#: Hashes that take the greedy pass at once, and sides of a tile of distances.
+AT_ONCE, TILE = 1 << 15, 256
 
 
 @dataclass(frozen=True)
@@ -115,15 +120,45 @@ def greedy_near(items: list[tuple[str, int]], most: int) -> list[tuple[str, str]
     return out
 
 
-def near_clusters(items: DataFrame, most: int = 2) -> DataFrame:
-    """Greedy clusters of (id, hash long): ``id, representative_id``; rows without a hash are left out.
+def first_near(hashes: np.ndarray, founders: np.ndarray, most: int) -> np.ndarray:
+    """Place of the first founder within ``most`` bits of each hash, -1 without any; in tiles of bounded size."""
+    out = np.full(len(hashes), -1, np.int64)
+    for low in range(0, len(hashes), TILE):
+        open_ = np.arange(low, min(low + TILE, len(hashes)))
+        for at in range(0, len(founders), TILE):
+            near = np.bitwise_count(hashes[open_, None] ^ founders[None, at : at + TILE]) <= most
+            hit = near.any(axis=1)
+            out[open_[hit]] = at + near[hit].argmax(axis=1)
+            open_ = open_[~hit]
+            if not len(open_):
+                break
+    return out
+
+
+def settle(left: DataFrame, founders: list[tuple[object, int]], most: int) -> DataFrame:
+    """Adds ``representative_id``, the first of the founders that is near, or null; the rows keep their order."""
+    names, hashes = [name for name, _ in founders], np.array([value for _, value in founders], np.int64).view(np.uint64)
+    kind = left.schema["id"].dataType
+    schema = T.StructType([T.StructField("id", kind), T.StructField("hash", T.LongType()), T.StructField("representative_id", kind)])
+
+    def run(batches):
+        for batch in batches:
+            own = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            found = first_near(own, hashes, most)
+            known = pa.array(names, batch.column(0).type)
+            taken = known.take(pa.array(found, mask=found < 0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, taken], names=["id", "hash", "representative_id"])
+
+    ship(left.sparkSession)
+    return left.mapInArrow(run, schema)
+
+
+def linked_clusters(by_hash: DataFrame, most: int) -> DataFrame:
+    """``hash, representative_id`` of distinct hashes, by links of near ones.
 
-    What the greedy pass over the ids gives, without the pass: an item founds a cluster unless one of those with a
-    smaller id that are near founds one. In each round all items whose smaller near ones are settled settle too, so
-    chains of ids in order cost a round each, others few.
+    In each round all items whose smaller near ones are settled settle too, so chains of ids in order cost a round each,
+    others few.
     """
-    known = items.where("hash is not null").select("id", "hash")
-    by_hash = known.groupBy("hash").agg(F.min("id").alias("id"))
     links = cut(hamming_pairs(by_hash, "id", "hash", most).select(F.col("a").alias("small"), F.col("b").alias("large")))
     state = cut(by_hash.select("id", F.lit(None).cast("boolean").alias("founds")))
     while not state.where("founds is null").isEmpty():
@@ -134,7 +169,34 @@ def near_clusters(items: DataFrame, most: int = 2) -> DataFrame:
     founders = state.where("founds").select(F.col("id").alias("small"))
     joined = links.join(founders, "small").groupBy(F.col("large").alias("id")).agg(F.min("small").alias("first"))
     own = state.join(joined, "id", "left").select("id", F.when(F.col("founds"), F.col("id")).otherwise(F.col("first")).alias("representative_id"))
-    return known.join(by_hash.withColumnRenamed("id", "_least"), "hash").join(own.withColumnRenamed("id", "_least"), "_least").select("id", "representative_id")
+    return by_hash.join(own, "id").select("hash", "representative_id")
+
+
+def near_clusters(items: DataFrame, most: int = 2) -> DataFrame:
+    """Greedy clusters of (id, hash long): ``id, representative_id``; rows without a hash are left out.
+
+    What the greedy pass over the ids gives. The distinct hashes are sorted by id once; the first ``AT_ONCE`` of those
+    left take the pass, then all others are held against their founders, each batch on its own, and what is near one is
+    settled. So the pairs of a dense table are never listed. Where less than half is settled in a round, few are near
+    each other, and links of near ones settle the rest.
+    """
+    known = items.where("hash is not null").select("id", "hash")
+    left = cut(known.groupBy("hash").agg(F.min("id").alias("id")).where("id is not null").select("id", "hash").orderBy("id"))
+    own, n = [], left.count()
+    while n:
+        begin = [tuple(r) for r in left.limit(AT_ONCE).collect()]  # the smallest ids, as the sorted partitions are read in turn
+        value = dict(begin)
+        found = [(name, value[name]) for name, first in greedy_near(begin, most) if name == first]
+        scan = cut(settle(left, found, most))
+        own.append(scan.where("representative_id is not null").select("hash", "representative_id"))
+        left, before = scan.where("representative_id is null").select("id", "hash"), n
+        n = left.count()
+        if n > max(AT_ONCE, before // 2):
+            own.append(linked_clusters(left, most))
+            break
+    if not own:
+        return known.select("id", F.col("id").alias("representative_id"))
+    return known.join(reduce(DataFrame.unionAll, own), "hash").select("id", "representative_id")
 
 
 def box_iou(a: np.ndarray, b: np.ndarray) -> float:

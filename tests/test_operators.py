@@ -77,6 +77,19 @@ def test_near_and_tracks(spark):
     assert pairs == [(1, 2, 3), (3, 4, 1)]
 
 
+def test_near_clusters_settle_in_few_rounds(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(S, "cut", lambda df, cut=S.cut: cuts.append(df) or cut(df))
+    chain = [(f"i{k:03d}", (1 << k) - 1) for k in range(40)]
+    df = spark.createDataFrame(chain, "id string, hash long").repartition(3)
+    assert rows(S.near_clusters(df, 1)) == S.greedy_near(chain, 1) and len(cuts) <= 3
+    rng = random.Random(5)
+    dense = [(f"i{k:03d}", sum(1 << b for b in range(12) if rng.random() < 0.5)) for k in range(400)]
+    for at_once, most in ((3, 1), (64, 3)):
+        monkeypatch.setattr(S, "AT_ONCE", at_once)
+        assert rows(S.near_clusters(spark.createDataFrame(dense, "id string, hash long"), most)) == S.greedy_near(dense, most)
+
+
 def test_sampling(spark):
     got = {r.sample_index: tuple(r) for r in sampling.draw_samples(spark, 20, 5, ["a", "b"]).collect()}
     for i in range(20):
