@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from lathework.functions import codepoints
+from lathework.shipping import ship
+
 Rule = Callable[[Column], Column]
 
 #: Code points that count as white space at the ends of a line, and full-width marks that stay.
@@ -15,6 +19,8 @@ BLANKS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0
 KEPT_MARKS = "！＂＇（），．：；？｛｝"
 FULL_WIDTH = "".join(chr(c) for c in range(0xFF01, 0xFF5F) if chr(c) not in KEPT_MARKS)
 HALF_WIDTH = "".join(chr(ord(c) - 0xFEE0) for c in FULL_WIDTH)
+#: Bytes of an Arrow batch of texts.
+BATCH_BYTES = 4 << 20
 CLOSING, OPENING = "，。！？；：、）】》」』", "（【《「『"
 
 #: Ranges of each script, in order of precedence. Latin is what Unicode names so.
@@ -92,14 +98,52 @@ def rules_of(version: str = "v1", language: str = "*") -> tuple[str, ...]:
     return VERSIONS[version].get(language, VERSIONS[version]["*"])
 
 
+#: The rules above over arrays, which cost a small part of the expressions.
+KERNELS: dict[str, codepoints.Kernel] = {
+    "fullwidth_ascii": codepoints.mapped(FULL_WIDTH, HALF_WIDTH),
+    "ideographic_space": codepoints.mapped("\u3000", " "),
+    "newlines": codepoints.newlines,
+    "whitespace": codepoints.whitespace,
+    "punctuation_spacing": codepoints.punctuation_spacing(CLOSING, OPENING),
+    "strip_lines": codepoints.strip_lines(BLANKS),
+}
+OWN_RULES = dict(RULES)
+
+
+def in_arrays(run: Callable, kind: str) -> Callable[[Column], Column]:
+    """A function of Arrow arrays of text as a column function; batches are bounded by bytes."""
+    spark, key = SparkSession.active(), "spark.sql.execution.arrow.maxBytesPerBatch"
+    ship(spark)
+    if int(str(spark.conf.get(key, "2147483647")).rstrip("bB") or 0) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+    return lambda c: F.arrow_udf(run, kind)(c.cast("string"))
+
+
+def kernels_of(names: tuple[str, ...]) -> dict[str, codepoints.Kernel] | None:
+    """Kernels of rules, or none where one has only an expression."""
+    return {n: KERNELS[n] for n in names} if all(n in KERNELS and RULES[n] is OWN_RULES[n] for n in names) else None
+
+
 def normalize(c: Column, version: str = "v1", language: str = "*") -> Column:
-    return reduce(lambda x, name: RULES[name](x), rules_of(version, language), c)
+    if not (kernels := kernels_of(names := rules_of(version, language))):
+        return reduce(lambda x, name: RULES[name](x), names, c)
+
+    def run(texts: pa.Array) -> pa.Array:
+        return codepoints.normalized(texts, list(kernels.values()))
+
+    return in_arrays(run, "string")(c)
 
 
 def applied_rules(c: Column, version: str = "v1", language: str = "*") -> Column:
     """Names of the rules that changed the text, in order."""
+    if kernels := kernels_of(names := rules_of(version, language)):
+
+        def run(texts: pa.Array) -> pa.Array:
+            return codepoints.changed_by(texts, kernels)
+
+        return in_arrays(run, "array<string>")(c)
     hits, now = [], c
-    for name in rules_of(version, language):
+    for name in names:
         after = RULES[name](now)
         hits.append(F.when(~now.eqNullSafe(after), F.lit(name)))
         now = after

@@ -76,3 +76,20 @@ def test_geometry(spark):
     c = value(spark, G.center_crop(F.lit(640), F.lit(360), F.lit(1), F.lit(1)))
     assert tuple(c) == (140, 0, 500, 360, 360, 360)
     assert [value(spark, x) for x in G.widened(b(0.005, 0.5, 0.6, 0.995), 0.01)] == pytest.approx([0, 0.49, 0.61, 1])
+
+
+def test_rules_over_arrays_are_the_expressions(spark):
+    import random
+
+    rng = random.Random(4)
+    alphabet = "ab \t\r\n\u3000\u2003\x0b\x00（，】「Ａ！ｚé漢😀"
+    texts = [None, "", " ", "\r\n", *("".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(400))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").repartition(2)
+    names, now, want = text.rules_of(), df.select("id", "t", F.col("t").alias("t0")), []
+    for i, name in enumerate(names):  # staged, so that no text is made twice
+        now = now.withColumn(f"t{i + 1}", text.RULES[name](F.col(f"t{i}"))).localCheckpoint()
+        want.append(F.when(~F.col(f"t{i}").eqNullSafe(F.col(f"t{i + 1}")), name))
+    for r in now.select("t", f"t{len(names)}", F.array_compact(F.array(*want)).alias("hits"), text.normalize(F.col("t")).alias("n"), text.applied_rules(F.col("t")).alias("h")).collect():
+        assert (r.n, r.h) == (r[1], r.hits), r
+    plan = df.select(text.applied_rules(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") <= len(names)  # each rule is applied once, not once for each that follows
