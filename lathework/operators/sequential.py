@@ -14,6 +14,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,8 @@ from lathework.tables import cut
 SPLITS = ("train", "val", "test")
 #: Hashes that take the greedy pass at once, and sides of a tile of distances.
 AT_ONCE, TILE = 1 << 15, 256
+#: Overlaps that are held at once, and tasks that videos are dealt to at least.
+PAIRS, VIDEO_TASKS = 1 << 18, 64
 
 
 @dataclass(frozen=True)
@@ -206,35 +209,108 @@ def box_iou(a: np.ndarray, b: np.ndarray) -> float:
     return both / union if union > 0 else 0.0
 
 
+class Tracker:
+    """Tracks of a video, fed frame by frame in order; of what is past it keeps the last box of each track only."""
+
+    def __init__(self, least: float):
+        self.least, self.n, self.last = least, 0, np.zeros((64, 4))
+
+    def frame(self, boxes: np.ndarray) -> np.ndarray:
+        """Track of each box of the next frame."""
+        out = np.full(len(boxes), -1, np.int64)
+        step = max(PAIRS // max(len(boxes), 1), 1)
+        for low in range(0, self.n, step):
+            free = np.flatnonzero(out < 0)
+            if not len(free):
+                break
+            self.choose(low, min(low + step, self.n), boxes, free, out)
+        new = np.flatnonzero(out < 0)
+        out[new] = self.n + np.arange(len(new))
+        self.n += len(new)
+        if self.n > len(self.last):
+            self.last = np.concatenate([self.last, np.zeros((self.n, 4))])
+        self.last[out] = boxes
+        return out
+
+    def choose(self, low: int, high: int, boxes: np.ndarray, free: np.ndarray, out: np.ndarray) -> None:
+        """Lets some tracks choose among the free boxes, the older first."""
+        share = box_ious(boxes[free], self.last[low:high])
+        at, of = np.nonzero(share >= self.least)
+        chosen, taken = set(), set()
+        for t, _, i in sorted(zip(at.tolist(), share[at, of].tolist(), free[of].tolist(), strict=True), key=lambda x: (x[0], -x[1], -x[2])):
+            if t not in chosen and i not in taken:
+                chosen.add(t)
+                taken.add(i)
+                out[i] = low + t
+
+
+def box_ious(boxes: np.ndarray, tracks: np.ndarray) -> np.ndarray:
+    """``box_iou`` of each track's box (rows) and each box (columns)."""
+    a, b = boxes[None], tracks[:, None]
+    wide, high = (np.minimum(a[..., k + 2], b[..., k + 2]) - np.maximum(a[..., k], b[..., k]) for k in (0, 1))
+    both = np.maximum(wide, 0.0) * np.maximum(high, 0.0)
+    union = (a[..., 2] - a[..., 0]) * (a[..., 3] - a[..., 1]) + (b[..., 2] - b[..., 0]) * (b[..., 3] - b[..., 1]) - both
+    return np.divide(both, union, out=np.zeros_like(both), where=union > 0)
+
+
 def track(frames: list[int], boxes: np.ndarray, least: float) -> list[int]:
     """Track of each box, boxes in frame order: older tracks choose first, the best overlap of their last box wins, the
     later one of equals; a box left over begins a track."""
-    last: list[tuple[int, int]] = []  # frame and box that a track saw last
-    out = [-1] * len(frames)
-    for now in sorted(set(frames)):
-        own = [i for i, f in enumerate(frames) if f == now]
-        for t, (seen, prior) in enumerate(last):
-            free = [(box_iou(boxes[i], boxes[prior]), i) for i in own if out[i] < 0] if seen != now else []
-            if free and max(free)[0] >= least:
-                out[max(free)[1]] = t
-                last[t] = (now, max(free)[1])
-        for i in own:
-            if out[i] < 0:
-                out[i] = len(last)
-                last.append((now, i))
-    return out
+    order = np.argsort(frames, kind="stable")
+    starts = np.flatnonzero(np.diff(np.asarray(frames)[order])) + 1
+    tracker, out = Tracker(least), np.full(len(frames), -1, np.int64)
+    for own in np.split(order, starts) if len(order) else []:
+        out[own] = tracker.frame(boxes[own])
+    return out.tolist()
+
+
+def tracked(batches, least: float):
+    """Adds tracks to batches (video, frame, box, x0, y0, x1, y1) in order of the first three. A frame can go on in the next
+    batch; no more than a batch and a frame is held. Boxes without a frame get -1."""
+    names = ["video", "frame", "box", "x0", "y0", "x1", "y1"]
+    tracker, video, held = Tracker(least), None, []
+
+    def flush(rows: list[pa.RecordBatch]):
+        nonlocal tracker, video
+        if rows:
+            own = pa.Table.from_batches(rows).combine_chunks()
+            if (now := own["video"][0].as_py()) != video:
+                tracker, video = Tracker(least), now
+            sides = np.stack([own[c].to_numpy().astype(float) for c in names[3:]], axis=1)
+            found = np.full(len(own), -1, np.int64) if own["frame"][0].as_py() is None else tracker.frame(sides)
+            yield from own.append_column("track", pa.array(found)).to_batches()
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        part = [pc.fill_null(pc.not_equal(c[1:], c[:-1]), False).to_numpy(zero_copy_only=False) | (c[1:].is_null().to_numpy(zero_copy_only=False) != c[:-1].is_null().to_numpy(zero_copy_only=False)) for c in (batch.column(0), batch.column(1))]
+        starts = [0, *(np.flatnonzero(part[0] | part[1]) + 1).tolist(), len(batch)]
+        done = []
+        for low, high in zip(starts, starts[1:]):
+            rows = batch.slice(low, high - low)
+            if held and (held[0]["video"][0].as_py(), held[0]["frame"][0].as_py()) != (rows["video"][0].as_py(), rows["frame"][0].as_py()):
+                done += flush(held)
+                held = []
+            held.append(rows)
+        if done:
+            yield from pa.Table.from_batches(done).combine_chunks().to_batches()
+    yield from flush(held)
 
 
 def tracks(boxes: DataFrame, least: float = 0.5) -> DataFrame:
-    """Adds ``track`` to boxes (video, frame, box, x0, y0, x1, y1), each video on its own."""
+    """Adds ``track`` to boxes (video, frame, box, x0, y0, x1, y1), each video on its own, in a task of its own as far as
+    hashes allow: the number of tasks is given, so small videos aren't put together."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame", "box"])
-        return pdf.assign(track=track(pdf["frame"].tolist(), pdf[["x0", "y0", "x1", "y1"]].to_numpy(float), least))
+    def run(batches):
+        return tracked(batches, least)
 
-    ship(boxes.sparkSession)
+    spark = boxes.sparkSession
+    ship(spark)
+    kinds = {"video": "string", "frame": "long", "box": "long"}
+    own = boxes.select(*(F.col(c).cast(kinds.get(c, "double")).alias(c) for c in ("video", "frame", "box", "x0", "y0", "x1", "y1")))
+    n = max(VIDEO_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     schema = "video string, frame long, box long, x0 double, y0 double, x1 double, y1 double, track long"
-    return boxes.select("video", "frame", "box", "x0", "y0", "x1", "y1").groupBy("video").applyInPandas(run, schema)
+    return own.repartition(n, "video").sortWithinPartitions("video", "frame", "box").mapInArrow(run, schema)
 
 
 def persistent(tracked: DataFrame, frames: int, least: float, spread: float) -> DataFrame:

@@ -90,6 +90,43 @@ def test_near_clusters_settle_in_few_rounds(spark, monkeypatch):
         assert rows(S.near_clusters(spark.createDataFrame(dense, "id string, hash long"), most)) == S.greedy_near(dense, most)
 
 
+def plain_tracks(frames, boxes, least):
+    last, out = [], [-1] * len(frames)
+    for now in sorted(set(frames)):
+        own = [i for i, f in enumerate(frames) if f == now]
+        for t, prior in enumerate(last):
+            free = [(S.box_iou(boxes[i], boxes[prior]), i) for i in own if out[i] < 0]
+            if free and max(free)[0] >= least:
+                out[max(free)[1]], last[t] = t, max(free)[1]
+        for i in own:
+            if out[i] < 0:
+                out[i] = len(last)
+                last.append(i)
+    return out
+
+
+def test_tracks_hold_a_frame_at_a_time(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    low = rng.integers(0, 6, (600, 2)) / 4
+    boxes = np.hstack([low, low + rng.integers(0, 5, (600, 2)) / 4])
+    frames = np.sort(rng.integers(0, 90, 600)).tolist()
+    for least in (0.0, 0.3, 0.5):
+        for pairs in (1, 20, 1 << 18):
+            monkeypatch.setattr(S, "PAIRS", pairs)
+            assert S.track(frames, boxes, least) == plain_tracks(frames, boxes, least)
+    want = plain_tracks(frames, boxes, 0.3)
+    data = [(v, f, k, *map(float, b)) for v in ("a", "b", None) for k, (f, b) in enumerate(zip(frames, boxes, strict=True))]
+    df = spark.createDataFrame(data, "video string, frame long, box long, x0 double, y0 double, x1 double, y1 double").repartition(3)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = S.tracks(df, 0.3)
+        assert "FlatMapGroups" not in got._jdf.queryExecution().optimizedPlan().toString()  # no video is held whole
+        assert {(r.video, r.box): r.track for r in got.collect()} == {(v, k): t for v in ("a", "b", None) for k, t in enumerate(want)}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
 def test_sampling(spark):
     got = {r.sample_index: tuple(r) for r in sampling.draw_samples(spark, 20, 5, ["a", "b"]).collect()}
     for i in range(20):
