@@ -31,9 +31,19 @@ def not_in(df: DataFrame, ledger: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def violations(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
-    """A row for each rule that a row breaks; one pass, whatever the number of rules."""
-    broken = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items())))
-    return df.select(F.col(key).alias("id"), F.explode(broken).alias("rule"))
+    """A row for each rule that a row breaks; one pass, whatever the number of rules.
+
+    Each row is made once, before its rules, as a generator isn't merged with what stands below it: else every rule
+    would make the parts it needs again. Broken rules are bits of a number, 62 of them each.
+    """
+    names = list(rules)
+    parts = [names[i : i + 62] for i in range(0, len(names), 62)]
+    bit = lambda name, j: F.when(F.coalesce(rules[name], F.lit(False)), F.lit(0)).otherwise(F.lit(1 << j)).cast("long")
+    masks = [reduce(Column.bitwiseOR, [bit(name, j) for j, name in enumerate(part)]).alias(f"_broken{k}") for k, part in enumerate(parts)]
+    broken = lambda part, mask: F.filter(F.array(*map(F.lit, part)), lambda _, j: F.getbit(mask, j) == 1)
+    made = df.select(F.explode(F.array(F.struct(*df.columns))).alias("_row")).select("_row.*")
+    found = F.concat(*(broken(part, F.col(f"_broken{k}")) for k, part in enumerate(parts))) if names else F.array().cast("array<string>")
+    return made.select(F.col(key).alias("id"), *masks).select("id", F.explode(found).alias("rule"))
 
 
 def reasons(rules: dict[str, Column]) -> Column:

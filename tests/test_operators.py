@@ -52,6 +52,15 @@ def test_upsert_and_violations(spark):
     assert rows(broken) == [(1, "small"), (2, "set"), (2, "small")]
 
 
+def test_violations_make_each_row_once(spark):
+    df = spark.range(3).select("id", R.F.struct(R.F.sha2(R.F.col("id").cast("string"), 256).alias("sha"), R.F.col("id").alias("n")).alias("s"))
+    rules = {f"r{k}": R.F.col("s.sha").startswith(f"{k:x}") | (R.F.col("s.n") != k % 4) for k in range(130)}
+    got = R.violations(df, "id", rules)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("sha2(") == 1
+    sha = [__import__("hashlib").sha256(str(i).encode()).hexdigest() for i in range(3)]
+    assert rows(got) == sorted((i, f"r{k}") for i in range(3) for k in range(130) if k % 4 == i and not sha[i].startswith(f"{k:x}"))
+
+
 def test_histogram(spark):
     df = spark.createDataFrame([(x,) for x in (700, 800, 1500, 3000, 5)], "ms int")
     got = R.bucket_histogram(df, "ms", spark.createDataFrame([(0, 10, 1.0), (600, 1500, 2.0), (9000, 9999, 1.0)], "lo int, hi int, weight double"))
